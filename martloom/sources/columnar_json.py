@@ -33,17 +33,16 @@ def read_columnar_json(
     """
     fields = ", ".join(f"`{name}` map<string,string>" for name in columns)
     parsed = bodies.select(key, F.from_json(body, fields).alias("_p"))
-    entries = F.concat(
-        *[
-            F.transform(
-                F.coalesce(F.map_entries(F.col(f"_p.`{name}`")), F.array()),
-                lambda entry, name=name: F.struct(
-                    F.lit(name).alias("name"), entry["key"].alias("idx"), entry["value"].alias("value")
-                ),
-            )
-            for name in columns
-        ]
-    )
+    def cells_of(name: str):
+        pairs = F.coalesce(F.map_entries(F.col(f"_p.`{name}`")), F.array())
+        return F.transform(
+            pairs,
+            lambda pair: F.struct(
+                F.lit(name).alias("name"), pair["key"].alias("idx"), pair["value"].alias("value")
+            ),
+        )
+
+    entries = F.concat(*[cells_of(name) for name in columns])
     cells = parsed.select(key, F.inline(entries))
     return cells.groupBy(key, F.col("idx").cast("bigint").alias("idx")).agg(
         *[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in columns]

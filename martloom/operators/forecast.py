@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from martloom.operators import series as S
 from martloom.operators.joins import lookup_join
+from martloom.session import stage
 
 ORIGIN = datetime.date(2000, 1, 1)
 # Defaults of the published model.
@@ -300,8 +301,8 @@ def fit_predict_additive(
     rows: DataFrame, spine: DataFrame, params: DataFrame, regressors: Sequence[str]
 ) -> DataFrame:
     """``yhat`` of the spine's days; both frames carry the regressor columns."""
-    folded = fold_days(rows, regressors)
-    setup = _series_setup(folded, params)
+    folded = stage(fold_days(rows, regressors), "folded")
+    setup = stage(_series_setup(folded, params), "setup")
     model = setup.join(fit_additive(folded, setup, regressors), "series_id")
     days = lookup_join(spine, model, ["series_id"], "inner", F.col("ds"))
     trend = _dot(F.array(*_trend_terms()), F.col("trend_beta"))
@@ -451,17 +452,17 @@ def forecast(
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast rows ``series_id, ds, y, yhat, iliPlanIliFact`` and one summary row per
     request. Series with a regressor gap or without history have no forecast rows."""
-    params = S.forecast_params(requests, hyper)
+    params = stage(S.forecast_params(requests, hyper), "params")
     names = S.calendar_columns(calendar) if model == "additive" else []
-    rows = S.history_rows(history.select("series_id", "ds", "y"), params)
-    extent = S.history_extent(rows, params, as_of)
+    rows = stage(S.history_rows(history.select("series_id", "ds", "y"), params), "rows")
+    extent = stage(S.history_extent(rows, params, as_of), "extent")
     spine = S.future_spine(rows, params)
     full_rows, full_spine = rows, spine
     if names:
         full_rows = S.add_regressors(rows, calendar, names)
         full_spine = S.add_regressors(spine, calendar, names)
     # every history day is on the spine, so a gap shows there
-    gaps = regressor_gaps(full_spine, params, names)
+    gaps = stage(regressor_gaps(full_spine, params, names), "gaps")
     good = full_rows
     if names:
         good = lookup_join(full_rows, gaps, ["series_id"], "left_anti", F.col("ds"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from martloom.operators import forecast as FC
 from martloom.operators import series as S
 from martloom.plans import inputs as I
+from martloom.session import stage
 from martloom.sources import columnar_json as J
 
 # ---- SQL twins ---------------------------------------------------------------------------
@@ -152,31 +153,39 @@ def future_spine(spark, d):
     return S.future_spine(_rows(spark, d), _params(spark, d))
 
 
-def _trend_forecast(spark, d):
-    rows = _rows(spark, d)
-    return FC.fit_predict(rows, S.future_spine(rows, _params(spark, d)))
+def _stored(spark, d):
+    """Parameters and cut history, stored for the branches that read them."""
+    params = stage(_params(spark, d), "params")
+    return params, stage(S.history_rows(_history(spark, d), params), "rows")
 
 
 def forecast_trend_dow(spark, d):
-    return _trend_forecast(spark, d).withColumn("yhat", F.round("yhat", 2))
+    params, rows = _stored(spark, d)
+    forecast = FC.fit_predict(rows, S.future_spine(rows, params))
+    return forecast.withColumn("yhat", F.round("yhat", 2))
 
 
 def plan_fact_mix(spark, d):
-    return S.plan_fact(_trend_forecast(spark, d), _rows(spark, d)).withColumns(
+    params, rows = _stored(spark, d)
+    forecast = FC.fit_predict(rows, S.future_spine(rows, params))
+    return S.plan_fact(forecast, rows).withColumns(
         {"yhat": F.round("yhat", 2), "iliPlanIliFact": F.round("iliPlanIliFact", 2)}
     )
 
 
 def backtest_error(spark, d):
     rounded = {name: F.round(name, 6) for name in ("mape", "mdape", "error_rate")}
-    return FC.backtest(_frame(spark, d), _params(spark, d)).withColumns(rounded)
+    params, rows = _stored(spark, d)
+    frame = S.history_frame(rows, params, I.AS_OF)
+    return FC.backtest(frame, params).withColumns(rounded)
 
 
 def _additive_frames(spark, d):
-    calendar, params = _calendar(spark, d), _params(spark, d)
+    params, rows = _stored(spark, d)
+    calendar = _calendar(spark, d)
     names = S.calendar_columns(calendar)
-    rows = S.add_regressors(_frame(spark, d), calendar, names)
-    return rows, params, calendar, names
+    frame = S.history_frame(rows, params, I.AS_OF)
+    return S.add_regressors(frame, calendar, names), params, calendar, names
 
 
 def forecast_additive(spark, d):

@@ -7,10 +7,12 @@ they differ. Everything is derived row by row from whole tables and grows with t
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.functions import text as T
+from martloom.session import shared_folder
 
 AS_OF = datetime.date(2001, 8, 1)
 
@@ -341,9 +343,22 @@ def ctes(*names: str, dialect=None) -> str:
     return ",\n".join(f"{name} AS ({INPUTS[name][0](q)})" for name in _chain(names))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """An input as a DataFrame."""
-    return spark.sql(f"WITH {ctes(name, dialect=Spark(folder))} SELECT * FROM {name}")
+    """An input as a stored table, derived once per application and folder of test tables.
+
+    Control tables are stored tables wherever the operators are used; deriving them anew in
+    every branch of a plan would measure the derivation.
+    """
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"), name)
+    if key not in _STORED:
+        derived = spark.sql(f"WITH {ctes(name, dialect=Spark(folder))} SELECT * FROM {name}")
+        path = f"{shared_folder(spark).rstrip('/')}/input-{name}-{uuid.uuid4().hex}.parquet"
+        derived.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:

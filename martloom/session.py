@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,3 +44,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="martloom-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set(CHECKPOINT_CONF, folder)
     return folder
+
+
+def stage(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several branches read to the shared folder and read it back.
+
+    Cuts the lineage, so that the branches neither repeat the work nor lose it with an
+    executor, and gives the planner real sizes.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}.parquet"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

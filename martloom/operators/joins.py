@@ -20,11 +20,17 @@ def plan_bytes(frame: DataFrame) -> int | None:
         plan = frame._jdf.queryExecution().optimizedPlan()
         if "Generate " in plan.toString():
             return None
-        return int(plan.stats().sizeInBytes().toString())
+        return int(str(plan.stats().sizeInBytes()))
     except AttributeError:  # a remote session gives no plan access
         return None
 
 
+def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether the size estimate of a plan is within ``limit``."""
+    size = plan_bytes(frame)
+    return size is not None and size <= limit
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
@@ -40,8 +46,7 @@ def lookup_join(
     the keys are salted by a hash of ``spread`` (a column that differs between the rows of
     one key, so that a repeated task gives the same salt).
     """
-    size = plan_bytes(lookup)
-    if size is not None and size <= limit:
+    if is_small(lookup, limit):
         return big.join(F.broadcast(lookup), on, how)
     conf = big.sparkSession.conf
     splits = all(

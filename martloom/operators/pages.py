@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import text as T
+from martloom.operators.joins import is_small
 
 # Segments of a page from the most to the least telling, with priorities.
 SEGMENTS = (
@@ -19,14 +20,23 @@ SEGMENTS = (
 )
 
 
-def page_segments(pages: DataFrame) -> DataFrame:
+def page_segments(pages: DataFrame, by_page: bool = False) -> DataFrame:
     """``page_id, url, fetched``, the seven segments and ``content`` of every page.
 
     Title and headings are read before header and footer blocks are cut, paragraphs and
     main content after. The main content holds each text of the page body once: nested
     elements do not repeat their text, so body words count less than where they do. A
     missing ``html`` (a failed fetch) leaves every segment empty.
+
+    ``by_page`` lays the result out by ``page_id``. Everything up to the classification
+    groups within the page, so this is the one shuffle of text it needs, and it moves the
+    extracted segments instead of the HTML. Input too small to fill the cores is spread by
+    ``page_id`` before the extraction instead.
     """
+    small = is_small(pages)
+    if small:
+        cores = pages.sparkSession.sparkContext.defaultParallelism
+        pages = pages.repartition(cores, "page_id")
     seen = pages.select(
         "page_id",
         "url",
@@ -49,7 +59,8 @@ def page_segments(pages: DataFrame) -> DataFrame:
         "page_id", "url", "fetched", *[T.squeeze(raw[name]).alias(name) for name, _ in SEGMENTS]
     )
     filled = [F.nullif(F.col(name), F.lit("")) for name, _ in SEGMENTS]
-    return clean.withColumn("content", F.concat_ws(" ", *filled))
+    segments = clean.withColumn("content", F.concat_ws(" ", *filled))
+    return segments.repartition("page_id") if by_page and not small else segments
 
 
 def page_gate(script: str) -> Column:
@@ -66,13 +77,9 @@ def page_tokens(segments: DataFrame, script: str = T.CYRILLIC) -> DataFrame:
 
     Tokens are lower-case words; ``pos`` is the place among all pieces of the segment.
     """
-    inside = segments.where(page_gate(script) == "ok")
-    rows = inside.select("page_id", F.inline(F.array(*_segment_structs()))).where("text != ''")
-    pieces = rows.select(
-        "page_id", "segment", "segment_ord", "priority", F.posexplode(T.words(F.col("text")))
-    )
-    return pieces.where(T.is_word(F.col("col"))).select(
-        "page_id", "segment", "segment_ord", "priority", "pos", F.lower("col").alias("token")
+    pieces = _pieces(segments, script, keep_pages=False)
+    return pieces.where(T.is_word(F.col("piece"))).select(
+        "page_id", "segment", "segment_ord", "priority", "pos", F.lower("piece").alias("token")
     )
 
 
@@ -80,56 +87,56 @@ def page_token_stats(segments: DataFrame, script: str = T.CYRILLIC) -> DataFrame
     """Occurrences per page and token, and one row per page with a NULL token.
 
     That row carries ``url`` and ``gate``, so pages without tokens stay in the stream and
-    the page text need not be read a second time to bring them back.
+    the page text need not be read a second time to bring them back. Both are NULL on all
+    other rows and can be grouping columns, which keeps the aggregation a hash aggregation.
+    """
+    pieces = _pieces(segments, script, keep_pages=True)
+    kept = pieces.where(T.is_word(F.col("piece")) | F.col("gate").isNotNull())
+    tokens = kept.withColumn("token", F.lower("piece"))
+    return tokens.groupBy("page_id", "token", "url", "gate").agg(*occurrence_aggregates())
+
+
+def _pieces(segments: DataFrame, script: str, keep_pages: bool) -> DataFrame:
+    """Pieces of all segments; with ``keep_pages`` also a row per page without a piece.
+
+    Pages outside the gate get NULL texts instead of being filtered: a filter would be
+    pushed below the extraction and run it twice.
     """
     gated = segments.withColumn("gate", page_gate(script))
-    open_gate = F.col("gate") == "ok"
-    texts = [
-        F.struct(
-            F.lit(order).alias("segment_ord"),
-            F.lit(priority).alias("priority"),
-            F.when(open_gate & (F.col(name) != ""), F.col(name)).alias("text"),
-            F.lit(None).cast("string").alias("url"),
-            F.lit(None).cast("string").alias("gate"),
-        )
+    inside = F.col("gate") == "ok"
+    nothing = F.lit(None).cast("string")
+    rows = [
+        _segment_row(name, order, priority, F.when(inside & (F.col(name) != ""), F.col(name)), nothing, nothing)
         for order, (name, priority) in enumerate(SEGMENTS)
     ]
-    page = F.struct(
-        F.lit(len(SEGMENTS)).alias("segment_ord"),
-        F.lit(0).alias("priority"),
-        F.lit(None).cast("string").alias("text"),
-        F.col("url"),
-        F.col("gate"),
+    if keep_pages:
+        rows.append(_segment_row("page", len(SEGMENTS), 0, nothing, F.col("url"), F.col("gate")))
+    texts = gated.select("page_id", F.inline(F.array(*rows)))
+    texts = texts.where("text is not null or gate is not null")
+    return texts.select(
+        "page_id", "segment", "segment_ord", "priority", "url", "gate",
+        F.posexplode_outer(T.words(F.col("text"))).alias("pos", "piece"),
     )
-    rows = gated.select("page_id", F.inline(F.array(*texts, page)))
-    rows = rows.where("text is not null or gate is not null")
-    pieces = rows.select(
-        "page_id", "segment_ord", "priority", "url", "gate", F.posexplode_outer(T.words(F.col("text")))
-    )
-    token = F.when(T.is_word(F.col("col")), F.lower("col"))
-    return (
-        pieces.withColumn("token", token)
-        .where("token is not null or gate is not null")
-        .groupBy("page_id", "token")
-        .agg(*occurrence_aggregates(), F.max("url").alias("url"), F.max("gate").alias("gate"))
+
+
+def _segment_row(
+    name: str, order: int, priority: int, text: Column, url: Column, gate: Column
+) -> Column:
+    return F.struct(
+        F.lit(name).alias("segment"),
+        F.lit(order).alias("segment_ord"),
+        F.lit(priority).alias("priority"),
+        text.alias("text"),
+        url.alias("url"),
+        gate.alias("gate"),
     )
 
 
 def occurrence_aggregates() -> list[Column]:
+    """Count, priority sum and first place (segment in the high, position in the low bits)."""
+    place = F.shiftleft(F.col("segment_ord").cast("bigint"), 32) + F.col("pos")
     return [
         F.count(F.lit(1)).alias("n"),
         F.sum("priority").alias("priority_sum"),
-        F.min(F.struct("segment_ord", "pos")).alias("first_seen"),
-    ]
-
-
-def _segment_structs() -> list[Column]:
-    return [
-        F.struct(
-            F.lit(name).alias("segment"),
-            F.lit(order).alias("segment_ord"),
-            F.lit(priority).alias("priority"),
-            F.col(name).alias("text"),
-        )
-        for order, (name, priority) in enumerate(SEGMENTS)
+        F.min(place).alias("first_seen"),
     ]

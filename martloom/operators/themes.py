@@ -55,8 +55,8 @@ def score_terms(statistics: DataFrame) -> DataFrame:
     """Add ``tf, idf, tfidf, avg_priority, score``; rows with a NULL lemma do not count."""
     page = Window.partitionBy("page_id")
     n = F.when(F.col("lemma").isNotNull(), F.col("n"))
-    counted = statistics.withColumn("total", F.sum(n).over(page)).withColumn(
-        "max_n", F.max(n).over(page)
+    counted = statistics.withColumns(
+        {"total": F.sum(n).over(page), "max_n": F.max(n).over(page)}
     )
     return (
         counted.withColumn("tf", n / F.col("total"))
@@ -109,42 +109,103 @@ def theme_explain(keywords: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def _match_aggregates() -> list[Column]:
-    hit = F.col("industry").isNotNull()
-    pair = F.when(hit, F.struct("rank", "lemma"))
-    return [
-        F.sum(F.when(hit, F.col("match_weight"))).alias("weighted_score"),
-        F.count(F.when(hit, True)).alias("match_count"),
-        F.count(F.when(F.col("theme_weight") >= STRONG_WEIGHT, True)).alias("strong_keywords"),
-        # at most TOP_KEYWORDS pairs, one per ranked keyword of the page
-        F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["lemma"]).alias("matched"),
-    ]
+def _keyword_lists(keywords: DataFrame) -> DataFrame:
+    """``page_id, keywords``: the ranked keywords of every page, as many as were kept."""
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "lemma", "score")))
+    return keywords.groupBy("page_id").agg(ranked.alias("keywords"))
+
+
+def _bit(rank: Column) -> tuple[Column, Column]:
+    """Word and bit of a rank; 63 ranks to a word keep it positive."""
+    place = rank - 1
+    return F.floor(place / 63).cast("int"), F.pmod(place, F.lit(63)).cast("int")
 
 
-def match_themes(keywords: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Score, counts, share of the page's total and matched lemmas per page and subtheme."""
-    grouped = (
-        theme_explain(keywords, dictionary)
-        .groupBy("page_id", "industry", "subindustry")
-        .agg(*_match_aggregates())
+def _subtheme_scores(
+    pages: DataFrame, dictionary: DataFrame, top: int, facts: tuple[str, ...] = ()
+) -> DataFrame:
+    """Scores per page and subtheme, and one row per page that carries ``keywords`` and facts.
+
+    Which keywords matched is kept as bits by rank, so that all aggregates have a fixed
+    width and the many matches of common words go through a plain hash aggregation. The
+    page row has a NULL industry; its facts are NULL on the other rows and can be grouping
+    columns.
+    """
+    no_keyword = F.lit(None).cast("struct<rank:int,lemma:string,score:int>")
+    listed = pages.withColumn("_k", F.explode(F.concat(F.array(no_keyword), F.col("keywords"))))
+    carried = ("keywords", *facts)
+    is_page = F.col("_k").isNull()
+    word, bit = _bit(F.col("_k.rank"))
+    rows = listed.select(
+        "page_id",
+        *[F.when(is_page, F.col(name)).alias(name) for name in carried],
+        F.col("_k.score").alias("score"),
+        word.alias("_word"),
+        bit.alias("_bit"),
+        # page rows have no keyword: each its own key, or all would meet in one partition
+        F.coalesce("_k.lemma", _own_key()).alias("_key"),
     )
-    total = F.sum("weighted_score").over(Window.partitionBy("page_id"))
-    return grouped.withColumn(
-        "weighted_score_percent", F.try_divide(F.col("weighted_score"), total)
+    themes = dictionary.withColumnRenamed("keyword", "_key")
+    matched = lookup_join(rows, themes, ["_key"], "left", F.col("page_id")).where(
+        "industry is not null or keywords is not null"
     )
+    one = F.lit(1).cast("bigint")
+    bits = [
+        F.bit_or(F.when(F.col("_word") == w, F.call_function("shiftleft", one, F.col("_bit"))).otherwise(F.lit(0).cast("bigint")))
+        for w in range((top + 62) // 63)
+    ]
+    return matched.groupBy("page_id", "industry", "subindustry", *carried).agg(
+        F.sum(F.col("score") * F.col("weight")).alias("weighted_score"),
+        F.count("industry").alias("match_count"),
+        F.count(F.when(F.col("weight") >= STRONG_WEIGHT, True)).alias("strong_keywords"),
+        *[column.alias(f"_bits_{w}") for w, column in enumerate(bits)],
+    ).withColumn("matched_bits", F.array(*[f"_bits_{w}" for w in range(len(bits))])).drop(
+        *[f"_bits_{w}" for w in range(len(bits))]
+    )
+
+
+def _own_key() -> Column:
+    return F.concat(F.lit("\u0000"), F.col("page_id").cast("string"))
 
 
-def _best() -> Column:
+def _matched_lemmas(keywords: Column, bits: Column) -> Column:
+    def hit(keyword: Column) -> Column:
+        word, bit = _bit(keyword["rank"])
+        return F.getbit(F.get(bits, word), bit) == 1
+
+    return F.transform(F.filter(keywords, hit), lambda keyword: keyword["lemma"])
+
+
+def match_themes(
+    keywords: DataFrame, dictionary: DataFrame, top: int = TOP_KEYWORDS
+) -> DataFrame:
+    """Score, counts, share of the page's total and matched lemmas per page and subtheme.
+
+    ``top`` is the number of keywords ``score_keywords`` kept per page.
+    """
+    scores = _subtheme_scores(_keyword_lists(keywords), dictionary, top)
+    page = Window.partitionBy("page_id")
+    spread = scores.withColumns(
+        {"_total": F.sum("weighted_score").over(page), "_keywords": F.max("keywords").over(page)}
+    ).where("industry is not null")
+    return spread.select(
+        "page_id", "industry", "subindustry", "weighted_score", "match_count", "strong_keywords",
+        _matched_lemmas(F.col("_keywords"), F.col("matched_bits")).alias("matched"),
+        F.try_divide("weighted_score", "_total").alias("weighted_score_percent"),
+    )
+
+
+def _best(matched: str) -> Column:
     """Smallest struct of a page = highest score, then first industry and subindustry."""
     candidate = F.struct(
-        (-F.col("weighted_score")).alias("minus_score"), "industry", "subindustry", "matched"
+        (-F.col("weighted_score")).alias("minus_score"), "industry", "subindustry", matched
     )
     return F.min(F.when(F.col("weighted_score") > 0, candidate))
 
 
 def best_theme(matches: DataFrame) -> DataFrame:
     """Theme, subtheme and matched keywords of the highest positive score of every page."""
-    best = matches.groupBy("page_id").agg(_best().alias("best")).where("best is not null")
+    best = matches.groupBy("page_id").agg(_best("matched").alias("best")).where("best is not null")
     return best.select(
         "page_id",
         F.col("best.industry").alias("theme"),
@@ -228,38 +289,34 @@ def classify_pages(
 ) -> DataFrame:
     """One row per page: domain, theme, subtheme, confidence, keywords and ``status``.
 
-    The page text is read once. After the shuffle that groups the terms of a page no
-    further one is needed if the dictionary is small enough to broadcast: ranking,
+    The page text is read once and its segments are shuffled once, by page. If the
+    dictionary is small enough to broadcast nothing else is shuffled: counting, ranking,
     matching and confidence all work within the page. Statuses: ``ok`` (confidence may be
     NaN), ``no_content``, ``wrong_script``, ``no_keywords`` and the three outcomes that
     give up with the raw URL as domain: ``no_match``, ``single_match``, ``zero_total``.
     """
-    terms = _page_terms(page_token_stats(page_segments(pages), script), lemmas)
-    return _decide(_match_pages(_page_keywords(terms, top), dictionary, shown))
+    segments = page_segments(pages, by_page=True)
+    terms = _page_terms(page_token_stats(segments, script), lemmas)
+    scores = _subtheme_scores(_page_keywords(terms, top), dictionary, top, ("url", "gate"))
+    return _decide(scores, shown)
 
 
 def _page_terms(statistics: DataFrame, lemmas: DataFrame | None) -> DataFrame:
     if lemmas is None:
         return statistics.withColumnRenamed("token", "lemma")
     # page rows have no token: give each its own key, or all would meet in one partition
-    keyed = statistics.withColumn("_key", _own_key("token"))
+    keyed = statistics.withColumn("_key", F.coalesce("token", _own_key()))
     lookup = lemma_lookup(lemmas).withColumnRenamed("token", "_key")
     known = lookup_join(keyed, lookup, ["_key"], "left", F.col("page_id")).where(
         "lemma is not null or token is null"
     )
-    return known.groupBy("page_id", "lemma").agg(
+    return known.groupBy("page_id", "lemma", "url", "gate").agg(
         F.sum("n").alias("n"),
         F.sum("priority_sum").alias("priority_sum"),
         F.min("first_seen").alias("first_seen"),
-        F.max("url").alias("url"),
-        F.max("gate").alias("gate"),
     )
 
 
-def _own_key(name: str) -> Column:
-    return F.coalesce(F.col(name), F.concat(F.lit("\u0000"), F.col("page_id").cast("string")))
-
-
 def _page_keywords(terms: DataFrame, top: int) -> DataFrame:
     """One row per page with its URL, gate and ranked keywords (at most ``top``)."""
     ranked = rank_keywords(score_terms(terms)).where(
@@ -273,40 +330,14 @@ def _page_keywords(terms: DataFrame, top: int) -> DataFrame:
     )
 
 
-def _match_pages(pages: DataFrame, dictionary: DataFrame, shown: int) -> DataFrame:
-    """Subtheme scores of every page; page facts ride on the row of the first keyword."""
-    rows = pages.select("page_id", "url", "gate", "keywords", F.posexplode_outer("keywords"))
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    top_keywords = F.transform(F.slice("keywords", 1, shown), lambda k: k["lemma"])
-    rows = rows.select(
-        "page_id",
-        F.when(first, F.col("url")).alias("url"),
-        F.when(first, F.col("gate")).alias("gate"),
-        F.when(first, top_keywords).alias("top_keywords"),
-        F.col("col.rank").alias("rank"),
-        F.col("col.lemma").alias("lemma"),
-        F.col("col.score").alias("score"),
-    ).withColumn("_key", _own_key("lemma"))
-    themes = dictionary.withColumnRenamed("keyword", "_key").withColumnRenamed("weight", "theme_weight")
-    matched = lookup_join(rows, themes, ["_key"], "left", F.col("page_id"))
-    return (
-        matched.withColumn("match_weight", F.col("score") * F.col("theme_weight"))
-        .groupBy("page_id", "industry", "subindustry")
-        .agg(
-            *_match_aggregates(),
-            *[F.max(name).alias(name) for name in ("url", "gate", "top_keywords")],
-        )
-    )
-
-
-def _decide(matches: DataFrame) -> DataFrame:
-    facts = [F.max(name).alias(name) for name in ("url", "gate", "top_keywords")]
-    pages = _ranked_matches(matches).groupBy("page_id").agg(
-        *_confidence_aggregates(), _best().alias("best"), *facts
+def _decide(scores: DataFrame, shown: int) -> DataFrame:
+    facts = [F.max(name).alias(name) for name in ("url", "gate", "keywords")]
+    pages = _ranked_matches(scores).groupBy("page_id").agg(
+        *_confidence_aggregates(), _best("matched_bits").alias("best"), *facts
     )
     status = (
         F.when(F.col("gate") != "ok", F.col("gate"))
-        .when(F.size("top_keywords") == 0, "no_keywords")
+        .when(F.size("keywords") == 0, "no_keywords")
         .when(F.col("themes") == 0, "no_match")
         .when(F.col("total") == 0, "zero_total")
         .when(F.col("themes") == 1, "single_match")
@@ -316,6 +347,9 @@ def _decide(matches: DataFrame) -> DataFrame:
     ok = F.col("status") == "ok"
     raw_url = F.col("status").isin("no_match", "zero_total", "single_match")
     stopped = F.col("status").isin("no_content", "wrong_script")
+    none = F.array().cast("array<string>")
+    matched = _matched_lemmas(F.col("keywords"), F.col("best.matched_bits"))
+    top_keywords = F.transform(F.slice("keywords", 1, shown), lambda keyword: keyword["lemma"])
     return decided.select(
         "page_id",
         "url",
@@ -323,9 +357,7 @@ def _decide(matches: DataFrame) -> DataFrame:
         F.when(ok, F.col("best.industry")).alias("theme"),
         F.when(ok, F.col("best.subindustry")).alias("subtheme"),
         F.when(ok, F.col("confidence")).otherwise(F.lit(0.0)).alias("confidence"),
-        F.when(ok, F.coalesce("best.matched", F.array().cast("array<string>")))
-        .when(stopped, F.array().cast("array<string>"))
-        .alias("matched_keywords"),
-        F.when(~stopped & ~raw_url, F.col("top_keywords")).alias("top_keywords"),
+        F.when(ok, F.coalesce(matched, none)).when(stopped, none).alias("matched_keywords"),
+        F.when(~stopped & ~raw_url, top_keywords).alias("top_keywords"),
         "status",
     )

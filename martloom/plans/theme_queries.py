@@ -164,7 +164,7 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
-    return P.page_tokens(_segments(spark, d), SCRIPT)
+    return P.page_tokens(P.page_segments(I.pages(spark, d), by_page=True), SCRIPT)
 
 
 def _keywords(spark: SparkSession, d: str) -> DataFrame:

@@ -397,7 +397,7 @@ def forecast_summary(
     extent: DataFrame,
     errors: DataFrame,
     gaps: DataFrame,
-    run_ts: Column,
+    run_ts: str,
     failed: DataFrame | None = None,
 ) -> DataFrame:
     """One row of facts per request: status, error rate, parameters, size, session.
@@ -436,7 +436,7 @@ def forecast_summary(
         "forecasting_period",
         "n_rows",
         "n_columns",
-        S.session_id(run_ts).alias("session_id"),
+        S.session_id(F.lit(run_ts)).alias("session_id"),
     )
 
 
@@ -446,7 +446,7 @@ def forecast(
     hyper: DataFrame,
     calendar: DataFrame,
     as_of: datetime.date,
-    run_ts: Column,
+    run_ts: str,
     model: str = "additive",
     failed: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:

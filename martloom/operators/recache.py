@@ -37,10 +37,11 @@ def run_recaches(spark: SparkSession, due: DataFrame) -> DataFrame:
     """
     outcome = []
     for row in due.toLocalIterator():
-        destination = table_name(*[row[name] for name in DESTINATION])
+        parts = [row[name] for name in DESTINATION if row[name]]
+        destination = table_name(*parts)
         try:
             view = spark.table(table_name(*[row[name] for name in SOURCE]))
-            write_snapshot(spark, view, destination)
+            write_snapshot(spark, view, *parts)
             outcome.append((destination, "ok", None))
         except Exception as error:  # noqa: BLE001 - the batch must go on after any failure
             outcome.append((destination, "failed", str(error).split("\n")[0]))

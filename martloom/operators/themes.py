@@ -68,8 +68,8 @@ def score_terms(statistics: DataFrame) -> DataFrame:
 
 
 def _score() -> Column:
-    half = (F.col("tfidf") + F.col("avg_priority")) / 2
-    return F.least(F.bround(half, 0), F.lit(10.0)).cast("int")
+    rounded = F.bround((F.col("tfidf") + F.col("avg_priority")) / 2, 0)
+    return F.when(rounded > 10, 10.0).otherwise(rounded).cast("int")
 
 
 def rank_keywords(scored: DataFrame) -> DataFrame:
@@ -261,8 +261,8 @@ def _confidence_columns(pages: DataFrame) -> DataFrame:
         .withColumn("kw", kw)
         .withColumn("share", F.try_divide(F.col("score_1"), F.col("total")))
         .withColumn("lead", F.col("share") - F.try_divide(F.col("score_2"), F.col("total")))
-        # NaN sorts above every number here, so it is kept before the cap is applied
-        .withColumn("confidence", F.when(F.isnan(raw), raw).otherwise(F.least(raw, F.lit(1.0))))
+        # NaN compares above every number here, so it is kept before the cap is applied
+        .withColumn("confidence", F.when(F.isnan(raw), raw).when(raw > 1, 1.0).otherwise(raw))
     )
 
 

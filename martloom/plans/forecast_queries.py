@@ -87,6 +87,12 @@ _BACKTEST = f"""{_ROWS},
 # ---- Spark queries -----------------------------------------------------------------------
 
 
+def _cents(name):
+    """Cut to cents off the middle: daily sums are whole cents, so a forecast can lie right
+    between two of them, where the last bit of a sum would decide."""
+    return F.floor(F.col(name) * 100 + 0.4142) / 100
+
+
 def _params(spark, d):
     return S.forecast_params(I.read(spark, d, "requests"), I.read(spark, d, "hyperparameters"))
 
@@ -162,14 +168,14 @@ def _stored(spark, d):
 def forecast_trend_dow(spark, d):
     params, rows = _stored(spark, d)
     forecast = FC.fit_predict(rows, S.future_spine(rows, params))
-    return forecast.withColumn("yhat", F.round("yhat", 2))
+    return forecast.withColumn("yhat", _cents("yhat"))
 
 
 def plan_fact_mix(spark, d):
     params, rows = _stored(spark, d)
     forecast = FC.fit_predict(rows, S.future_spine(rows, params))
     return S.plan_fact(forecast, rows).withColumns(
-        {"yhat": F.round("yhat", 2), "iliPlanIliFact": F.round("iliPlanIliFact", 2)}
+        {"yhat": _cents("yhat"), "iliPlanIliFact": _cents("iliPlanIliFact")}
     )
 
 
@@ -192,7 +198,7 @@ def forecast_additive(spark, d):
     rows, params, calendar, names = _additive_frames(spark, d)
     spine = S.add_regressors(S.future_spine(rows, params), calendar, names)
     done = FC.fit_predict(rows, spine, "additive", params, names)
-    return done.select("series_id", "ds", "is_future", F.round("yhat", 2).alias("yhat"))
+    return done.select("series_id", "ds", "is_future", _cents("yhat").alias("yhat"))
 
 
 def backtest_additive(spark, d):
@@ -212,7 +218,7 @@ def regressor_gaps(spark, d):
 def _end_to_end(spark, d, model="additive"):
     return FC.forecast(
         I.read(spark, d, "requests"), _history(spark, d), I.read(spark, d, "hyperparameters"),
-        _calendar(spark, d), I.AS_OF, F.lit("2001-08-01 07:00:00"), model,
+        _calendar(spark, d), I.AS_OF, "2001-08-01 07:00:00", model,
     )
 
 
@@ -260,7 +266,8 @@ _HYPER_MAP = """SELECT forecastMarker, CASE WHEN is_special THEN concat_ws(',',
     'interval_width=0.8', 'seasonality_mode=' || seasonality_mode,
     'seasonality_prior_scale=' || seasonality_prior_scale) END AS parameters FROM params"""
 
-_MIX_COLUMNS = 'round(yhat, 2) AS yhat, round(mix, 2) AS "iliPlanIliFact"'
+_CENTS = "floor({} * 100 + 0.4142::DOUBLE) / 100"
+_MIX_COLUMNS = f'{_CENTS.format("yhat")} AS yhat, {_CENTS.format("mix")} AS "iliPlanIliFact"'
 _OTHER_CALENDAR = I.ctes("calendar").replace(I.ctes("history") + ",", "")
 
 QUERIES = {
@@ -298,7 +305,7 @@ QUERIES = {
     "future_spine": (future_spine, _select(_SPINE, "SELECT * FROM spine")),
     "forecast_trend_dow": (
         forecast_trend_dow,
-        _select(_FORECAST, "SELECT series_id, ds, is_future, round(yhat, 2) AS yhat FROM forecast"),
+        _select(_FORECAST, f"SELECT series_id, ds, is_future, {_CENTS.format('yhat')} AS yhat FROM forecast"),
     ),
     "plan_fact_mix": (
         plan_fact_mix,

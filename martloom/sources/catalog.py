@@ -66,7 +66,8 @@ def describe_tables(spark: SparkSession, listing: DataFrame) -> tuple[DataFrame,
                 )
             )
     raw = spark.createDataFrame(tables, DETAIL.replace("modified timestamp", "modified string"))
-    stamp = F.try_to_timestamp("modified", F.lit("EEE MMM dd HH:mm:ss z yyyy"))
+    without_weekday = F.regexp_replace("modified", "^[A-Za-z]+ ", "")
+    stamp = F.try_to_timestamp(without_weekday, F.lit("MMM dd HH:mm:ss z yyyy"))
     return (
         raw.withColumn("modified", stamp),
         spark.createDataFrame(columns, COLUMNS),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,27 +50,29 @@ def table_name(*parts: str | None) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts if part)
 
 
-def write_snapshot(spark: SparkSession, frame: DataFrame, destination: str) -> None:
-    """Replace a table by the rows of a frame, also where the frame reads that table.
+def write_snapshot(spark: SparkSession, frame: DataFrame, *parts: str) -> None:
+    """Replace the table of that name by the rows of a frame, also where it reads that table.
 
     The rows are written once, to a new table beside the old one, which then takes its
     name; a failure while writing leaves the old table as it was.
     """
-    stage = f"{destination[:-1]}_stage_{uuid.uuid4().hex}`"
+    destination = table_name(*parts)
+    stage = table_name(*parts[:-1], f"{parts[-1]}_stage_{uuid.uuid4().hex}")
     frame.write.saveAsTable(stage)
     spark.sql(f"DROP TABLE IF EXISTS {destination}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {destination}")
+    # the new name is read within the catalog of the table
+    spark.sql(f"ALTER TABLE {stage} RENAME TO {table_name(*parts[-2:])}")
 
 
 def materialise_sheet(
-    spark: SparkSession, source: str, destination: str, format: str = "csv", **options
+    spark: SparkSession, source: str, destination: Sequence[str], format: str = "csv", **options
 ) -> None:
-    """Static table (a ``table_name``) from an external sheet; csv columns are all text."""
+    """Static table (name parts) from an external sheet; csv columns are all text."""
     if format not in READERS:
         raise ValueError(f"format must be one of {READERS}")
     if format == "csv":
         options = {"header": "true", **options}
-    write_snapshot(spark, read_table(spark, source, format, **options), destination)
+    write_snapshot(spark, read_table(spark, source, format, **options), *destination)
 
 
 def run_sql_script(

@@ -373,11 +373,15 @@ def backtest(
     test = rows.where(in_fold & _known(F.col("y"))).select("series_id", "ds", "y", *regressors)
     tried = fit_predict(train, test, model, params, regressors)
     ape = F.abs((F.col("y") - F.col("yhat")) / F.when(F.col("y") != 0, F.col("y")))
-    errors = tried.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n_test"),
-        F.min(F.abs("y")).alias("_least"),
-        F.avg(ape).alias("_mean"),
-        F.median(F.coalesce(ape, F.lit(float("inf")))).alias("mdape"),
+    # equal errors are counted before the rows of a series meet
+    per_error = tried.groupBy(
+        "series_id", F.coalesce(ape, F.lit(float("inf"))).alias("_ape")
+    ).agg(F.count(F.lit(1)).alias("_n"), F.min(F.abs("y")).alias("_least"))
+    errors = per_error.groupBy("series_id").agg(
+        F.sum("_n").alias("n_test"),
+        F.min("_least").alias("_least"),
+        (F.sum(F.col("_ape") * F.col("_n")) / F.sum("_n")).alias("_mean"),
+        F.percentile("_ape", 0.5, F.col("_n")).alias("mdape"),
     )
     measured = errors.withColumn("mape", F.when(F.col("_least") >= MIN_FACT, F.col("_mean")))
     alive = frame.select("series_id").distinct().withColumn("_alive", F.lit(True))

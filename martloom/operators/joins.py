@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Bytes of stored, compressed columns; the hash table built from them is several times that.
+BROADCAST_LIMIT = 32 * 1024 * 1024
 SALTS = 16
 
 

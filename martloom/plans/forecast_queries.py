@@ -233,6 +233,20 @@ def forecast_summary(spark, d):
     )
 
 
+def forecast_end_to_end_trend(spark, d):
+    return _end_to_end(spark, d, "trend_dow")[0].withColumns(
+        {"yhat": _cents("yhat"), "iliPlanIliFact": _cents("iliPlanIliFact")}
+    )
+
+
+def forecast_summary_trend(spark, d):
+    return _end_to_end(spark, d, "trend_dow")[1].select(
+        "series_id", "status", F.round("error_rate", 6).alias("error_rate"), "is_special",
+        F.array_join("regressors", ",").alias("regressors"), "forecasting_period",
+        "n_rows", "n_columns", "session_id",
+    )
+
+
 def session_id(spark, d):
     orders = spark.read.parquet(f"{d.rstrip('/')}/orders.parquet")
     runs = orders.groupBy("o_orderpriority").agg(F.max("o_orderdate").alias("run_ts"))
@@ -331,6 +345,20 @@ QUERIES = {
     "backtest_additive": (backtest_additive, None),
     "forecast_end_to_end": (forecast_end_to_end, None),
     "forecast_summary": (forecast_summary, None),
+    "forecast_end_to_end_trend": (
+        forecast_end_to_end_trend,
+        _select(_MIX, f"SELECT series_id, ds, y, {_MIX_COLUMNS} FROM mixed"),
+    ),
+    "forecast_summary_trend": (
+        forecast_summary_trend,
+        _select(
+            _BACKTEST,
+            """SELECT b.series_id, CASE WHEN x.n_rows IS NULL THEN 'no_data' WHEN x.n_rows < 2 THEN 'too_short' ELSE 'ok' END AS status,
+            round(error_rate, 6) AS error_rate, is_special, regressors, forecasting_period, n_rows, n_columns,
+            md5('2001-08-01 07:00:00') AS session_id
+            FROM backtest b JOIN params p ON p.forecastMarker = b.series_id LEFT JOIN extent x ON x.series_id = b.series_id""",
+        ),
+    ),
     "session_id": (
         session_id,
         "SELECT o_orderpriority, md5(strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S')) AS session_id FROM orders GROUP BY 1",

@@ -7,12 +7,11 @@ they differ. Everything is derived row by row from whole tables and grows with t
 from __future__ import annotations
 
 import datetime
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martloom.functions import text as T
-from martloom.session import shared_folder
+from martloom.session import new_path
 
 AS_OF = datetime.date(2001, 8, 1)
 
@@ -355,7 +354,7 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder.rstrip("/"), name)
     if key not in _STORED:
         derived = spark.sql(f"WITH {ctes(name, dialect=Spark(folder))} SELECT * FROM {name}")
-        path = f"{shared_folder(spark).rstrip('/')}/input-{name}-{uuid.uuid4().hex}.parquet"
+        path = new_path(spark, f"input-{name}")
         derived.write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])

@@ -22,6 +22,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", **confs: str) -> Spa
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # call sites of column expressions are for debugging and cost a round trip each
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in confs.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -46,6 +48,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, under the application's own name for clean-up."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/{app}/{name}-{uuid.uuid4().hex}.parquet"
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back.
 
@@ -53,6 +61,6 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     executor, and gives the planner real sizes.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}.parquet"
+    path = new_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -1,6 +1,7 @@
 import datetime
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +242,47 @@ def test_own_column_wins_over_the_calendar(spark):
     frame = history(spark, "a", [1]).withColumn("dow", F.lit(42.0))
     (row,) = rows(S.add_regressors(frame, calendar(spark), ["dow", "load", "unknown"]))
     assert row["dow"] == 42.0 and row["load"] == 0.0 and "unknown" not in row
+
+
+def _design(days, start, span, loads):
+    t = (days - start) / span
+    columns = [np.ones_like(t), t] + [np.maximum(t - 0.8 * k / 25, 0) for k in range(1, 26)]
+    epoch = days - DAY(1970, 1, 1).toordinal()
+    for order, period, wanted in ((3, 7.0, span >= 14), (10, 365.25, span >= 730)):
+        for k in range(1, order + 1):
+            angle = 2 * np.pi * k * epoch / period
+            columns += [np.sin(angle) * wanted, np.cos(angle) * wanted]
+    return np.stack([*columns, loads], axis=1)
+
+
+def test_additive_agrees_with_a_direct_solve(spark):
+    values = [_signal(i) for i in range(800)]
+    rows_ = history(spark, "a", values)
+    p = params(spark, request("a", period="25"), stored=[("a", START, 0.3, 4.0, 2.0, "additive", "load", None)])
+    cal = calendar(spark)
+    full = S.add_regressors(rows_, cal, ["load"])
+    spine = S.add_regressors(S.future_spine(rows_, p), cal, ["load"])
+    got = np.array([r["yhat"] for r in rows(FC.fit_predict(full, spine, "additive", p, ["load"]), "ds")])
+
+    days = START.toordinal() + np.arange(825.0)
+    loads = np.arange(825) % 11.0
+    x = _design(days, days[0], 799, loads)
+    mean, spread = loads[:800].mean(), loads[:800].std()
+    x[:, -1] = (loads - mean) / spread
+    y = np.array(values)
+    scale = y.max()
+    penalty = np.array([1 / 25] * 2 + [0.5 / 0.3**2] * 25 + [1 / 16] * 26 + [1 / 4])
+    noise = 0.01
+    for _ in range(5):
+        beta = np.linalg.solve(x[:800].T @ x[:800] + noise * np.diag(penalty), x[:800].T @ (y / scale))
+        noise = max(np.mean((y / scale - x[:800] @ beta) ** 2), 1e-8)
+    assert np.allclose(got, scale * (x @ beta), rtol=1e-6)
+
+
+def test_median_of_repeated_errors(spark):
+    values = [100.0] * 60 + [0.0] + [100.0] * 29
+    p = params(spark, request("a", error="true"))
+    base = history(spark, "a", values)
+    one = rows(FC.backtest(S.history_frame(base, p, AS_OF), p))[0]
+    two = rows(FC.backtest(S.history_frame(base.unionByName(base), p, AS_OF), p))[0]
+    assert two["n_test"] == 2 * one["n_test"] and two["mdape"] == pytest.approx(one["mdape"])

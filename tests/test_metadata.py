@@ -1,4 +1,6 @@
 import datetime
+import random
+import re
 
 import pytest
 
@@ -152,3 +154,16 @@ def test_input_order_does_not_matter(spark):
     one = rows(M.field_docs(docs))
     assert one == rows(M.field_docs(docs.orderBy("field_description")))
     assert one == rows(M.field_docs(docs.repartition(3)))
+
+
+def test_dated_match_agrees_with_the_pattern(spark):
+    pieces = random.Random(5)
+    names = {"".join(pieces.choice(["m", "_", "__", "20240301", "7", "x"]) for _ in range(pieces.randint(1, 5))) for _ in range(600)}
+    wanted = sorted(name for name in names if name.endswith("_"))
+    expected = {}
+    for target in wanted:
+        pattern = re.compile(re.escape(target) + r"_?(\d{8})?$")
+        hits = sorted(name for name in names if pattern.match(name))
+        expected[target] = hits[-1] if hits else None
+    got = resolve(spark, wanted, sorted(names))
+    assert {target: got[target][0] for target in wanted} == expected and len(wanted) > 50

@@ -263,54 +263,63 @@ def _quoted_name() -> Column:
     return F.concat(F.lit("`"), F.col("dataset"), F.lit("`.`"), F.col("table"), F.lit("`"))
 
 
-def _statements(plan: DataFrame, step: int, item: Column, text: Column) -> DataFrame:
-    return plan.select(
-        F.lit(step).alias("launch_order"), *KEYS, item.alias("item"), text.alias("statement")
+def _step(order: int, item: Column, statement: Column) -> Column:
+    return F.struct(
+        F.lit(order).alias("launch_order"), item.alias("item"), statement.alias("statement")
     )
 
 
+def _property(key: Column, value: Column) -> Column:
+    return F.concat(
+        F.lit("ALTER TABLE "), _quoted_name(), F.lit(" SET TBLPROPERTIES ("),
+        sql_string(key), F.lit(" = "), sql_string(value), F.lit(")"),
+    )
+
+
+def _column_steps(plan: DataFrame) -> Column:
+    comment = F.concat(
+        F.lit("ALTER TABLE "), _quoted_name(), F.lit(" ALTER COLUMN `"), F.col("field"),
+        F.lit("` COMMENT "), sql_string(F.col("description")),
+    )
+    changed = ~F.col("description").eqNullSafe(F.col("old_description"))
+    steps = [F.when(changed, _step(1, F.col("field"), comment))]
+    if "policy_tags" in plan.columns:
+        tag = _property(
+            F.concat(F.lit("policy."), F.col("field")), F.array_join("policy_tags", ",")
+        )
+        retagged = ~F.col("policy_tags").eqNullSafe(F.col("old_policy_tags"))
+        steps.append(F.when(retagged, _step(2, F.col("field"), tag)))
+    return F.array_compact(F.array(*steps))
+
+
+def _table_steps() -> Column:
+    text = F.when(F.col("description").isNull(), "NULL").otherwise(sql_string(F.col("description")))
+    comment = F.concat(F.lit("COMMENT ON TABLE "), _quoted_name(), F.lit(" IS "), text)
+    labels = F.transform(
+        F.map_entries("labels"),
+        lambda e: _step(4, e["key"], _property(F.concat(F.lit("label."), e["key"]), e["value"])),
+    )
+    described = F.array(_step(3, F.lit("description"), comment))
+    return F.when(F.col("labels_changed"), F.concat(described, labels)).otherwise(described)
+
+
 def metadata_ddl(
     columns: DataFrame | None = None, tables: DataFrame | None = None, policy: DataFrame | None = None
 ) -> DataFrame:
     """``launch_order, project, dataset, table, item, statement``: one row per change.
 
     Columns come first, then table descriptions, then labels, one statement per label.
-    Policy tags are kept as the table property ``policy.<field>``.
+    Policy tags are kept as the table property ``policy.<field>``. Every plan is read once:
+    all statements of a row come from one generator.
     """
-    name = _quoted_name()
-    parts = []
-    for plan in (columns, policy):
-        if plan is None:
-            continue
-        changed = plan.where(~F.col("description").eqNullSafe(F.col("old_description")))
-        comment = F.concat(
-            F.lit("ALTER TABLE "), name, F.lit(" ALTER COLUMN `"), F.col("field"),
-            F.lit("` COMMENT "), sql_string(F.col("description")),
-        )
-        parts.append(_statements(changed, 1, F.col("field"), comment))
-    if policy is not None:
-        retagged = policy.where(~F.col("policy_tags").eqNullSafe(F.col("old_policy_tags")))
-        tags = F.array_join("policy_tags", ",")
-        prop = _property(name, F.concat(F.lit("policy."), F.col("field")), tags)
-        parts.append(_statements(retagged, 2, F.col("field"), prop))
+    parts = [
+        plan.select(*KEYS, F.inline(_column_steps(plan)))
+        for plan in (columns, policy)
+        if plan is not None
+    ]
     if tables is not None:
-        good = tables.where("status = 'ok'")
-        text = F.when(F.col("description").isNull(), "NULL").otherwise(sql_string(F.col("description")))
-        comment = F.concat(F.lit("COMMENT ON TABLE "), name, F.lit(" IS "), text)
-        parts.append(_statements(good, 3, F.lit("description"), comment))
-        labels = good.where("labels_changed").select(
-            *KEYS, F.explode("labels").alias("label", "value")
-        )
-        prop = _property(name, F.concat(F.lit("label."), F.col("label")), F.col("value"))
-        parts.append(_statements(labels, 4, F.col("label"), prop))
+        parts.append(tables.where("status = 'ok'").select(*KEYS, F.inline(_table_steps())))
     ddl = parts[0]
     for part in parts[1:]:
         ddl = ddl.unionByName(part)
-    return ddl
-
-
-def _property(name: Column, key: Column, value: Column) -> Column:
-    return F.concat(
-        F.lit("ALTER TABLE "), name, F.lit(" SET TBLPROPERTIES ("),
-        sql_string(key), F.lit(" = "), sql_string(value), F.lit(")"),
-    )
+    return ddl.select("launch_order", *KEYS, "item", "statement")

@@ -29,7 +29,8 @@ def _base_id() -> Column:
 def field_docs(table_schema: DataFrame) -> DataFrame:
     """``base_id, field, description, tag_id``: one row per documented field.
 
-    Repeated rows collapse; of differing ones the smallest (NULL first) stands.
+    Repeated rows collapse first (a hash aggregation, before any shuffle); of differing
+    ones the smallest (NULL first) stands.
     """
     rows = table_schema.where(F.col("project").isNotNull()).select(
         dotted_id(F.col("project"), F.col("dataset"), F.col("table_name")).alias("base_id"),
@@ -37,7 +38,7 @@ def field_docs(table_schema: DataFrame) -> DataFrame:
         F.col("field_description").alias("description"),
         "tag_id",
     )
-    first = rows.groupBy("base_id", "field").agg(F.min(F.struct("description", "tag_id")).alias("_first"))
+    first = rows.distinct().groupBy("base_id", "field").agg(F.min(F.struct("description", "tag_id")).alias("_first"))
     return first.select("base_id", "field", "_first.description", "_first.tag_id")
 
 
@@ -47,7 +48,7 @@ def _table_options(table_metadata: DataFrame) -> DataFrame:
         "option",
         "option_name",
         "option_value",
-    )
+    ).distinct()
 
 
 def label_docs(table_metadata: DataFrame) -> DataFrame:
@@ -170,7 +171,7 @@ def _documented_columns(resolved: DataFrame, columns: DataFrame, docs: DataFrame
     tables = docs.select("base_id").distinct()
     chosen = lookup_join(_refreshed(resolved), tables, ["base_id"], "inner")
     at = chosen.withColumnRenamed("resolved_table", "table")
-    own = columns.join(at, KEYS, "inner")
+    own = lookup_join(columns, at, KEYS, "inner", F.col("field"))
     sheet = docs.select(
         "base_id",
         "field",

@@ -8,6 +8,7 @@ from martloom.operators import metadata as M
 from martloom.operators import recache as R
 from martloom.operators import viewgate as V
 from martloom.plans import inputs as I
+from martloom.session import stage
 from martloom.sources import tables as S
 
 # ---- SQL twins ---------------------------------------------------------------------------
@@ -159,23 +160,28 @@ def _resolved(spark, d):
     )
 
 
-def _policy_plan(spark, d, update_description, update_policy):
+def _stored_resolved(spark, d):
+    """Resolved targets as a small table: the plans join the catalog with it by broadcast."""
+    return stage(_resolved(spark, d), "resolved")
+
+
+def _policy_plan(spark, d, resolved, update_description, update_policy):
     return M.plan_column_policy(
-        _resolved(spark, d), I.read(spark, d, "catalog_columns"), _field_docs(spark, d),
+        resolved, I.read(spark, d, "catalog_columns"), _field_docs(spark, d),
         update_description, update_policy,
     )
 
 
 def _column_plan(spark, d, update_description):
     return M.plan_column_metadata(
-        _resolved(spark, d), I.read(spark, d, "catalog_columns"), _field_docs(spark, d),
+        _stored_resolved(spark, d), I.read(spark, d, "catalog_columns"), _field_docs(spark, d),
         update_description,
     )
 
 
-def _table_plan(spark, d):
+def _table_plan(spark, d, resolved):
     return M.plan_table_metadata(
-        _resolved(spark, d), I.read(spark, d, "catalog_tables"), _table_docs(spark, d)
+        resolved, I.read(spark, d, "catalog_tables"), _table_docs(spark, d)
     )
 
 
@@ -254,17 +260,22 @@ def metadata_plan_columns_default(spark, d):
 
 
 def metadata_plan_policy(spark, d):
-    return _policy_plan(spark, d, True, True).withColumns(
+    return _policy_plan(spark, d, _stored_resolved(spark, d), True, True).withColumns(
         {"policy_tags": _tag_text("policy_tags"), "old_policy_tags": _tag_text("old_policy_tags")}
     )
 
 
 def metadata_plan_tables(spark, d):
-    return _table_plan(spark, d).withColumn("labels", _label_text())
+    plan = _table_plan(spark, d, _stored_resolved(spark, d))
+    return plan.withColumn("labels", _label_text())
 
 
 def metadata_ddl(spark, d):
-    return M.metadata_ddl(tables=_table_plan(spark, d), policy=_policy_plan(spark, d, True, True))
+    resolved = _stored_resolved(spark, d)
+    return M.metadata_ddl(
+        tables=_table_plan(spark, d, resolved),
+        policy=_policy_plan(spark, d, resolved, True, True),
+    )
 
 
 def recache_due(spark, d):

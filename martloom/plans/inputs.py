@@ -355,7 +355,8 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if key not in _STORED:
         derived = spark.sql(f"WITH {ctes(name, dialect=Spark(folder))} SELECT * FROM {name}")
         path = new_path(spark, f"input-{name}")
-        derived.write.parquet(path)
+        # the test tables are single files: spread what is derived from them over the cores
+        derived.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

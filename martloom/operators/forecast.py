@@ -75,9 +75,11 @@ def fit_trend_dow(rows: DataFrame) -> DataFrame:
     lines = sums.withColumn("slope", F.when(sxx > 0, sxy / sxx).otherwise(0.0)).withColumn(
         "intercept", (F.col("_y") - F.col("slope") * F.col("_t")) / F.col("_n")
     )
-    effect = lambda d: F.struct(
-        d["_dow"], (d["_y"] - F.col("slope") * d["_t"]) / d["_n"] - F.col("intercept")
-    )
+
+    def effect(d: Column) -> Column:
+        mean_rest = (d["_y"] - F.col("slope") * d["_t"]) / d["_n"] - F.col("intercept")
+        return F.struct(d["_dow"], mean_rest)
+
     return lines.select(
         "series_id",
         "slope",
@@ -455,7 +457,7 @@ def forecast(
     failed: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast rows ``series_id, ds, y, yhat, iliPlanIliFact`` and one summary row per
-    request. Series with a regressor gap or without history have no forecast rows."""
+    request. Series with a regressor gap or fewer than two rows have no forecast rows."""
     params = stage(S.forecast_params(requests, hyper), "params")
     names = S.calendar_columns(calendar) if model == "additive" else []
     rows = stage(S.history_rows(history.select("series_id", "ds", "y"), params), "rows")
@@ -467,13 +469,11 @@ def forecast(
         full_spine = S.add_regressors(spine, calendar, names)
     # every history day is on the spine, so a gap shows there
     gaps = stage(regressor_gaps(full_spine, params, names), "gaps")
-    good = full_rows
+    long_enough = extent.where("n_rows >= 2").select("series_id", "cutoff")
+    good = lookup_join(full_rows, long_enough, ["series_id"], "inner", F.col("ds"))
     if names:
-        good = lookup_join(full_rows, gaps, ["series_id"], "left_anti", F.col("ds"))
+        good = lookup_join(good, gaps, ["series_id"], "left_anti", F.col("ds"))
     predicted = fit_predict(good, full_spine, model, params, names)
     result = S.plan_fact(predicted, rows)
-    cut = extent.select("series_id", "cutoff")
-    errors = backtest(
-        lookup_join(good, cut, ["series_id"], "inner", F.col("ds")), params, model, names
-    )
+    errors = backtest(good, params, model, names)
     return result, forecast_summary(params, extent, errors, gaps, run_ts, failed)

@@ -47,7 +47,8 @@ def describe_tables(spark: SparkSession, listing: DataFrame) -> tuple[DataFrame,
     for row in listing.toLocalIterator():
         key = (row["project"], row["dataset"], row["table"])
         name = f"`{row['dataset']}`.`{row['table']}`"
-        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").toLocalIterator()}
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").toLocalIterator()
+        detail = {r["col_name"]: r["data_type"] for r in described}
         properties = {
             r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").toLocalIterator()
         }

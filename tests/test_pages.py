@@ -84,3 +84,11 @@ def test_script_gate(spark):
 def test_layout_does_not_change_segments(spark):
     frame = pages(spark, *[(i, f"{i}.ru", PAGE) for i in range(20)])
     assert rows(P.page_segments(frame, by_page=True)) == rows(P.page_segments(frame))
+
+
+def test_large_input_gets_more_partitions(spark):
+    frame = pages(spark, *[(i, f"{i}.ru", PAGE) for i in range(20)])
+    assert P._by_page(frame, 50 * 1024**3).rdd.getNumPartitions() == 50
+    planned = P._by_page(frame, 10**15)._jdf.queryExecution().analyzed().toString()
+    assert f", {P.MOST_PARTITIONS}" in planned
+    assert rows(P._by_page(frame, 50 * 1024**3)) == rows(frame)

@@ -190,3 +190,22 @@ def test_generators_void_the_size_bound(spark):
     frame = spark.range(10).select(F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("n"))
     assert J.plan_bytes(frame) is None and not J.is_small(frame)
     assert J.is_small(spark.range(10))
+
+
+@pytest.mark.parametrize("skew_join", ["true", "false"])
+def test_large_dictionaries_take_another_way_to_the_same_result(spark, monkeypatch, skew_join):
+    from martloom.operators import joins as J
+
+    lemmas = spark.createDataFrame(
+        [(w, w, "NOUN") for w in ("окно", "рама", "дом", "булка", "мука", "чай", "нуль", "слон")],
+        "token string, lemma string, pos string",
+    )
+    plain = repr(_classified(spark, lemmas))
+    monkeypatch.setattr(J, "is_small", lambda *_: False)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", skew_join)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert repr(_classified(spark, lemmas)) == plain
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

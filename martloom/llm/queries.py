@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
+from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, quality, repeat_dedup
 from martloom.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(docs, table(spark, folder, "labels"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 OP3_SQL = r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -57,4 +61,5 @@ QUERIES = {
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, None),
     "op6_mixing": (op6_mixing, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
+    "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, quality, repeat_dedup
+from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, pii, quality, repeat_dedup
 from martloom.llm.common import table
 
 
@@ -33,6 +33,16 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("row")
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in pii.KINDS],
+        F.sha2(pii.spelled("base_spans"), 256).alias("base_sha256"),
+        pii.spelled("all_spans").alias("spans"),
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.classify(docs, table(spark, folder, "labels"))
@@ -60,6 +70,7 @@ QUERIES = {
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, None),
     "op6_mixing": (op6_mixing, None),
+    "op8_pii": (op8_pii, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
 }

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, pii, quality, repeat_dedup
+from martloom.llm import decontaminate, exact_dedup, licenses, mixing, near_dedup, pii, quality, repeat_dedup, token_files, warc
 from martloom.llm.common import table
+from martloom.session import new_path
+
+# A public vocabulary of byte pairs for many languages, and the number free for separators.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+SEPARATOR = 50_256
+
+
+def op1_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    out = new_path(spark, "token-files")
+    return token_files.token_counts(table(spark, folder, "documents"), out, vocabulary, PATTERN, SEPARATOR)
 
 
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +29,12 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    out = new_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), out)
+    return warc.read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -33,6 +51,16 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("row")
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_licenses"),
+        F.array_join(F.transform("found", lambda x: x["license"]), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["part"])), F.lit(0.0)).alias("best_part"),
+    )
+
+
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.personal_data(table(spark, folder, "documents"))
     return found.select(
@@ -65,11 +93,26 @@ WITH bare AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM grouped
 """
 
+OP4_SQL = """
+WITH records AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), named AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM records
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM named
+"""
+
 QUERIES = {
+    "op1_token_counts": (op1_token_counts, None),
     "op2_minhash_near_dedup": (op2_minhash_near_dedup, None),
     "op3_exact_dedup": (op3_exact_dedup, OP3_SQL),
+    "op4_warc": (op4_warc, OP4_SQL),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, None),
     "op6_mixing": (op6_mixing, None),
+    "op7_license_scan": (op7_license_scan, None),
     "op8_pii": (op8_pii, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),

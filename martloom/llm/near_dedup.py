@@ -34,7 +34,8 @@ BITS = 16
 CHUNKS = 16
 ERRORS = 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1  # 31: at similarity 0.85, 1 pair in 300 000 differs in more
-BLOCK = 128  # members compared at once
+SIGNATURES = 1024  # signatures compared at once
+BLOCK = 128  # texts compared at once
 BLOCK_SHINGLES = 200_000  # and about so many shingles
 
 _SEEDS = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -305,7 +306,7 @@ def near_groups(
     part = components(tied)
     named = buckets.join(part.toDF("c", "root"), "c", "left").withColumn("part", F.coalesce("root", "c")).drop("root")
     mixed = named.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("key")
-    rows = named.join(mixed, "key").select("key", "c", "part", F.ceil(F.col("size") / BLOCK).alias("blocks")).join(sig, "c")
+    rows = named.join(mixed, "key").select("key", "c", "part", F.ceil(F.col("size") / SIGNATURES).alias("blocks")).join(sig, "c")
     rows = blocked(rows, "key", "blocks").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     more = stage(mixed_bucket_edges(rows.select("key", "lo", "hi", "_mine", "c", "part", "sig")), "mixed-edges")
     if not more.isEmpty():

@@ -62,6 +62,7 @@ def test_near_large_group_in_blocks(spark, monkeypatch):
     rows = [(i, t, *_) for i, (_, t, *_) in enumerate(D.hostile_documents(5)[:40] * 3)]
     rows = [(i, (t + " tail%d" % (i % 7)) if t else t, *rest) for i, t, *rest in rows]
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    monkeypatch.setattr(near_dedup, "SIGNATURES", 8)
     check_near(D.frame(spark, rows), rows)
 
 

@@ -58,6 +58,24 @@ def join_by_size(base: DataFrame, groups: DataFrame, key: str, size: str, total:
     return first.unionByName(rest)
 
 
+def perhaps_in(base: DataFrame, keys: DataFrame, key: str, bits: int = 1 << 26) -> DataFrame:
+    """``base`` without most rows whose ``key`` (a hash, long) is not in ``keys``.
+
+    All rows whose key is there stay, and others by chance: a key counts as there if its place in a
+    map of ``bits`` bits is set. The map, 8 MB whatever the number of keys, is
+    aggregated on the executors and broadcast; with more keys than bits it only filters less.
+    """
+    at = lambda name: F.pmod(F.col(name), F.lit(bits))
+    # one map of 32768 bits a row, as bitmap_construct_agg makes them
+    maps = keys.select(F.shiftright(at(key), 15).alias("_map"), at(key).bitwiseAND(32767).alias("_bit"))
+    maps = maps.groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_set"))
+    placed = base.withColumns({"_map": F.shiftright(at(key), 15), "_bit": at(key).bitwiseAND(32767).cast("int")})
+    byte = F.conv(F.hex(F.substring("_set", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = placed.join(F.broadcast(maps), "_map")
+    hit = F.expr("power(2, _bit % 8)").cast("int")
+    return joined.filter(byte.bitwiseAND(hit) != 0).drop("_map", "_bit", "_set")
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the driver notice that finished shuffles are unreachable, so their files go.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import bytes_of, free_shuffles, join_by_size
+from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_in
 from martloom.llm.components import components
 from martloom.llm.shingles import SHINGLE, WordHashes, mix, shingle_set
 from martloom.session import stage
@@ -319,6 +319,7 @@ def near_groups(
     )
     members = stage(sized.join(spans, "cluster"), "members")
     texts = docs.select(text_key(id_col, text_col).alias("tkey"), bytes_of(text_col).alias("data"))
+    texts = perhaps_in(texts, members, "tkey")
     rows = blocked(texts.join(members, "tkey"), "cluster", "blocks")
     rows = rows.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
     links = stage(confirmed_links(rows.select("cluster", "lo", "hi", "_mine", "c", "set_hash", "data"), percent), "links")

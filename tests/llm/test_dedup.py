@@ -106,3 +106,14 @@ def test_components(spark):
     got = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: top(x) for x in up}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_perhaps_in_keeps_every_key(spark):
+    from martloom.llm.common import perhaps_in
+
+    base = spark.range(20_000).selectExpr("xxhash64(id) AS k", "id")
+    keys = base.filter("id % 97 = 0").select("k")
+    for bits, most in ((1 << 26, 250), (1 << 15, 600)):
+        got = {r.id for r in perhaps_in(base, keys, "k", bits).collect()}
+        assert set(range(0, 20_000, 97)) <= got and len(got) < most
+    assert perhaps_in(base, keys.limit(0), "k").count() == 0

@@ -15,18 +15,20 @@ EDGE_SPACE = r"^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+$"
 # Comments and the two raw-text elements, never visible text.
 HIDDEN = (
     r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<script(?:[\s/][^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|<style(?:[\s/][^>]*)?>.*?(?:</style\s*>|\z)"
 )
-FOOTER = r"(?is)<footer\b[^>]*>.*?</footer\s*>"
-HEADER = r"(?is)<header\b[^>]*>.*?</header\s*>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-H1 = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
-H2_H3 = r"(?is)<h[23]\b[^>]*>(.*?)</h[23]\s*>"
-PARAGRAPH = r"(?i)<p\b[^>]*>"
+# A tag's name ends at white space, a slash or the bracket: <header-bar> is no <header>. An
+# element without an end tag reaches to the end of the page, which also keeps the match linear.
+FOOTER = r"(?is)<footer(?:[\s/][^>]*)?>.*?(?:</footer\s*>|\z)"
+HEADER = r"(?is)<header(?:[\s/][^>]*)?>.*?(?:</header\s*>|\z)"
+TITLE = r"(?is)<title(?:[\s/][^>]*)?>(.*?)(?:</title\s*>|\z)"
+H1 = r"(?is)<h1(?:[\s/][^>]*)?>(.*?)(?:</h1\s*>|\z)"
+H2_H3 = r"(?is)<h[23](?:[\s/][^>]*)?>(.*?)(?:</h[23]\s*>|\z)"
+PARAGRAPH = r"(?i)<p(?:[\s/][^>]*)?>"
 PARAGRAPH_END = r"(?is)</p\s*>.*\z"
 # Tags inside a word or sentence; they vanish, all others part words.
-INLINE_TAG = r"(?i)</?(?:a|abbr|b|br|code|em|font|i|mark|s|small|strong|sub|sup|u|wbr)\b[^>]*>"
+INLINE_TAG = r"(?i)</?(?:a|abbr|b|br|code|em|font|i|mark|s|small|strong|sub|sup|u|wbr)(?:[\s/][^>]*)?>"
 TAG = r"<[^>]*>"
 META = r"""(?is)<meta(?:\s[^>]*)?[\s"'/]name\s*=\s*["']?(?-i:{name})(?:["'\s/][^>]*)?>"""
 CONTENT_ATTR = r"""(?is)[\s"'/]content\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Bytes of stored, compressed columns; the hash table built from them is several times that.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 SALTS = 16
+# A source without statistics counts as 2**63 - 1 bytes, and what is built on it as about so many.
+UNKNOWN = 2**60
 
 
 def plan_bytes(frame: DataFrame) -> int | None:
@@ -21,7 +23,8 @@ def plan_bytes(frame: DataFrame) -> int | None:
         plan = frame._jdf.queryExecution().optimizedPlan()
         if "Generate " in plan.toString():
             return None
-        return int(str(plan.stats().sizeInBytes()))
+        size = int(str(plan.stats().sizeInBytes()))
+        return size if size < UNKNOWN else None
     except AttributeError:  # a remote session gives no plan access
         return None
 

@@ -14,21 +14,15 @@ ANSWER_CATEGORY = "категория"
 ANSWER_SUBCATEGORY = "подкатегория"
 UNDEFINED = "Не определено"
 BODY_CHARS = 800
-# All pairs go into every prompt; more than this is a mistake in the category table.
-MAX_PAIRS = 100_000
 
 PROMPT = (
-    "Сайт {domain}\n"
-    "<title>{title}</title>\n"
-    "<meta keywords>{meta_keywords}</meta keywords>\n"
-    "<meta description>{meta_description}</meta description>\n"
-    "<h1>{h1}</h1>\n"
-    "<content>{body}</content>\n"
+    "Сайт {domain}. Его страница в виде JSON: {page}\n"
     "Определи одну категорию и одну её подкатегорию строго по списку: {taxonomy}\n"
     "Других категорий не существует. Ответь одним объектом JSON и ничем кроме него:\n"
     '{"категория": "...", "подкатегория": "..."}'
 )
-PROMPT_FIELDS = ("domain", "title", "meta_keywords", "meta_description", "h1", "body", "taxonomy")
+PAGE_FIELDS = ("title", "h1", "meta_description", "meta_keywords", "body")
+PROMPT_FIELDS = ("domain", "page", "taxonomy", *PAGE_FIELDS)
 
 
 def read_taxonomy(dictionary: DataFrame) -> DataFrame:
@@ -44,35 +38,31 @@ def taxonomy(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def taxonomy_text(categories: DataFrame, max_pairs: int = MAX_PAIRS) -> DataFrame:
-    """One row: the whole list as JSON text; fails if it has more than ``max_pairs`` pairs."""
-    sized = categories.agg(
-        F.coalesce(F.sum(F.size("subcategories")), F.lit(0)).alias("pairs"),
-        F.array_sort(
-            F.collect_list(
-                F.struct(F.col("category").alias(CATEGORY), F.col("subcategories").alias(SUBCATEGORY))
-            )
-        ).alias("entries"),
-    )
-    too_many = F.raise_error(F.lit(f"category list exceeds {max_pairs} pairs"))
-    return sized.select(
-        F.when(F.col("pairs") > max_pairs, too_many.cast("string"))
-        .otherwise(F.to_json("entries"))
-        .alias("taxonomy")
+def taxonomy_text(categories: DataFrame) -> DataFrame:
+    """One row: the whole list as JSON text.
+
+    The list is part of every prompt, so it is one value: its size is bounded by what a
+    model reads, not by this function.
+    """
+    entries = F.array_sort(
+        F.collect_list(F.struct(F.col("category").alias(CATEGORY), F.col("subcategories").alias(SUBCATEGORY)))
     )
+    return categories.agg(F.to_json(entries).alias("taxonomy"))
 
 
 def build_prompts(segments: DataFrame, categories: DataFrame, template: str = PROMPT) -> DataFrame:
     """``page_id, domain, prompt``: page text and category list put into the template.
 
     The category list is one value for all pages: a scalar subquery, not a join. Fields
-    stand in the template as ``{name}``, for the names in ``PROMPT_FIELDS``.
+    stand in the template as ``{name}``, for the names in ``PROMPT_FIELDS``; ``{page}`` is one
+    JSON object of ``PAGE_FIELDS``.
     """
+    body = F.concat_ws(" ", F.col("first_paragraphs"), F.substring("main_content", 1, BODY_CHARS))
+    fields = [body.alias(name) if name == "body" else F.col(name) for name in PAGE_FIELDS]
     values = {
         "domain": F.col("url"),
-        "body": F.concat_ws(
-            " ", F.col("first_paragraphs"), F.substring("main_content", 1, BODY_CHARS)
-        ),
+        "body": body,
+        "page": F.to_json(F.struct(*fields)),
         "taxonomy": taxonomy_text(categories).scalar(),
     }
     parts, rest = [], template

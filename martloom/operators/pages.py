@@ -10,7 +10,6 @@ from martloom.operators.joins import is_small, plan_bytes
 
 # Stored HTML per partition of segments: their text is a small part of it.
 STORED_PER_PARTITION = 1024**3
-MOST_PARTITIONS = 20_000
 
 # Segments of a page from the most to the least telling, with priorities.
 SEGMENTS = (
@@ -71,7 +70,7 @@ def _by_page(segments: DataFrame, stored: int | None) -> DataFrame:
     """Layout by page; large input gets more partitions than the session's default, which
     adaptive execution could only lower."""
     default = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-(stored or 0) // STORED_PER_PARTITION), MOST_PARTITIONS)
+    wanted = -(-(stored or 0) // STORED_PER_PARTITION)
     if wanted > default:
         return segments.repartition(wanted, "page_id")
     return segments.repartition("page_id")

@@ -94,8 +94,11 @@ def shown_keywords(keywords: DataFrame, shown: int = SHOWN_KEYWORDS) -> DataFram
 
 
 def theme_explain(keywords: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Every keyword match with site weight, dictionary weight and their product."""
-    themes = dictionary.withColumnRenamed("keyword", "lemma")
+    """Every keyword match with site weight, dictionary weight and their product.
+
+    The dictionary may hold repeats; see ``load_theme_dictionary``.
+    """
+    themes = load_theme_dictionary(dictionary).withColumnRenamed("keyword", "lemma")
     matched = lookup_join(keywords, themes, ["lemma"], "inner", F.col("page_id"))
     return matched.select(
         "page_id",
@@ -127,7 +130,8 @@ def _subtheme_scores(
     """Scores per page and subtheme, and one row per page that carries ``keywords`` and facts.
 
     Which keywords matched is kept as bits by rank, so that all aggregates have a fixed
-    width and the many matches of common words go through a plain hash aggregation. The
+    width and the many matches of common words go through a plain hash aggregation; ``top``
+    bounds the ranks, a higher one is an error. Repeats of the dictionary are folded. The
     page row has a NULL industry; its facts are NULL on the other rows and can be grouping
     columns.
     """
@@ -135,7 +139,9 @@ def _subtheme_scores(
     listed = pages.withColumn("_k", F.explode(F.concat(F.array(no_keyword), F.col("keywords"))))
     carried = ("keywords", *facts)
     is_page = F.col("_k").isNull()
-    word, bit = _bit(F.col("_k.rank"))
+    beyond = F.raise_error(F.concat(F.lit(f"a keyword ranks above top={top}: "), F.col("_k.rank"))).cast("int")
+    rank = F.when(F.col("_k.rank") > top, beyond).otherwise(F.col("_k.rank"))
+    word, bit = _bit(rank)
     rows = listed.select(
         "page_id",
         *[F.when(is_page, F.col(name)).alias(name) for name in carried],
@@ -145,7 +151,7 @@ def _subtheme_scores(
         # page rows have no keyword: each its own key, or all would meet in one partition
         F.coalesce("_k.lemma", _own_key()).alias("_key"),
     )
-    themes = dictionary.withColumnRenamed("keyword", "_key")
+    themes = load_theme_dictionary(dictionary).withColumnRenamed("keyword", "_key")
     matched = lookup_join(rows, themes, ["_key"], "left", F.col("page_id")).where(
         "industry is not null or keywords is not null"
     )
@@ -181,7 +187,8 @@ def match_themes(
 ) -> DataFrame:
     """Score, counts, share of the page's total and matched lemmas per page and subtheme.
 
-    ``top`` is the number of keywords ``score_keywords`` kept per page.
+    ``top`` is the number of keywords ``score_keywords`` kept per page; a keyword of a higher
+    rank is an error, as it could not be listed. The dictionary may hold repeats.
     """
     scores = _subtheme_scores(_keyword_lists(keywords), dictionary, top)
     page = Window.partitionBy("page_id")

@@ -172,7 +172,7 @@ def _keywords(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
-    return TH.match_themes(_keywords(spark, d), I.read(spark, d, "theme_dictionary"))
+    return TH.match_themes(_keywords(spark, d), I.read(spark, d, "raw_dictionary"))
 
 
 def theme_dictionary_load(spark, d):
@@ -240,7 +240,7 @@ def keyword_shown(spark, d):
 
 
 def theme_explain(spark, d):
-    return TH.theme_explain(_keywords(spark, d), I.read(spark, d, "theme_dictionary"))
+    return TH.theme_explain(_keywords(spark, d), I.read(spark, d, "raw_dictionary"))
 
 
 def theme_matches(spark, d):
@@ -285,7 +285,7 @@ def classify_pages_lemmas(spark, d):
 
 def classify_pages_cyrillic(spark, d):
     """The default script: the test pages are all turned away, each with its one row."""
-    done = TH.classify_pages(I.pages(spark, d), I.read(spark, d, "theme_dictionary"))
+    done = TH.classify_pages(I.pages(spark, d), I.read(spark, d, "raw_dictionary"))
     return done.select("page_id", "domain", "theme", "confidence", "status")
 
 
@@ -313,7 +313,7 @@ def label_violations(spark, d):
 
 def results_union(spark, d):
     """Classifier and label results as one frame; absent columns are NULL."""
-    pages = TH.classify_pages(I.pages(spark, d), I.read(spark, d, "theme_dictionary"), None, SCRIPT)
+    pages = TH.classify_pages(I.pages(spark, d), I.read(spark, d, "raw_dictionary"), None, SCRIPT)
     return S.combine_results(
         pages.select("domain", "theme", "subtheme", F.round("confidence", 6).alias("confidence")),
         _labels(spark, d).select("domain", "theme", "subtheme", "in_taxonomy"),
@@ -344,11 +344,12 @@ def _classified_sql(lemmas: bool) -> str:
 def _prompt_sql() -> str:
     values = {
         "domain": "url",
-        "body": "concat_ws(' ', first_paragraphs, left(main_content, 800))",
+        "page": """to_json({title: title, h1: h1, meta_description: meta_description, meta_keywords: meta_keywords,
+            body: concat_ws(' ', first_paragraphs, left(main_content, 800))})::VARCHAR""",
         "taxonomy": "(SELECT taxonomy FROM listed)",
     }
     parts, text = [], L.PROMPT
-    for name in L.PROMPT_FIELDS:
+    for name in ("domain", "page", "taxonomy"):
         head, text = text.split("{" + name + "}", 1)
         parts += [_quote(head), values.get(name, name)]
     return " || ".join([*parts, _quote(text)])

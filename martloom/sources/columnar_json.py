@@ -11,8 +11,6 @@ from martloom.functions import parse as P
 from martloom.operators.joins import lookup_join
 
 RESULT_COLUMNS = ("ds", "y", "yhat", "iliPlanIliFact")
-# A body is one string in one task; longer series are written as several bodies.
-ROWS_PER_BODY = 50_000
 # Names of the scalar facts in a result body.
 FACT_NAMES = {
     "error_rate": "error_rate",
@@ -86,18 +84,19 @@ def to_columnar_json(
     columns: Sequence[str] = RESULT_COLUMNS,
     key: str = "series_id",
     facts: DataFrame | None = None,
-    rows_per_body: int = ROWS_PER_BODY,
+    by_year: bool = False,
 ) -> DataFrame:
     """``key, part, body``: days as epoch milliseconds, rows numbered from 0.
 
-    A series of up to ``rows_per_body`` rows is one body; a longer one is cut into parts
-    whose row names go on, so that the union of the parts is the whole. ``facts`` adds
-    scalar entries to every body of its series.
+    A series is one body, whatever its length, with ``part`` 0. ``by_year`` writes one body per
+    calendar year instead (``part`` is the year, -1 without a day), whose row names go on, so
+    that the union of the parts is the whole; ask for it where a series may be too long for
+    one string. ``facts`` adds scalar entries to every body of its series.
     """
     day = columns[0]
     rest = list(columns[1:])
     numbered = number_rows(frame.select(key, *columns), key, day, rest).withColumn(
-        "part", F.floor(F.col("idx") / rows_per_body)
+        "part", F.coalesce(F.year(day), F.lit(-1)) if by_year else F.lit(0)
     )
     millis = F.unix_millis(F.col(day).cast("timestamp"))
 

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from martloom.operators import labels as L
@@ -23,9 +25,10 @@ def test_taxonomy(spark):
     )
 
 
-def test_too_long_a_list_fails(spark):
-    with pytest.raises(Exception, match="exceeds 2 pairs"):
-        L.taxonomy_text(L.taxonomy(themes(spark)), max_pairs=2).collect()
+def test_a_long_list_is_whole(spark):
+    pairs = spark.range(120_000).selectExpr("cast(id % 7 as string) AS industry", "cast(id as string) AS subindustry")
+    (text,) = rows(L.taxonomy_text(L.taxonomy(pairs)))
+    assert sum(len(entry[L.SUBCATEGORY]) for entry in json.loads(text["taxonomy"])) == 120_000
 
 
 def test_prompt(spark):
@@ -34,8 +37,9 @@ def test_prompt(spark):
         "page_id bigint, url string, html string",
     )
     (row,) = rows(L.build_prompts(page_segments(pages), L.taxonomy(themes(spark))))
-    assert row["domain"] == "a.ru" and "<title>Т {h1}</title>" in row["prompt"] and "<h1>Г</h1>" in row["prompt"]
-    body = row["prompt"].split("<content>")[1].split("</content>")[0]
+    page = json.loads(row["prompt"].split("JSON: ")[1].split("\n")[0])
+    assert row["domain"] == "a.ru" and page["title"] == "Т {h1}" and page["h1"] == "Г"
+    body = page["body"]
     assert body.startswith("абзац ") and len(body) == len("абзац ") + 800
     assert '"Подкатегория":["хлеб","чай"]' in row["prompt"]
     (short,) = rows(L.build_prompts(page_segments(pages), L.taxonomy(themes(spark)), "{domain}: {title}!"))

@@ -89,6 +89,18 @@ def test_layout_does_not_change_segments(spark):
 def test_large_input_gets_more_partitions(spark):
     frame = pages(spark, *[(i, f"{i}.ru", PAGE) for i in range(20)])
     assert P._by_page(frame, 50 * 1024**3).rdd.getNumPartitions() == 50
-    planned = P._by_page(frame, 10**15)._jdf.queryExecution().analyzed().toString()
-    assert f", {P.MOST_PARTITIONS}" in planned
+    planned = P._by_page(frame, 100_000 * 1024**3)._jdf.queryExecution().analyzed().toString()
+    assert ", 100000" in planned
     assert rows(P._by_page(frame, 50 * 1024**3)) == rows(frame)
+
+
+def test_names_that_only_begin_like_a_tag(spark):
+    html = "<title-x>t</title-x><header-bar>x</header-bar><p>kept words here</p><header>h</header><div>tail<i-con>le</i-con></div><pre>code</pre><h1-x>no</h1-x>"
+    (got,) = rows(P.page_segments(pages(spark, (1, "u", html))))
+    assert got["main_content"] == "t x kept words here tail le code no"
+    assert got["first_paragraphs"] == "kept words here" and got["h1"] == "" and got["title"] == ""
+
+
+def test_elements_without_an_end(spark):
+    (got,) = rows(P.page_segments(pages(spark, (1, "u", "<h1>a<div>b</div>" + "<footer>c"))))
+    assert got["h1"] == "abc" and got["main_content"] == "a b"

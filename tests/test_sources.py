@@ -32,12 +32,14 @@ def test_columnar_json_body(spark):
     assert bodies["b"]["y"] == {"0": None} and bodies["b"]["error_rate"] is None
 
 
-def test_columnar_json_parts_join_to_the_whole(spark):
-    parts = J.to_columnar_json(frame(spark), ("ds", "y", "yhat"), rows_per_body=2)
-    assert [(r["series_id"], r["part"]) for r in rows(parts)] == [("a", 0), ("a", 1), ("a", 2), ("b", 0)]
+def test_columnar_json_years_join_to_the_whole(spark):
+    long = frame(spark).union(frame(spark).selectExpr("series_id", "add_months(ds, 12) AS ds", "y", "yhat"))
+    parts = J.to_columnar_json(long, ("ds", "y", "yhat"), by_year=True)
+    years = {(r["series_id"], r["part"]) for r in rows(parts)}
+    assert {("a", 2024), ("a", 2025)} <= years
     back = rows(J.read_columnar_json(parts, ("ds", "y", "yhat")), "series_id", "idx")
-    whole = rows(J.read_columnar_json(J.to_columnar_json(frame(spark), ("ds", "y", "yhat")), ("ds", "y", "yhat")), "series_id", "idx")
-    assert back == whole and len(back) == 6
+    whole = rows(J.read_columnar_json(J.to_columnar_json(long, ("ds", "y", "yhat")), ("ds", "y", "yhat")), "series_id", "idx")
+    assert back == whole and len(back) == 12
 
 
 def test_request_body_takes_text_and_milliseconds(spark):

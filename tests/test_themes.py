@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators import themes as TH
 from martloom.operators.pages import page_segments, page_tokens
@@ -152,6 +153,8 @@ def test_classify_agrees_with_the_single_steps(spark):
     assert one["matched_keywords"] == best["matched_keywords"]
     shares = [r["weighted_score_percent"] for r in rows(matches)]
     assert sum(shares) == pytest.approx(1.0)
+    twice = _dictionary(spark).union(_dictionary(spark).withColumn("weight", F.col("weight") + 1))
+    assert rows(TH.match_themes(keywords, twice)) == rows(matches)
     explained = rows(TH.theme_explain(keywords, _dictionary(spark)))
     assert sum(r["match_weight"] for r in explained) == pytest.approx(sum(r["weighted_score"] for r in rows(matches)))
 
@@ -209,3 +212,14 @@ def test_large_dictionaries_take_another_way_to_the_same_result(spark, monkeypat
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_many_keywords_are_all_listed(spark):
+    """More ranks than one word of bits, up to top; a rank beyond top is an error, not a loss."""
+    words = [(1, f"w{i:03d}", 500 - i, i + 1) for i in range(200)]
+    keywords = spark.createDataFrame(words, "page_id bigint, lemma string, score int, rank int")
+    themes = spark.createDataFrame([("A", "a", w[1], 1.0) for w in words], "industry string, subindustry string, keyword string, weight double")
+    (row,) = rows(TH.match_themes(keywords, themes, top=200))
+    assert row["match_count"] == 200 and row["matched"] == [w[1] for w in words]
+    with pytest.raises(Exception, match="ranks above top=70"):
+        TH.match_themes(keywords, themes).collect()

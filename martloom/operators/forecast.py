@@ -37,7 +37,7 @@ MIN_FACT = 1e-8
 TREND_WIDTH = 2 + CHANGEPOINTS
 SEASON_WIDTH = 2 * (WEEKLY_ORDER + YEARLY_ORDER)
 BLOCK_DAYS = 3660
-NOISE_ROUNDS = 5
+NOISE_TOLERANCE = 1e-9
 
 
 def _day(ds: Column) -> Column:
@@ -173,19 +173,19 @@ def _series_setup(folded: DataFrame, params: DataFrame) -> DataFrame:
     return joined.withColumn("_scale", scale).drop("_absmax", "_days")
 
 
-def gram_partials(frame: DataFrame, width: int) -> DataFrame:
+def gram_partials(frame: DataFrame, terms: Sequence[Column], penalty: Column, width: int) -> DataFrame:
     """Partial sums of the normal equations: packed X'X, X'y, y'y and n.
 
-    Input: ``series_id, ds, _x`` (array of ``width``), ``_n, _y, _yy, _penalty``. Rows of a
-    series are brought together in blocks of days, so a long one is summed by several
-    tasks and an ordinary one sends a single partial row on.
+    Input: ``series_id, ds, _n, _y, _yy`` and what ``terms`` (the ``width`` columns of X) and
+    ``penalty`` are made of. Rows of a series are brought together in blocks of days, so a
+    long one is summed by several tasks and an ordinary one sends a single partial row on.
+    The wide arrays are built behind that shuffle, which moves a few numbers a day.
     """
-    rows = frame.select(
-        "series_id",
-        F.floor(_day(F.col("ds")) / BLOCK_DAYS).alias("_block"),
-        "_x", "_n", "_y", "_yy", "_penalty",
+    block = F.floor(_day(F.col("ds")) / BLOCK_DAYS)
+    placed = frame.withColumn("_block", block).repartition("series_id", "_block")
+    placed = placed.sortWithinPartitions("series_id", "_block").select(
+        "series_id", F.array(*terms).alias("_x"), "_n", "_y", "_yy", penalty.alias("_penalty")
     )
-    placed = rows.repartition("series_id", "_block").sortWithinPartitions("series_id", "_block")
     upper = np.triu_indices(width)
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -232,16 +232,19 @@ def solve_ridge(partials: DataFrame, width: int, regressors: int) -> DataFrame:
         penalty = np.asarray(parts["penalty"].iloc[0])
         scaling = np.eye(width)
         for j in range(width - regressors, width):
-            mean, second = gram[0, j] / n, gram[j, j] / n
+            # the first column is 1, or the trend that multiplies the others
+            mean, second = gram[0, j] / gram[0, 0], gram[j, j] / gram[0, 0]
             spread = second - mean * mean
             if spread > 1e-12 and abs(second - mean) > 1e-12:
                 scaling[j, j] = 1.0 / math.sqrt(spread)
                 scaling[0, j] = -mean * scaling[j, j]
         g, m = scaling.T @ gram @ scaling, scaling.T @ moment
-        noise, beta = 0.01, np.zeros(width)
-        for _ in range(NOISE_ROUNDS):
+        # the residual grows with the noise that weighs the penalty and is bounded by y'y, so the
+        # rounds move one way and end
+        noise, before = 0.01, math.inf
+        while abs(noise - before) > NOISE_TOLERANCE * noise:
             beta = np.linalg.solve(g + noise * np.diag(penalty), m)
-            noise = max((square - 2 * beta @ m + beta @ g @ beta) / n, 1e-8)
+            before, noise = noise, max((square - 2 * beta @ m + beta @ g @ beta) / n, 1e-8)
         return pd.DataFrame(
             {"series_id": [parts["series_id"].iloc[0]], "beta": [scaling @ beta]}
         )
@@ -266,10 +269,9 @@ def fit_additive(folded: DataFrame, setup: DataFrame, regressors: Sequence[str])
         "_yy", F.col("_yy") / (F.col("_scale") * F.col("_scale"))
     )
     width = TREND_WIDTH + SEASON_WIDTH + count
-    whole = rows.where("not _times").withColumn(
-        "_x", F.array(*_trend_terms(), *_season_terms(regressors))
-    ).withColumn("_penalty", F.concat(trend_pen, season_pen))
-    additive = solve_ridge(gram_partials(whole, width), width, count).select(
+    terms = [*_trend_terms(), *_season_terms(regressors)]
+    whole = gram_partials(rows.where("not _times"), terms, F.concat(trend_pen, season_pen), width)
+    additive = solve_ridge(whole, width, count).select(
         "series_id",
         F.slice("beta", 1, TREND_WIDTH).alias("trend_beta"),
         F.concat(
@@ -278,23 +280,22 @@ def fit_additive(folded: DataFrame, setup: DataFrame, regressors: Sequence[str])
     )
 
     times = rows.where("_times")
-    first = times.withColumn("_x", F.array(*_trend_terms())).withColumn("_penalty", trend_pen)
-    trend = solve_ridge(gram_partials(first, TREND_WIDTH), TREND_WIDTH, 0).withColumnRenamed(
-        "beta", "trend_beta"
-    )
+    first = gram_partials(times, _trend_terms(), trend_pen, TREND_WIDTH)
+    trend = solve_ridge(first, TREND_WIDTH, 0).withColumnRenamed("beta", "trend_beta")
+    # y = trend * (1 + season): least squares of y - trend on trend * terms, so that a day on
+    # which the trend is near zero weighs little and none is left out
     line = _dot(F.array(*_trend_terms()), F.col("trend_beta"))
     rest = (
         lookup_join(times, trend, ["series_id"], "inner", F.col("ds"))
         .withColumn("_line", line)
-        .where(F.abs("_line") > MIN_FACT)
-        .withColumn("_yy", F.col("_yy") / (F.col("_line") * F.col("_line"))
-                    - F.col("_n") * (2 * F.col("_y") / F.col("_line") - 1))
-        .withColumn("_y", F.col("_y") / F.col("_line") - 1)
-        .withColumn("_x", F.array(F.lit(1.0), *_season_terms(regressors)))
-        .withColumn("_penalty", F.concat(F.array(F.lit(1.0 / TREND_PRIOR**2)), season_pen))
+        .drop("trend_beta")
+        .withColumn("_yy", F.col("_yy") + F.col("_n") * F.col("_line") * (F.col("_line") - 2 * F.col("_y")))
+        .withColumn("_y", F.col("_y") - F.col("_line"))
     )
     season_width = 1 + SEASON_WIDTH + count
-    season = solve_ridge(gram_partials(rest, season_width), season_width, count)
+    weighted = [F.col("_line") * term for term in [F.lit(1.0), *_season_terms(regressors)]]
+    season_pen = F.concat(F.array(F.lit(1.0 / TREND_PRIOR**2)), season_pen)
+    season = solve_ridge(gram_partials(rest, weighted, season_pen, season_width), season_width, count)
     multiplicative = trend.join(season.withColumnRenamed("beta", "season_beta"), "series_id")
     return additive.unionByName(multiplicative)
 
@@ -327,13 +328,21 @@ def fit_predict(
     params: DataFrame | None = None,
     regressors: Sequence[str] = (),
 ) -> DataFrame:
-    """Fit every series of ``rows`` and add ``yhat`` to the days of ``spine``."""
+    """Fit every series of ``rows`` and add ``yhat`` to the days of ``spine``.
+
+    The additive model leaves out series that miss a regressor they use on any day of either
+    frame: a gap is no zero.
+    """
     if model == "trend_dow":
         return predict_trend_dow(spine, fit_trend_dow(rows))
     if model != "additive":
         raise ValueError("model must be trend_dow or additive")
     if params is None:
         raise ValueError("the additive model needs params")
+    if regressors:
+        days = rows.select("series_id", *regressors).unionByName(spine.select("series_id", *regressors))
+        gaps = stage(regressor_gaps(days, params, regressors), "gaps")
+        rows = lookup_join(rows, gaps, ["series_id"], "left_anti", F.col("ds"))
     return fit_predict_additive(rows, spine, params, regressors)
 
 
@@ -344,7 +353,7 @@ def regressor_gaps(frame: DataFrame, params: DataFrame, regressors: Sequence[str
     for name in regressors:
         missing = missing | (F.array_contains("_use", name) & F.col(name).isNull())
     return (
-        lookup_join(frame, used, ["series_id"], "inner", F.col("ds"))
+        lookup_join(frame, used, ["series_id"], "inner")
         .where(missing)
         .select("series_id")
         .distinct()
@@ -357,12 +366,13 @@ def backtest(
     model: str = "trend_dow",
     regressors: Sequence[str] = (),
 ) -> DataFrame:
-    """``series_id, n_test, mape, mdape, error_rate`` of the fold after the cutoff.
+    """``series_id, n_test, mape, mdape, error_rate, status`` of the fold after the cutoff.
 
     ``frame`` is a ``history_frame`` (with regressors for the additive model). The fit sees
     the days up to the cutoff and is tried on the 30 after it. MAPE is withheld where a
     fact is near zero and the median takes its place. A series that asked for no back-test
-    has -1, one without history -3.14.
+    has -1, one without history -3.14. Statuses: ``ok``, ``not_requested``, ``no_data`` and
+    ``no_fold``, where the days up to the cutoff or after it do not suffice (no rate).
     """
     asked = params.select(
         F.col("forecastMarker").alias("series_id"), F.col("error_output").alias("_asked")
@@ -393,8 +403,15 @@ def backtest(
         .when(~F.col("_asked"), F.lit(S.NOT_REQUESTED))
         .otherwise(F.coalesce("mape", "mdape"))
     )
+    status = (
+        F.when(F.col("_alive").isNull(), "no_data")
+        .when(~F.col("_asked"), "not_requested")
+        .when(F.col("n_test").isNull(), "no_fold")
+        .otherwise("ok")
+    )
     return joined.select(
-        "series_id", F.coalesce("n_test", F.lit(0)).alias("n_test"), "mape", "mdape", rate.alias("error_rate")
+        "series_id", F.coalesce("n_test", F.lit(0)).alias("n_test"), "mape", "mdape",
+        rate.alias("error_rate"), status.alias("status"),
     )
 
 
@@ -408,15 +425,15 @@ def forecast_summary(
 ) -> DataFrame:
     """One row of facts per request: status, error rate, parameters, size, session.
 
-    Statuses: ``ok``, ``no_data``, ``sql_error``, ``too_short`` (fewer than two rows),
-    ``regressor_gap``.
+    Statuses: ``ok``, ``no_data``, ``sql_error``, ``too_short`` (fewer than two days with a
+    fact), ``regressor_gap``.
     """
     facts = params.withColumnRenamed("forecastMarker", "series_id").select(
         "series_id", "is_special", "regressors", "forecasting_period"
     )
     texts = S.parameter_map(params).withColumnRenamed("forecastMarker", "series_id")
     facts = lookup_join(facts, texts, ["series_id"])
-    facts = lookup_join(facts, extent.select("series_id", "n_rows", "n_columns"), ["series_id"])
+    facts = lookup_join(facts, extent.select("series_id", "n_rows", "n_days", "n_columns"), ["series_id"])
     facts = lookup_join(facts, errors.select("series_id", "error_rate"), ["series_id"])
     facts = lookup_join(facts, gaps.withColumn("_gap", F.lit(True)), ["series_id"])
     if failed is None:
@@ -427,7 +444,7 @@ def forecast_summary(
     status = (
         F.when(F.col("_failed"), "sql_error")
         .when(F.col("n_rows").isNull(), "no_data")
-        .when(F.col("n_rows") < 2, "too_short")
+        .when(F.col("n_days") < 2, "too_short")
         .when(F.col("_gap"), "regressor_gap")
         .otherwise("ok")
     )
@@ -457,7 +474,7 @@ def forecast(
     failed: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast rows ``series_id, ds, y, yhat, iliPlanIliFact`` and one summary row per
-    request. Series with a regressor gap or fewer than two rows have no forecast rows."""
+    request. Series with a regressor gap or fewer than two known days have no forecast rows."""
     params = stage(S.forecast_params(requests, hyper), "params")
     names = S.calendar_columns(calendar) if model == "additive" else []
     rows = stage(S.history_rows(history.select("series_id", "ds", "y"), params), "rows")
@@ -469,7 +486,7 @@ def forecast(
         full_spine = S.add_regressors(spine, calendar, names)
     # every history day is on the spine, so a gap shows there
     gaps = stage(regressor_gaps(full_spine, params, names), "gaps")
-    long_enough = extent.where("n_rows >= 2").select("series_id", "cutoff")
+    long_enough = extent.where("n_days >= 2").select("series_id", "cutoff")
     good = lookup_join(full_rows, long_enough, ["series_id"], "inner", F.col("ds"))
     if names:
         good = lookup_join(good, gaps, ["series_id"], "left_anti", F.col("ds"))

@@ -13,24 +13,28 @@ UNKNOWN = 2**60
 
 
 def plan_bytes(frame: DataFrame) -> int | None:
-    """Spark's size estimate of a plan, or None where it is not an upper bound.
+    """An upper bound of the stored bytes that a plan's rows come from, or None where there is none.
 
-    Without column statistics filters and aggregates count as their whole input and joins
-    as a product, so the estimate only errs upward; a generator (explode) may multiply rows
-    without being counted, hence None.
+    Spark scales its estimate by default column widths (a string counts 20 bytes, a list as
+    little), so a projection or an aggregate of long texts is put far too low. The stored
+    size of all tables below is no lower than what filters, projections and aggregates leave
+    of them; the larger of the two counts, which also covers joins. A generator (explode) may
+    multiply rows without being counted, hence None.
     """
     try:
         plan = frame._jdf.queryExecution().optimizedPlan()
         if "Generate " in plan.toString():
             return None
-        size = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        stored = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        size = max(int(str(plan.stats().sizeInBytes())), stored)
         return size if size < UNKNOWN else None
     except AttributeError:  # a remote session gives no plan access
         return None
 
 
 def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """Whether the size estimate of a plan is within ``limit``."""
+    """Whether the bound of a plan's size is known and within ``limit``."""
     size = plan_bytes(frame)
     return size is not None and size <= limit
 

@@ -140,13 +140,19 @@ def history_rows(history: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def history_extent(rows: DataFrame, params: DataFrame, as_of: datetime.date) -> DataFrame:
-    """``series_id, n_rows, n_columns, min_ds, max_ds, cutoff`` per series with history.
+    """``series_id, n_rows, n_days, n_columns, min_ds, max_ds, cutoff`` per series with history.
 
+    ``n_days`` counts the days with a known fact, ``n_rows`` all rows.
     The back-test cutoff lies 30 days before the earlier of ``fake_yesterday`` (``as_of``
     if not given) and the last day.
     """
-    extent = rows.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    known = F.col("y").isNotNull() & ~F.isnan("y")
+    days = rows.groupBy("series_id", "ds").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(known.cast("int")).alias("_known")
+    )
+    extent = days.groupBy("series_id").agg(
+        F.sum("_rows").alias("n_rows"),
+        F.sum("_known").alias("n_days"),
         F.min("ds").alias("min_ds"),
         F.max("ds").alias("max_ds"),
     )
@@ -158,6 +164,7 @@ def history_extent(rows: DataFrame, params: DataFrame, as_of: datetime.date) ->
     return lookup_join(extent, given, ["series_id"], "inner").select(
         "series_id",
         "n_rows",
+        "n_days",
         F.lit(len(rows.columns) - 1).alias("n_columns"),
         "min_ds",
         "max_ds",

@@ -34,7 +34,7 @@ _PARAMS = f"""{_HYPER}, {I.ctes('requests')},
 _ROWS = f"""{_PARAMS},
     hist AS (SELECT h.* FROM history h JOIN params p ON p.forecastMarker = h.series_id
              WHERE p.fake_yesterday IS NULL OR h.ds < p.fake_yesterday),
-    extent AS (SELECT series_id, count(*) AS n_rows, 2 AS n_columns, min(ds) AS min_ds, max(ds) AS max_ds
+    extent AS (SELECT series_id, count(*) AS n_rows, count(DISTINCT CASE WHEN y IS NOT NULL AND NOT isnan(y) THEN ds END) AS n_days, 2 AS n_columns, min(ds) AS min_ds, max(ds) AS max_ds
                FROM hist GROUP BY 1),
     extents AS (SELECT e.*, CAST(least(coalesce(p.fake_yesterday, DATE '2001-08-01'), max_ds) - INTERVAL 30 DAY AS DATE) AS cutoff
                 FROM extent e JOIN params p ON p.forecastMarker = e.series_id)"""
@@ -81,16 +81,16 @@ _BACKTEST = f"""{_ROWS},
                       median(CASE WHEN y <> 0 THEN abs((y - yhat) / y) ELSE 'inf'::DOUBLE END) AS mdape FROM tried GROUP BY 1),
     backtest AS (SELECT a.series_id, coalesce(n_test, 0) AS n_test, mape, mdape,
                         CASE WHEN x.series_id IS NULL THEN -3.14 WHEN NOT error_output THEN -1.0
-                             ELSE coalesce(mape, mdape) END AS error_rate
+                             ELSE coalesce(mape, mdape) END AS error_rate,
+                        CASE WHEN x.series_id IS NULL THEN 'no_data' WHEN NOT error_output THEN 'not_requested'
+                             WHEN n_test IS NULL THEN 'no_fold' ELSE 'ok' END AS status
                  FROM asked a LEFT JOIN extent x USING (series_id) LEFT JOIN errors USING (series_id))"""
 
 # ---- Spark queries -----------------------------------------------------------------------
 
 
-def _cents(name):
-    """Cut to cents off the middle: daily sums are whole cents, so a forecast can lie right
-    between two of them, where the last bit of a sum would decide."""
-    return F.floor(F.col(name) * 100 + 0.4142) / 100
+def _round(name):
+    return F.round(name, 4)
 
 
 def _params(spark, d):
@@ -168,14 +168,14 @@ def _stored(spark, d):
 def forecast_trend_dow(spark, d):
     params, rows = _stored(spark, d)
     forecast = FC.fit_predict(rows, S.future_spine(rows, params))
-    return forecast.withColumn("yhat", _cents("yhat"))
+    return forecast.withColumn("yhat", _round("yhat"))
 
 
 def plan_fact_mix(spark, d):
     params, rows = _stored(spark, d)
     forecast = FC.fit_predict(rows, S.future_spine(rows, params))
     return S.plan_fact(forecast, rows).withColumns(
-        {"yhat": _cents("yhat"), "iliPlanIliFact": _cents("iliPlanIliFact")}
+        {"yhat": _round("yhat"), "iliPlanIliFact": _round("iliPlanIliFact")}
     )
 
 
@@ -198,7 +198,7 @@ def forecast_additive(spark, d):
     rows, params, calendar, names = _additive_frames(spark, d)
     spine = S.add_regressors(S.future_spine(rows, params), calendar, names)
     done = FC.fit_predict(rows, spine, "additive", params, names)
-    return done.select("series_id", "ds", "is_future", _cents("yhat").alias("yhat"))
+    return done.select("series_id", "ds", "is_future", _round("yhat").alias("yhat"))
 
 
 def backtest_additive(spark, d):
@@ -235,7 +235,7 @@ def forecast_summary(spark, d):
 
 def forecast_end_to_end_trend(spark, d):
     return _end_to_end(spark, d, "trend_dow")[0].withColumns(
-        {"yhat": _cents("yhat"), "iliPlanIliFact": _cents("iliPlanIliFact")}
+        {"yhat": _round("yhat"), "iliPlanIliFact": _round("iliPlanIliFact")}
     )
 
 
@@ -280,8 +280,8 @@ _HYPER_MAP = """SELECT forecastMarker, CASE WHEN is_special THEN concat_ws(',',
     'interval_width=0.8', 'seasonality_mode=' || seasonality_mode,
     'seasonality_prior_scale=' || seasonality_prior_scale) END AS parameters FROM params"""
 
-_CENTS = "floor({} * 100 + 0.4142::DOUBLE) / 100"
-_MIX_COLUMNS = f'{_CENTS.format("yhat")} AS yhat, {_CENTS.format("mix")} AS "iliPlanIliFact"'
+_ROUND = "round({}, 4)"
+_MIX_COLUMNS = f'{_ROUND.format("yhat")} AS yhat, {_ROUND.format("mix")} AS "iliPlanIliFact"'
 _OTHER_CALENDAR = I.ctes("calendar").replace(I.ctes("history") + ",", "")
 
 QUERIES = {
@@ -319,7 +319,7 @@ QUERIES = {
     "future_spine": (future_spine, _select(_SPINE, "SELECT * FROM spine")),
     "forecast_trend_dow": (
         forecast_trend_dow,
-        _select(_FORECAST, f"SELECT series_id, ds, is_future, {_CENTS.format('yhat')} AS yhat FROM forecast"),
+        _select(_FORECAST, f"SELECT series_id, ds, is_future, {_ROUND.format('yhat')} AS yhat FROM forecast"),
     ),
     "plan_fact_mix": (
         plan_fact_mix,
@@ -329,7 +329,7 @@ QUERIES = {
         backtest_error,
         _select(
             _BACKTEST,
-            "SELECT series_id, n_test, round(mape, 6) AS mape, round(mdape, 6) AS mdape, round(error_rate, 6) AS error_rate FROM backtest",
+            "SELECT series_id, n_test, round(mape, 6) AS mape, round(mdape, 6) AS mdape, round(error_rate, 6) AS error_rate, status FROM backtest",
         ),
     ),
     "regressor_gaps": (
@@ -353,7 +353,7 @@ QUERIES = {
         forecast_summary_trend,
         _select(
             _BACKTEST,
-            """SELECT b.series_id, CASE WHEN x.n_rows IS NULL THEN 'no_data' WHEN x.n_rows < 2 THEN 'too_short' ELSE 'ok' END AS status,
+            """SELECT b.series_id, CASE WHEN x.n_rows IS NULL THEN 'no_data' WHEN x.n_days < 2 THEN 'too_short' ELSE 'ok' END AS status,
             round(error_rate, 6) AS error_rate, is_special, regressors, forecasting_period, n_rows, n_columns,
             md5('2001-08-01 07:00:00') AS session_id
             FROM backtest b JOIN params p ON p.forecastMarker = b.series_id LEFT JOIN extent x ON x.series_id = b.series_id""",

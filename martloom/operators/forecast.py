@@ -161,7 +161,7 @@ def _series_setup(folded: DataFrame, params: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_days"),
     )
     chosen = params.select(
-        F.col("forecastMarker").alias("series_id"),
+        F.col("request_id").alias("series_id"),
         F.coalesce("changepoint_prior_scale", F.lit(CHANGEPOINT_PRIOR)).alias("_cps"),
         F.coalesce("seasonality_prior_scale", F.lit(SEASONALITY_PRIOR)).alias("_sps"),
         F.coalesce("holidays_prior_scale", F.lit(HOLIDAYS_PRIOR)).alias("_hps"),
@@ -348,7 +348,7 @@ def fit_predict(
 
 def regressor_gaps(frame: DataFrame, params: DataFrame, regressors: Sequence[str]) -> DataFrame:
     """Series with a day on which a regressor they use is missing."""
-    used = params.select(F.col("forecastMarker").alias("series_id"), F.col("regressors").alias("_use"))
+    used = params.select(F.col("request_id").alias("series_id"), F.col("regressors").alias("_use"))
     missing = F.lit(False)
     for name in regressors:
         missing = missing | (F.array_contains("_use", name) & F.col(name).isNull())
@@ -375,7 +375,7 @@ def backtest(
     ``no_fold``, where the days up to the cutoff or after it do not suffice (no rate).
     """
     asked = params.select(
-        F.col("forecastMarker").alias("series_id"), F.col("error_output").alias("_asked")
+        F.col("request_id").alias("series_id"), F.col("error_output").alias("_asked")
     )
     rows = lookup_join(frame, asked.where("_asked"), ["series_id"], "inner", F.col("ds"))
     train = rows.where(F.col("ds") <= F.col("cutoff"))
@@ -428,10 +428,10 @@ def forecast_summary(
     Statuses: ``ok``, ``no_data``, ``sql_error``, ``too_short`` (fewer than two days with a
     fact), ``regressor_gap``.
     """
-    facts = params.withColumnRenamed("forecastMarker", "series_id").select(
-        "series_id", "is_special", "regressors", "forecasting_period"
+    facts = params.select(
+        F.col("request_id").alias("series_id"), "is_special", "regressors", "forecasting_period"
     )
-    texts = S.parameter_map(params).withColumnRenamed("forecastMarker", "series_id")
+    texts = S.parameter_map(params).select(F.col("request_id").alias("series_id"), "parameters")
     facts = lookup_join(facts, texts, ["series_id"])
     facts = lookup_join(facts, extent.select("series_id", "n_rows", "n_days", "n_columns"), ["series_id"])
     facts = lookup_join(facts, errors.select("series_id", "error_rate"), ["series_id"])
@@ -472,12 +472,13 @@ def forecast(
     run_ts: str,
     model: str = "additive",
     failed: DataFrame | None = None,
+    key: str = "forecastMarker",
 ) -> tuple[DataFrame, DataFrame]:
     """Forecast rows ``series_id, ds, y, yhat, iliPlanIliFact`` and one summary row per
-    request. Series with a regressor gap or fewer than two known days have no forecast rows."""
+    request; ``series_id`` is the request (see ``forecast_params``), in ``history`` it is ``key``. Series with a regressor gap or fewer than two known days have no forecast rows."""
     params = stage(S.forecast_params(requests, hyper), "params")
     names = S.calendar_columns(calendar) if model == "additive" else []
-    rows = stage(S.history_rows(history.select("series_id", "ds", "y"), params), "rows")
+    rows = stage(S.history_rows(history.select("series_id", "ds", "y"), params, key), "rows")
     extent = stage(S.history_extent(rows, params, as_of), "extent")
     spine = S.future_spine(rows, params)
     full_rows, full_spine = rows, spine

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import parse as P
 from martloom.operators.joins import lookup_join
-from martloom.sources.tables import SQL_ERROR, read_sql_or_error
+from martloom.sources.tables import SQL_ERROR, try_sql
 
 DEFAULT_PERIOD = 365
 DEFAULT_REGRESSOR = "dow"
@@ -34,7 +34,11 @@ def latest_hyperparameters(hyper: DataFrame) -> DataFrame:
 
 
 def forecast_params(requests: DataFrame, hyper: DataFrame) -> DataFrame:
-    """One row of typed parameters per request.
+    """One row of typed parameters per request, named by ``request_id``.
+
+    Requests may carry a ``request_id`` of their own; else the marker names them, so several
+    requests for one marker need one, and a request without a marker too. From here on a
+    series is a request: history is cut, fitted and returned for each alone.
 
     Requests hold text: a missing or unreadable period is 365, a missing ``use_hypo`` is
     true, a missing ``error_output`` false. With ``use_hypo`` off the priors are dropped
@@ -50,7 +54,9 @@ def forecast_params(requests: DataFrame, hyper: DataFrame) -> DataFrame:
     found = F.coalesce("_found", F.lit(0))
     chosen = [F.when(use, F.col(f"_{name}")).alias(name) for name in (*PRIORS, "seasonality_mode")]
     regressors = F.when(use, F.col("_regressors"))
+    named = F.col("request_id").cast("string") if "request_id" in requests.columns else F.lit(None).cast("string")
     return joined.select(
+        F.coalesce(named, "forecastMarker").alias("request_id"),
         "forecastMarker",
         "sender",
         P.whole_number(F.col("forecasting_period"), DEFAULT_PERIOD).alias("forecasting_period"),
@@ -67,12 +73,14 @@ def forecast_params(requests: DataFrame, hyper: DataFrame) -> DataFrame:
 
 
 def parameter_map(params: DataFrame) -> DataFrame:
-    """``forecastMarker, parameters``: the set parameters as text, NULL for plain runs."""
+    """``request_id, forecastMarker, parameters``: the set parameters as text, NULL for plain runs."""
     entries = [F.lit("interval_width"), F.lit(str(INTERVAL_WIDTH))]
     for name in (*PRIORS, "seasonality_mode"):
         entries += [F.lit(name), F.col(name).cast("string")]
     filled = F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
-    return params.select("forecastMarker", F.when(F.col("is_special"), filled).alias("parameters"))
+    return params.select(
+        "request_id", "forecastMarker", F.when(F.col("is_special"), filled).alias("parameters")
+    )
 
 
 def choose_source(params: DataFrame, supplied: DataFrame | None = None) -> DataFrame:
@@ -94,31 +102,48 @@ def choose_source(params: DataFrame, supplied: DataFrame | None = None) -> DataF
 def read_sources(
     spark: SparkSession, chosen: DataFrame, supplied: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """History of all series, and ``forecastMarker, error`` of those whose SQL failed.
+    """History and ``series_id, error`` of the requests whose SQL failed.
 
+    In both ``series_id`` is the request (pass ``key="request_id"`` on), in ``supplied`` the marker.
+    Each SQL is run within the try, so one that fails on its rows, or gives no ``ds`` and ``y``, is
+    an error of its own requests and not of all. A result with a ``series_id`` column serves the marker of that name, any other one the
+    whole request.
     Each distinct SQL text is planned once and joined with the series that ask for it;
     the texts come from the request table, the data never passes the driver.
     """
     wanted = chosen.where(F.col("source").isin("request_sql", "stored_sql")).select(
-        F.col("forecastMarker").alias("series_id"), "sql_query"
+        "request_id", _marker().alias("series_id"), "sql_query"
     )
     schema = "series_id string, ds date, y double"
-    history = spark.createDataFrame([], schema) if supplied is None else _typed(supplied)
+    history = spark.createDataFrame([], schema)
+    if supplied is not None:
+        framed = chosen.where("source = 'frame'").select("request_id", _marker().alias("series_id"))
+        history = _named(lookup_join(_typed(supplied), framed, ["series_id"], "inner"))
     errors = spark.createDataFrame([], "series_id string, error string")
     for row in wanted.select("sql_query").distinct().toLocalIterator():
-        asks = wanted.where(F.col("sql_query") == row["sql_query"]).select("series_id")
-        rows = read_sql_or_error(spark, row["sql_query"])
-        if rows.columns == ["error"]:
-            errors = errors.unionByName(asks.withColumn("error", F.lit(SQL_ERROR)))
+        asks = wanted.where(F.col("sql_query") == row["sql_query"]).select("request_id", "series_id")
+        rows = try_sql(spark, row["sql_query"])
+        if rows is None or not {"ds", "y"} <= set(rows.columns):
+            failed = asks.select(F.col("request_id").alias("series_id"), F.lit(SQL_ERROR).alias("error"))
+            errors = errors.unionByName(failed)
         elif "series_id" in rows.columns:
-            history = history.unionByName(lookup_join(_typed(rows), asks, ["series_id"], "inner"))
+            history = history.unionByName(_named(lookup_join(_typed(rows), asks, ["series_id"], "inner")))
         else:
-            names = [F.lit(ask["series_id"]) for ask in asks.toLocalIterator()]
-            each = rows.withColumn("series_id", F.explode(F.array(*names)))
-            history = history.unionByName(_typed(each))
+            # every request that asks for this SQL gets all of its rows
+            names = asks.agg(F.collect_list("request_id")).scalar()
+            history = history.unionByName(_typed(rows.withColumn("series_id", F.explode(names))))
     return history, errors
 
 
+def _marker() -> Column:
+    """The marker of a request, or its own name where it has none."""
+    return F.coalesce("forecastMarker", "request_id")
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("request_id").alias("series_id"), "ds", "y")
+
+
 def _typed(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("series_id").cast("string").alias("series_id"),
@@ -127,16 +152,23 @@ def _typed(rows: DataFrame) -> DataFrame:
     )
 
 
-def history_rows(history: DataFrame, params: DataFrame) -> DataFrame:
-    """History before ``fake_yesterday`` of the requested series, other columns kept."""
+def history_rows(history: DataFrame, params: DataFrame, key: str = "forecastMarker") -> DataFrame:
+    """History before ``fake_yesterday`` of every request, other columns kept.
+
+    ``series_id`` of the history is the marker of requests (or, for those without one, their
+    own name); with ``key="request_id"`` it is the request. In the result it is the request.
+    """
     cut = params.select(
-        F.col("forecastMarker").alias("series_id"), F.col("fake_yesterday").alias("_cut")
+        (_marker() if key == "forecastMarker" else F.col(key)).alias("series_id"),
+        F.col("request_id").alias("_request"),
+        F.col("fake_yesterday").alias("_cut"),
     )
     typed = history.withColumn("ds", F.col("ds").cast("date")).withColumn(
         "y", F.col("y").cast("double")
     )
     kept = lookup_join(typed, cut, ["series_id"], "inner", F.col("ds"))
-    return kept.where(F.col("_cut").isNull() | (F.col("ds") < F.col("_cut"))).drop("_cut")
+    kept = kept.where(F.col("_cut").isNull() | (F.col("ds") < F.col("_cut")))
+    return kept.withColumn("series_id", F.col("_request")).drop("_cut", "_request")
 
 
 def history_extent(rows: DataFrame, params: DataFrame, as_of: datetime.date) -> DataFrame:
@@ -157,7 +189,7 @@ def history_extent(rows: DataFrame, params: DataFrame, as_of: datetime.date) ->
         F.max("ds").alias("max_ds"),
     )
     given = params.select(
-        F.col("forecastMarker").alias("series_id"),
+        F.col("request_id").alias("series_id"),
         F.coalesce("fake_yesterday", F.lit(as_of)).alias("_until"),
     )
     cutoff = F.date_sub(F.least("_until", "max_ds"), FOLD_DAYS)
@@ -198,7 +230,7 @@ def add_regressors(
 def future_spine(rows: DataFrame, params: DataFrame) -> DataFrame:
     """``series_id, ds, is_future``: distinct history days and the days of the horizon."""
     days = rows.select("series_id", "ds").distinct()
-    horizon = params.select(F.col("forecastMarker").alias("series_id"), "forecasting_period")
+    horizon = params.select(F.col("request_id").alias("series_id"), "forecasting_period")
     ends = lookup_join(
         rows.groupBy("series_id").agg(F.max("ds").alias("_last")), horizon, ["series_id"], "inner"
     ).where("forecasting_period > 0")

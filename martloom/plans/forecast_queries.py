@@ -20,7 +20,7 @@ _PARAMS = f"""{_HYPER}, {I.ctes('requests')},
     flags AS (SELECT r.*, coalesce(try_cast(use_hypo AS BOOLEAN), TRUE) AS use,
                      l.* EXCLUDE (forecastMarker), l.forecastMarker IS NOT NULL AS found
               FROM requests r LEFT JOIN latest l ON l.forecastMarker = r.forecastMarker),
-    params AS (SELECT forecastMarker, sender, coalesce(try_cast(forecasting_period AS INTEGER), 365) AS forecasting_period,
+    params AS (SELECT forecastMarker AS request_id, forecastMarker, sender, coalesce(try_cast(forecasting_period AS INTEGER), 365) AS forecasting_period,
         CAST(fake_yesterday AS DATE) AS fake_yesterday, use AS use_hypo,
         coalesce(try_cast(error_output AS BOOLEAN), FALSE) AS error_output,
         CASE WHEN use THEN changepoint_prior_scale END AS changepoint_prior_scale,
@@ -70,6 +70,13 @@ _MIX = f"""{_FORECAST},
                      CASE WHEN coalesce(h.y, -1) <> -1 THEN h.y ELSE f.yhat END AS mix
               FROM forecast f LEFT JOIN hist h ON h.series_id = f.series_id AND h.ds = f.ds)"""
 
+# the same chain where every request has a copy of its marker's history
+_SHARED = (
+    _MIX.replace(I.ctes("requests"), I.ctes("shared_requests"))
+    .replace("FROM requests r", "FROM (SELECT * REPLACE (request_id AS forecastMarker) FROM shared_requests) r")
+    .replace("FROM history h JOIN params", "FROM (SELECT q.request_id AS series_id, h.ds, h.y FROM history h JOIN shared_requests q ON q.forecastMarker = h.series_id) h JOIN params")
+)
+
 _BACKTEST = f"""{_ROWS},
     asked AS (SELECT forecastMarker AS series_id, error_output FROM params),
     rated AS (SELECT h.*, cutoff FROM hist h JOIN extents USING (series_id) JOIN asked USING (series_id) WHERE error_output),
@@ -215,6 +222,16 @@ def regressor_gaps(spark, d):
     return FC.regressor_gaps(spine, params, ["dow", "month_end"])
 
 
+def forecast_shared_marker(spark, d):
+    """Two requests for every marker, with horizons and cut days of their own."""
+    result, summary = FC.forecast(
+        I.read(spark, d, "shared_requests"), _history(spark, d), I.read(spark, d, "hyperparameters"),
+        _calendar(spark, d), I.AS_OF, "2001-08-01 07:00:00", "trend_dow",
+    )
+    known = summary.select("series_id", "status", "forecasting_period", "n_rows")
+    return result.withColumns({"yhat": _round("yhat"), "iliPlanIliFact": _round("iliPlanIliFact")}).join(known, "series_id")
+
+
 def _end_to_end(spark, d, model="additive"):
     return FC.forecast(
         I.read(spark, d, "requests"), _history(spark, d), I.read(spark, d, "hyperparameters"),
@@ -359,6 +376,15 @@ QUERIES = {
             FROM backtest b JOIN params p ON p.forecastMarker = b.series_id LEFT JOIN extent x ON x.series_id = b.series_id""",
         ),
     ),
+    "forecast_shared_marker": (
+        forecast_shared_marker,
+        _select(
+            _SHARED,
+            f"""SELECT m.series_id, ds, y, {_MIX_COLUMNS}, 'ok' AS status, forecasting_period, n_rows
+            FROM mixed m JOIN params ON forecastMarker = m.series_id JOIN extent x ON x.series_id = m.series_id
+            WHERE n_days >= 2""",
+        ),
+    ),
     "session_id": (
         session_id,
         "SELECT o_orderpriority, md5(strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S')) AS session_id FROM orders GROUP BY 1",

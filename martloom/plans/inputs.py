@@ -90,7 +90,7 @@ class Duck(Spark):
         return f"CAST(unnest(generate_series({low}, {high}, INTERVAL 1 DAY)) AS DATE)"
 
     def plus(self, column: str, days: int) -> str:
-        return f"CAST({column} + INTERVAL {days} DAY AS DATE)"
+        return f"CAST({column} + INTERVAL ({days}) DAY AS DATE)"
 
     def isodow(self, column: str) -> str:
         return f"isodow({column})"
@@ -305,6 +305,17 @@ def _requests(q) -> str:
     SELECT 'ghost_' || r_name, NULL, NULL, NULL, NULL, NULL, NULL FROM {q.t('region')}"""
 
 
+def _shared_requests(q) -> str:
+    """Two senders for every marker: one with a long horizon, one that cuts its history."""
+    return f"""
+    SELECT series_id || '/long' AS request_id, series_id AS forecastMarker, 'a' AS sender, CAST(NULL AS {q.string}) AS sql_query,
+           '60' AS forecasting_period, CAST(NULL AS {q.string}) AS fake_yesterday, 'false' AS use_hypo, 'true' AS error_output
+    FROM (SELECT DISTINCT series_id FROM history) h
+    UNION ALL
+    SELECT series_id || '/cut', series_id, 'b', NULL, '7', CAST({q.plus('newest', -40)} AS {q.string}), 'false', 'true'
+    FROM (SELECT series_id, max(ds) AS newest FROM history GROUP BY series_id) h"""
+
+
 INPUTS = {
     "theme_dictionary": (_theme_dictionary, ()),
     "raw_dictionary": (_raw_dictionary, ("theme_dictionary",)),
@@ -324,6 +335,7 @@ INPUTS = {
     "calendar": (_calendar, ("history",)),
     "hyperparameters": (_hyperparameters, ()),
     "requests": (_requests, ("history",)),
+    "shared_requests": (_shared_requests, ("history",)),
 }
 
 

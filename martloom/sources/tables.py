@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.session import stage as write_aside
+
 # Fixed value: the text of the error frame, spelling included.
 SQL_ERROR = "sql is worng"
 READERS = ("parquet", "orc", "json", "csv")
@@ -45,6 +47,14 @@ def read_sql_or_error(spark: SparkSession, sql: str) -> DataFrame:
         return spark.createDataFrame([(SQL_ERROR,)], "error string")
 
 
+def try_sql(spark: SparkSession, sql: str) -> DataFrame | None:
+    """The query's rows, written to the shared folder; None where it fails, also while it runs."""
+    try:
+        return write_aside(spark.sql(sql), "query")
+    except PySparkException:
+        return None
+
+
 def table_name(*parts: str | None) -> str:
     """Name of up to three parts, NULL parts left out, each in backticks."""
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts if part)
@@ -53,15 +63,36 @@ def table_name(*parts: str | None) -> str:
 def write_snapshot(spark: SparkSession, frame: DataFrame, *parts: str) -> None:
     """Replace the table of that name by the rows of a frame, also where it reads that table.
 
-    The rows are written once, to a new table beside the old one, which then takes its
-    name; a failure while writing leaves the old table as it was.
+    The rows are written once, to a new table beside the old one. Then the old table is
+    renamed, the new one takes its name, and only then the old one is dropped: at every
+    moment one of them is whole, and a failure puts the old one back.
     """
+    run = uuid.uuid4().hex
     destination = table_name(*parts)
-    stage = table_name(*parts[:-1], f"{parts[-1]}_stage_{uuid.uuid4().hex}")
-    frame.write.saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {destination}")
-    # the new name is read within the catalog of the table
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {table_name(*parts[-2:])}")
+    staged = (*parts[:-1], f"{parts[-1]}_stage_{run}")
+    former = (*parts[:-1], f"{parts[-1]}_former_{run}")
+
+    def rename(old: Sequence[str], new: Sequence[str]) -> None:
+        # the new name is read within the catalog of the table
+        spark.sql(f"ALTER TABLE {table_name(*old)} RENAME TO {table_name(*new[-2:])}")
+
+    try:
+        frame.write.saveAsTable(table_name(*staged))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(*staged)}")
+        raise
+    replaces = spark.catalog.tableExists(destination)
+    if replaces:
+        rename(parts, former)
+    try:
+        rename(staged, parts)
+    except Exception:
+        if replaces:
+            rename(former, parts)
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(*staged)}")
+        raise
+    if replaces:
+        spark.sql(f"DROP TABLE {table_name(*former)}")
 
 
 def materialise_sheet(

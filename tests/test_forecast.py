@@ -238,6 +238,67 @@ def test_sources(spark):
     assert rows(errors) == [{"series_id": "bad", "error": "sql is worng"}]
 
 
+def test_a_query_that_fails_while_it_runs(spark):
+    """One request's failure is its own; a column named error is none."""
+    history(spark, "x", [1, 2, 3]).createOrReplaceTempView("stored_history")
+    asks = [
+        request("late", sql="SELECT ds, cast(raise_error('late') AS double) AS y FROM stored_history"),
+        request("good", sql="SELECT ds, y, 1 AS error FROM stored_history"),
+        request("shape", sql="SELECT 'x' AS error"),
+    ]
+    found, errors = S.read_sources(spark, S.choose_source(params(spark, *asks)))
+    assert {r["series_id"] for r in rows(found)} == {"good"}
+    assert {r["series_id"] for r in rows(errors)} == {"late", "shape"}
+
+
+def test_requests_for_one_marker_stay_apart(spark):
+    """Two senders with one marker, and a request without marker, each with horizon and cut of its own."""
+    entries = [("r1", *request("a", period="3")), ("r2", *request("a", period="5", until="2020-02-01")), ("r3", *request(None, period="2"))]
+    asks = spark.createDataFrame(entries, "request_id string, " + REQUESTS)
+    past = history(spark, "a", range(60)).unionByName(history(spark, "r3", range(20)))
+    done, summary = FC.forecast(asks, past, hyper(spark), calendar(spark), AS_OF, RUN, "trend_dow")
+    days = {}
+    for r in rows(done):
+        days.setdefault(r["series_id"], []).append(r["ds"])
+    assert {k: len(v) for k, v in days.items()} == {"r1": 63, "r2": 36, "r3": 22}
+    assert max(days["r2"]) == DAY(2020, 2, 5) and len(set(days["r1"])) == 63
+    assert {r["series_id"]: r["n_rows"] for r in rows(summary)} == {"r1": 60, "r2": 31, "r3": 20}
+
+
+def test_too_few_known_days(spark):
+    """Rows of one day, and rows without facts, are no history to fit."""
+    day = spark.createDataFrame([("one", START, 1.0), ("one", START, 2.0), ("null", START, None), ("null", DAY(2020, 1, 2), None)], "series_id string, ds date, y double")
+    asks = requests(spark, request("one"), request("null"))
+    for model in ("trend_dow", "additive"):
+        done, summary = FC.forecast(asks, day, hyper(spark), calendar(spark), AS_OF, RUN, model)
+        assert rows(done) == [] and {r["status"] for r in rows(summary)} == {"too_short"}
+
+
+def test_a_gap_is_no_zero_outside_of_forecast(spark):
+    rows_ = history(spark, "a", range(40))
+    p = params(spark, request("a"), stored=[("a", START, None, None, None, None, "load", None)])
+    full = S.add_regressors(rows_, calendar(spark, 30), ["load"])
+    assert rows(FC.fit_predict(full, full.select("series_id", "ds", "load"), "additive", p, ["load"])) == []
+
+
+def test_multiplicative_keeps_days_with_a_trend_near_zero(spark):
+    """A line through zero: no day and no series is lost, and the season is found."""
+    values = [(i - 50) * (1.5 if i % 7 == 0 else 1.0) for i in range(101)]
+    p = params(spark, request("a", period="7"), stored=[("a", START, 0.05, 10.0, 10.0, "multiplicative", None, None)])
+    full = S.add_regressors(history(spark, "a", values), calendar(spark), ["dow"])
+    spine = S.add_regressors(S.future_spine(full, p), calendar(spark), ["dow"])
+    got = rows(FC.fit_predict(full, spine, "additive", p, ["dow"]), "ds")
+    assert len(got) == 108
+    assert np.mean([abs(r["yhat"] - v) for r, v in zip(got, values)]) < 2.0
+
+
+def test_back_test_without_a_fold_says_so(spark):
+    p = params(spark, request("a", error="true"), request("b"), request("c", error="true"))
+    base = history(spark, "a", range(10)).unionByName(history(spark, "b", range(60)))
+    got = {r["series_id"]: r["status"] for r in rows(FC.backtest(S.history_frame(base, p, AS_OF), p))}
+    assert got == {"a": "no_fold", "b": "not_requested", "c": "no_data"}
+
+
 def test_own_column_wins_over_the_calendar(spark):
     frame = history(spark, "a", [1]).withColumn("dow", F.lit(42.0))
     (row,) = rows(S.add_regressors(frame, calendar(spark), ["dow", "load", "unknown"]))
@@ -273,7 +334,7 @@ def test_additive_agrees_with_a_direct_solve(spark):
     scale = y.max()
     penalty = np.array([1 / 25] * 2 + [0.5 / 0.3**2] * 25 + [1 / 16] * 26 + [1 / 4])
     noise = 0.01
-    for _ in range(5):
+    for _ in range(60):
         beta = np.linalg.solve(x[:800].T @ x[:800] + noise * np.diag(penalty), x[:800].T @ (y / scale))
         noise = max(np.mean((y / scale - x[:800] @ beta) ** 2), 1e-8)
     assert np.allclose(got, scale * (x @ beta), rtol=1e-6)

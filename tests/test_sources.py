@@ -137,7 +137,7 @@ def test_metadata_round_trip_through_the_catalog(spark):
     targets = spark.createDataFrame([("p", "mart", "m_"), ("p", "nowhere", "x")], "project string, dataset string, `table` string")
     listing, failures = C.list_tables(spark, targets)
     assert [r["dataset"] for r in rows(failures)] == ["nowhere"]
-    tables, columns = C.describe_tables(spark, listing)
+    tables, columns, failed = C.describe_tables(spark, listing)
     today = tables.selectExpr("max(to_date(modified)) AS d").collect()[0].d
     resolved = M.resolve_targets(targets, tables, today)
     assert {(r["dataset"], r["resolved_table"], r["status"]) for r in rows(resolved)} == {
@@ -159,7 +159,7 @@ def test_metadata_round_trip_through_the_catalog(spark):
     ddl = M.metadata_ddl(tables=M.plan_table_metadata(resolved, tables, options), policy=policy)
     done = S.run_statements(spark, ddl).collect()
     assert len(done) == 4 and all(r.status == "ok" for r in done), done
-    tables, columns = C.describe_tables(spark, listing)
+    tables, columns, failed = C.describe_tables(spark, listing)
     (mart,) = [r for r in rows(tables) if r["table"] == "m_20240310"]
     assert mart["description"] == "new; text" and mart["labels"] == {"tier": "gold"}
     texts = {r["field"]: (r["description"], r["policy_tags"]) for r in rows(columns.where("`table` = 'm_20240310'"))}

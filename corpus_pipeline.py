@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
-from martloom.llm.common import free_shuffles, numbered, table
+from martloom.llm.common import decided, free_shuffles, fresh, table
 from martloom.session import stage
 
 # Learned weights, set hashes and knapsack choices have no SQL form.
@@ -32,16 +32,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    rows, row = numbered(docs, "exact-input")
-    kept = exact_dedup.exact_groups(rows, row_col=row).filter("kept").select(F.col("row").alias(row))
-    return rows.join(kept, row, "left_semi").drop(row)
+    return decided(docs, exact_dedup.exact_groups(docs).filter("kept"), {})
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked near copies, that with the smallest doc_id."""
-    rows, row = numbered(docs, "near-input")
-    kept = near_dedup.near_groups(rows, row_col=row).filter("kept").select(F.col("row").alias(row))
-    return rows.join(kept, row, "left_semi").drop(row)
+    return decided(docs, near_dedup.near_groups(docs).filter("kept"), {})
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +48,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, with how many of their words it takes, repeats counted."""
-    rows, row = numbered(docs, "mix-input")
-    mixed = mixing.mix(rows, row_col=row).filter("taken > 0")
-    mixed = mixed.select(F.col("row").alias(row), *[F.col(n).alias(f"mix_{n}") for n in ("size", "source_size", "target", "taken")])
-    return rows.join(mixed, row).drop(row)
+    mixed = mixing.mix(docs).filter("taken > 0")
+    return decided(docs, mixed, {name: fresh(docs, f"mix_{name}") for name in ("size", "source_size", "target", "taken")})
 
 
 STAGES = [

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from martloom.session import stage
+from pyspark.sql.window import Window
 
 # The white space of the corpus rules: x20 and x09 to x0D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -35,13 +34,30 @@ def fresh(frame: DataFrame, name: str) -> str:
     return name
 
 
-def numbered(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The frame written once with a row number, so that repeated rows can be told apart.
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """k1 and k2, 96 bits of hashes of id and text, by which another read of the rows finds them again.
+
+    Row numbers would not do: how files are split, and so numbered, may change between reads.
+    """
+    return [F.xxhash64(id_col, text_col).alias("k1"), F.hash(text_col, id_col).alias("k2")]
+
+
+def decided(docs: DataFrame, decisions: DataFrame, values: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``decisions`` (k1, k2 and the columns of ``values``) has, whole.
 
-    Returns the frame read back and the name of its number column.
+    ``values`` names the columns to add, by their names in ``decisions``. Of repeated rows, which
+    share a key, as many stay as there are decisions, each with its own values; only exact
+    repeats of an id with its text are listed together. One shuffle of the rows.
     """
-    row = fresh(frame, "_row")
-    return stage(frame.withColumn(row, F.monotonically_increasing_id()), name), row
+    k1, k2, list_, nth = (fresh(docs, name) for name in ("_k1", "_k2", "_decisions", "_nth"))
+    packed = F.struct(F.lit(True).alias("_"), *[F.col(name) for name in values])
+    listed = decisions.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(packed)).alias(list_))
+    keyed = docs.withColumns(dict(zip((k1, k2), row_key(id_col, text_col))))
+    joined = keyed.join(listed.withColumnsRenamed({"k1": k1, "k2": k2}), [k1, k2])
+    counted = joined.withColumn(nth, F.row_number().over(Window.partitionBy(k1, k2).orderBy(k1, k2)))
+    kept = counted.filter(F.col(nth) <= F.size(list_))
+    mine = F.get(list_, F.col(nth) - 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], *[mine[name].alias(new) for name, new in values.items()])
 
 
 def join_by_size(base: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:

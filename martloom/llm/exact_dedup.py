@@ -13,19 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import WHITE, join_by_size, text_of
+from martloom.llm.common import WHITE, join_by_size, row_key, text_of
 from martloom.session import stage
 
 FAN = 16
 
 
-def digest_table(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
-    """Stored: number, id, code points, normalised length, SHA-256 and run of each row."""
+def digest_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Stored: number, key, id, code points, normalised length, SHA-256 and run of each row."""
     text = text_of(text_col)
     bare = F.translate(text, WHITE, "")
     return stage(
         docs.select(
-            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
+            F.monotonically_increasing_id().alias("row"),
+            *row_key(id_col, text_col),
             F.col(id_col).alias("id"),
             F.char_length(text).cast("long").alias("points"),
             F.octet_length(bare).cast("long").alias("length"),
@@ -74,17 +75,16 @@ def exact_groups(
     id_col: str = "doc_id",
     text_col: str = "text",
     fan: int = FAN,
-    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: which row of equal texts stays.
 
     Texts are equal if they are identical without white space. Of a group the row with the
     most code points stays, then the smallest id (null last), then, for repeated rows, the
-    first read (of ``row_col``, if given, the smallest). A null text is the empty text; empty texts form a group. Other columns are
-    not read. An empty table gives no rows. Columns: row (number of the input row), id_col,
-    keep_id, group_size, kept, text_sha256.
+    first read. A null text is the empty text; empty texts form a group. Other columns are
+    not read. An empty table gives no rows. Columns: id_col, keep_id, group_size, kept,
+    text_sha256, and the row's key k1, k2.
     """
-    entries = digest_table(docs, id_col, text_col, row_col)
+    entries = digest_table(docs, id_col, text_col)
     last = entries.agg(F.max("run")).first()[0]
     groups = stage(merge_runs(entries, (last or 0) + 1, fan).filter("group_size > 1"), "digest-groups")
     groups = groups.select(
@@ -93,14 +93,15 @@ def exact_groups(
         F.col("best.row").alias("keep_row"),
         "group_size",
     )
-    base = entries.select("row", "id", "digest", F.struct("digest", "length").alias("key"))
+    base = entries.select("row", "k1", "k2", "id", "digest", F.struct("digest", "length").alias("key"))
     joined = join_by_size(base, groups, "key", "group_size", entries.count())
     alone = F.col("group_size").isNull()
     return joined.select(
-        "row",
         F.col("id").alias(id_col),
         F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("row") == F.col("keep_row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "k1",
+        "k2",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martloom.llm.common import text_of
+from martloom.llm.common import row_key, text_of
 from martloom.session import stage
 
 WEIGHTS = (3, 1, 2)
@@ -132,7 +132,6 @@ def mix(
     share: float = SHARE,
     most: int = MOST,
     seed: int = 7,
-    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: how many of its words the mix takes.
 
@@ -142,13 +141,13 @@ def mix(
     are chosen by a seeded hash of the id. A null or empty text has size 0 and is taken 0.
     Repeated rows count one by one. An empty table gives no rows. Other columns are not read.
     The driver sees one row per source, a task the distinct lengths of one source.
-    Columns: row, id_col, size, source_size, target, taken.
+    Columns: id_col, size, source_size, target, taken, and the row's key k1, k2.
     """
     spark = docs.sparkSession
-    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     sizes = stage(
         docs.select(
-            row.alias("row"),
+            F.monotonically_increasing_id().alias("row"),
+            *row_key(id_col, text_col),
             F.col(id_col).alias("id"),
             F.col(source_col).cast("string").alias("source"),
             F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("skey"),
@@ -199,10 +198,11 @@ def mix(
     ranked = placed.repartition(n, *keys).withColumn("rank", rank)
     picked = ranked.join(shares.repartition(n, *keys), keys)
     return picked.select(
-        "row",
         F.col("id").alias(id_col),
         "size",
         "source_size",
         "target",
         (F.col("size") * (F.col("whole") + (F.col("rank") <= F.col("quota")).cast("long"))).alias("taken"),
+        "k1",
+        "k2",
     )

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_in
+from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_in, row_key
 from martloom.llm.components import components
 from martloom.llm.shingles import SHINGLE, WordHashes, mix, shingle_set
 from martloom.session import stage
@@ -65,17 +65,12 @@ def bucket_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def text_key(id_col: str, text_col: str):
-    """A hash that finds a row again in another read; what it finds is checked by the set's hash."""
-    return F.xxhash64(id_col, text_col)
-
-
 def set_hash(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
-    """row, id, tkey, n (shingles), set_hash (of the sorted shingles) and sig of each text."""
+def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """row, id, k1, k2, n (shingles), set_hash (of the sorted shingles) and sig of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -87,14 +82,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, row_col: str | None
                 hashes.append(set_hash(found))
                 sigs.append(signature(found).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), batch.column("tkey"), pa.array(counts, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sigs, pa.binary())],
-                ["row", "id", "tkey", "n", "set_hash", "sig"],
+                [batch.column("row"), batch.column("id"), batch.column("k1"), batch.column("k2"), pa.array(counts, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sigs, pa.binary())],
+                ["row", "id", "k1", "k2", "n", "set_hash", "sig"],
             )
 
     kind = dict(docs.dtypes)[id_col]
-    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
-    base = docs.select(row.alias("row"), F.col(id_col).alias("id"), text_key(id_col, text_col).alias("tkey"), bytes_of(text_col).alias("data"))
-    return base.mapInArrow(run, f"row long, id {kind}, tkey long, n long, set_hash binary, sig binary")
+    row = F.monotonically_increasing_id()
+    base = docs.select(row.alias("row"), F.col(id_col).alias("id"), *row_key(id_col, text_col), bytes_of(text_col).alias("data"))
+    return base.mapInArrow(run, f"row long, id {kind}, k1 long, k2 int, n long, set_hash binary, sig binary")
 
 
 def index_rows(classes: DataFrame) -> DataFrame:
@@ -272,7 +267,6 @@ def near_groups(
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = 85,
-    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: its group of documents linked by near-equal shingle sets.
 
@@ -281,15 +275,15 @@ def near_groups(
     least, for which the signatures are laid out. Documents without words have no links; their
     null or empty texts count 0 shingles. Repeated rows are linked with each other unless
     empty. An empty table gives no rows; other columns are not read; the ids must not be null
-    for rows to be grouped by the smallest id, null ids come last. Columns: row, id_col,
-    n_shingles, component_id, component_row, kept (the row is its group's first).
+    for rows to be grouped by the smallest id, null ids come last. Columns: id_col, n_shingles,
+    component_id, kept (the row is its group's first), and the row's key k1, k2.
     """
     if percent < 85:
         raise ValueError("percent below 85 needs longer signatures")
     spark = docs.sparkSession
-    base = stage(signatures(docs, id_col, text_col, row_col), "signatures")
+    base = stage(signatures(docs, id_col, text_col), "signatures")
     # texts of one set are one class, named by its smallest row number
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "tkey")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "k1")
     classes = stage(
         base.filter("n > 0")
         .groupBy("set_hash", "n")
@@ -313,14 +307,14 @@ def near_groups(
         part = components(tied.union(more))
     free_shuffles(spark)
 
-    sized = part.toDF("c", "cluster").join(classes.select("c", "n", "set_hash", F.col("first.tkey").alias("tkey")), "c")
+    sized = part.toDF("c", "cluster").join(classes.select("c", "n", "set_hash", F.col("first.k1").alias("k1")), "c")
     spans = sized.groupBy("cluster").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
     )
     members = stage(sized.join(spans, "cluster"), "members")
-    texts = docs.select(text_key(id_col, text_col).alias("tkey"), bytes_of(text_col).alias("data"))
-    texts = perhaps_in(texts, members, "tkey")
-    rows = blocked(texts.join(members, "tkey"), "cluster", "blocks")
+    texts = docs.select(row_key(id_col, text_col)[0], bytes_of(text_col).alias("data"))
+    texts = perhaps_in(texts, members, "k1")
+    rows = blocked(texts.join(members, "k1"), "cluster", "blocks")
     rows = rows.repartition("cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
     links = stage(confirmed_links(rows.select("cluster", "lo", "hi", "_mine", "c", "set_hash", "data"), percent), "links")
     free_shuffles(spark)
@@ -332,10 +326,10 @@ def near_groups(
     told = join_by_size(base.drop("sig"), found, "set_hash", "members", base.count())
     grouped = F.col("first").isNotNull() & (F.col("n") > 0)
     return told.select(
-        "row",
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(grouped, F.col("first.id")).otherwise(F.col("id")).alias("component_id"),
-        F.when(grouped, F.col("first.row")).otherwise(F.col("row")).alias("component_row"),
         F.when(grouped, F.col("first.row") == F.col("row")).otherwise(True).alias("kept"),
+        "k1",
+        "k2",
     )

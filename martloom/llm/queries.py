@@ -26,7 +26,7 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("row")
+    return exact_dedup.exact_groups(table(spark, folder, "documents")).drop("k1", "k2")
 
 
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).drop("row")
+    return mixing.mix(table(spark, folder, "documents")).drop("k1", "k2")
 
 
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -40,6 +40,9 @@ class Spark:
     def matches(self, column: str, pattern: str) -> str:
         return f"{column} RLIKE r'{pattern}'"
 
+    def swap(self, column: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({column}, '{pattern}', '{by}')"
+
     def days(self, low: str, high: str) -> str:
         return f"explode(sequence({low}, {high}))"
 
@@ -86,6 +89,9 @@ class Duck(Spark):
     def matches(self, column: str, pattern: str) -> str:
         return f"regexp_matches({column}, '{pattern}')"
 
+    def swap(self, column: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({column}, '{pattern}', '{by}', 'g')"
+
     def days(self, low: str, high: str) -> str:
         return f"CAST(unnest(generate_series({low}, {high}, INTERVAL 1 DAY)) AS DATE)"
 
@@ -126,6 +132,37 @@ def _raw_dictionary(q) -> str:
     WHERE length(keyword) % 3 = 0"""
 
 
+LATIN_LETTERS, CYRILLIC_LETTERS = "abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстувшхыз"
+
+
+def _rich_parts(q) -> str:
+    """Seven pieces of plain words for every page, of two pages in three in Cyrillic letters."""
+    clean = q.swap(q.swap("lower(left(text, 700))", "[^a-z ]+", " "), " +", " ")
+    letters = f"CASE WHEN page_id % 3 = 0 THEN piece ELSE translate(piece, '{LATIN_LETTERS}', '{CYRILLIC_LETTERS}') END"
+    pieces = ", ".join(f"trim(substr({letters}, {1 + 60 * k}, 60)) AS t{k}" for k in range(7))
+    return f"""
+    SELECT page_id, url, {pieces}
+    FROM (SELECT page_id, url, CASE WHEN page_id % 13 = 5 THEN '' ELSE {clean} END AS piece
+          FROM {q.t('pages')} JOIN {q.t('documents')} ON doc_id = page_id) x"""
+
+
+def _rich_pages(q) -> str:
+    """Pages with every segment, names that only begin like a tag, and failed fetches."""
+    return """
+    SELECT page_id, url, CASE WHEN page_id % 11 <> 0 THEN
+        '<html><head><META name="keywords" content="' || t0 || '"><meta content="' || t1 || '" name=description>'
+        || '<title lang="x">' || t2 || '</title><script>var a = "<h1>no</h1>";</script></head><body><header class=a>'
+        || '<p>head</p></header><header-bar>' || t3 || '</header-bar><h1-x></h1-x><h1>' || t4 || '</h1><h2 id="q">' || t5
+        || '</h2><p >' || t6 || '</p><footer >foot</footer></body></html>' END AS html
+    FROM rich_parts"""
+
+
+def _rich_dictionary(q) -> str:
+    return f"""
+    SELECT industry, subindustry, translate(keyword, '{LATIN_LETTERS}', '{CYRILLIC_LETTERS}') AS keyword, weight
+    FROM raw_dictionary"""
+
+
 def _themes(q) -> str:
     return f"SELECT lang AS industry, source AS subindustry FROM {q.t('documents')}"
 
@@ -319,6 +356,9 @@ def _shared_requests(q) -> str:
 INPUTS = {
     "theme_dictionary": (_theme_dictionary, ()),
     "raw_dictionary": (_raw_dictionary, ("theme_dictionary",)),
+    "rich_parts": (_rich_parts, ()),
+    "rich_pages": (_rich_pages, ("rich_parts",)),
+    "rich_dictionary": (_rich_dictionary, ("raw_dictionary",)),
     "themes": (_themes, ()),
     "lemmas": (_lemmas, ()),
     "answers": (_answers, ()),

@@ -266,6 +266,10 @@ def _classified(spark, d, lemmas):
     done = TH.classify_pages(
         I.pages(spark, d), I.read(spark, d, "theme_dictionary"), lemmas, SCRIPT
     )
+    return _flat(done)
+
+
+def _flat(done):
     return done.select(
         "page_id", "url", "domain", "theme", "subtheme",
         F.round("confidence", 6).alias("confidence"),
@@ -289,6 +293,16 @@ def classify_pages_cyrillic(spark, d):
     return done.select("page_id", "domain", "theme", "confidence", "status")
 
 
+def page_segments_rich(spark, d):
+    """Pages whose segments are known because they are built from them."""
+    return P.page_segments(I.read(spark, d, "rich_pages"))
+
+
+def classify_pages_rich(spark, d):
+    """The default script, on pages of both scripts, without text and failed fetches."""
+    return _flat(TH.classify_pages(I.read(spark, d, "rich_pages"), I.read(spark, d, "rich_dictionary")))
+
+
 def taxonomy_list(spark, d):
     return L.taxonomy(I.read(spark, d, "themes")).withColumn(
         "subcategories", F.array_join("subcategories", ",")
@@ -341,6 +355,33 @@ def _classified_sql(lemmas: bool) -> str:
         status FROM stated)"""
 
 
+def _rich_segments_sql() -> str:
+    """Segments of the rich pages straight from the pieces that they are built of."""
+    main = "concat_ws(' ', nullif(t3, ''), nullif(t4, ''), nullif(t5, ''), nullif(t6, ''))"
+    parts = {
+        "meta_keywords": "t0", "meta_description": "t1", "title": "t2", "h1": "t4", "h2_h3": "t5",
+        "first_paragraphs": "t6", "main_content": main,
+    }
+    columns = ", ".join(f"CASE WHEN fetched THEN {sql} ELSE '' END AS {name}" for name, sql in parts.items())
+    filled = ", ".join(f"nullif({name}, '')" for name in NAMES)
+    return f"""{I.ctes('rich_pages')},
+    cut AS (SELECT p.page_id, p.url, html IS NOT NULL AS fetched, t0, t1, t2, t3, t4, t5, t6
+            FROM rich_pages p JOIN rich_parts USING (page_id)),
+    bare AS (SELECT page_id, url, fetched, {columns} FROM cut),
+    segments AS (SELECT *, concat_ws(' ', {filled}) AS content FROM bare)"""
+
+
+def _rich_classified_sql() -> str:
+    folded = "folded AS (SELECT industry, subindustry, keyword, min(weight) AS weight FROM rich_dictionary GROUP BY 1, 2, 3)"
+    return (
+        _classified_sql(False)
+        .replace(_segments_sql(), _rich_segments_sql())
+        .replace(_gate(SCRIPT), _gate(T.CYRILLIC))
+        .replace(I.ctes("theme_dictionary"), f"{I.ctes('rich_dictionary')}, {folded}")
+        .replace("JOIN theme_dictionary ON", "JOIN folded ON")
+    )
+
+
 def _prompt_sql() -> str:
     values = {
         "domain": "url",
@@ -434,6 +475,11 @@ QUERIES = {
         classify_pages_cyrillic,
         _select(_segments_sql(), f"SELECT page_id, {_DOMAIN} AS domain, CAST(NULL AS VARCHAR) AS theme, 0.0::DOUBLE AS confidence, {_gate(T.CYRILLIC)} AS status FROM segments"),
     ),
+    "page_segments_rich": (
+        page_segments_rich,
+        _select(_rich_segments_sql(), f"SELECT page_id, url, fetched, {', '.join(NAMES)}, content FROM segments"),
+    ),
+    "classify_pages_rich": (classify_pages_rich, f"{_rich_classified_sql()} SELECT * FROM classified"),
     "taxonomy_list": (
         taxonomy_list,
         _select(_TAXONOMY, "SELECT category, array_to_string(subcategories, ',') AS subcategories FROM categories"),

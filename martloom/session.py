@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Folders of local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = 8, memory: str = "8g", **confs: str) -> SparkSession:
@@ -41,11 +43,14 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="martloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    # the setting cannot be changed in a running session, so the folder is remembered here
+    app = context.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="martloom-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _LOCAL_FOLDERS[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -64,3 +69,13 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application has staged in the shared folder, and nothing else there.
+
+    For the end of a job: frames read back from staged tables are no longer readable.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

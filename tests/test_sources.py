@@ -170,3 +170,14 @@ def test_combined_results(spark):
     one = spark.createDataFrame([(1, "a")], "x int, y string")
     two = spark.createDataFrame([("b",)], "y string")
     assert rows(S.combine_results(one, two), "y") == [{"x": 1, "y": "a"}, {"x": None, "y": "b"}]
+
+
+def test_clean_up_takes_only_the_application_s_folder(spark, tmp_path, monkeypatch):
+    from martloom import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert session.stage(frame(spark), "x").count() == 6
+    assert (tmp_path / spark.sparkContext.applicationId).exists()
+    session.clean_up(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]

@@ -99,6 +99,17 @@ def sorted_index(values: list) -> tuple[np.ndarray, np.ndarray]:
     return values[order], order
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among a few sorted ones: plain comparisons where these are very few."""
+    if len(known) <= 8:
+        found = values == known[0]
+        for one in known[1:]:
+            found |= values == one
+        return found
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values
+
+
 def window_of(scale: int) -> tuple[int, int]:
     """Shingles of a window, and between the starts of two."""
     step = max(1, scale // 8)
@@ -171,10 +182,8 @@ def find_licenses(texts: list[bytes], templates: Templates, memo: WordHashes, co
                 start, stop, _ = cuts[key]
                 least = sliding(values, start, stop, window_of(key[1])[0])
                 known, order = templates.bands[key][band]
-                at = np.searchsorted(known, least)
-                hit = np.flatnonzero((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == least))
-                for w in hit.tolist():
-                    k = int(at[w])
+                for w in np.flatnonzero(among(least, known)).tolist():
+                    k = int(np.searchsorted(known, least[w]))
                     while k < len(known) and known[k] == least[w]:
                         asked[key].add((w, int(order[k])))
                         k += 1

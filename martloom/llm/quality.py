@@ -21,6 +21,7 @@ from martloom.llm.common import bytes_of
 
 BITS = 18
 TRAIN_ROWS = 12_000  # labelled rows that the fit reads, about; chosen by a hash of the id
+ROWS_AT_ONCE = 1_000  # of a step of the fit
 KEEP_PROBABILITY = 0.7  # of the best grade; above one half, since few good documents score between
 
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -85,15 +86,18 @@ def fit_ordinal(
     Features that fewer than three rows have are left out. The result does not depend on the
     order of equal rows.
     """
-    size = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), size)
-    common = np.bincount(flat, minlength=1 << bits) >= 3
-    names = np.flatnonzero(common)
-    to = np.zeros(1 << bits, np.int64)
-    to[names] = np.arange(len(names))
-    used = common[flat]
-    flat, owner = to[flat[used]], owner[used]
+    n = max(1, len(rows))
+    seen = np.zeros(1 << bits, np.int64)
+    for row in rows:
+        seen[row] += 1
+    names = np.flatnonzero(seen >= 3)
+    to = np.full(1 << bits, -1, np.int32)
+    to[names] = np.arange(len(names), dtype=np.int32)
+    # rows in blocks, so that a step needs little memory beside the feature numbers
+    blocks = []
+    for start in range(0, len(rows), ROWS_AT_ONCE):
+        kept = [found[found >= 0] for found in (to[row] for row in rows[start : start + ROWS_AT_ONCE])]
+        blocks.append((start, np.array([len(k) for k in kept]), np.concatenate(kept)))
     # ordered thresholds: the first and logarithms of the gaps
     share = np.clip([(grades >= k).mean() for k in range(1, levels)], 1e-3, 1 - 1e-3)
     t = np.log(1 / share - 1)
@@ -101,11 +105,13 @@ def fit_ordinal(
     w = np.zeros(len(names))
     m1, v1, m2, v2 = np.zeros_like(w), np.zeros_like(w), np.zeros_like(shape), np.zeros_like(shape)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-    n = max(1, len(rows))
     for step in range(1, rounds + 1):
         gaps = np.exp(shape[1:])
         t = shape[0] + np.concatenate(([0.0], np.cumsum(gaps)))
-        score = np.bincount(owner, w[flat], minlength=len(rows))
+        score = np.zeros(len(rows))
+        for start, size, flat in blocks:
+            owner = np.repeat(np.arange(len(size)), size)
+            score[start : start + len(size)] = np.bincount(owner, w[flat], minlength=len(size))
         tail = np.concatenate((np.ones((len(rows), 1)), sigmoid(score[:, None] - t[None]), np.zeros((len(rows), 1))), 1)
         at = np.arange(len(rows))
         high, low = tail[at, grades], tail[at, grades + 1]
@@ -117,7 +123,9 @@ def fit_ordinal(
         np.add.at(d_t, grades + 1, slope_low / p / n)
         d_t = d_t[1:levels]
         d_shape = np.concatenate(([d_t.sum()], [d_t[k:].sum() * gaps[k - 1] for k in range(1, levels - 1)]))
-        g = np.bincount(flat, d_score[owner], minlength=len(names))
+        g = np.zeros(len(names))
+        for start, size, flat in blocks:
+            g += np.bincount(flat, np.repeat(d_score[start : start + len(size)], size), minlength=len(names))
         pace = rate * min(1.0, 2 * (1 - step / (rounds + 1)))
         m1, v1 = 0.9 * m1 + 0.1 * g, 0.99 * v1 + 0.01 * g * g
         speed = pace / (np.sqrt(v1 / (1 - 0.99**step)) + 1e-4)
@@ -167,12 +175,11 @@ def train(
             )
 
     kind = dict(docs.dtypes)[id_col]
-    sample = joined.mapInArrow(found, f"id {kind}, grade int, packed binary").toPandas()
-    if not len(sample):
+    sample = joined.mapInArrow(found, f"id {kind}, grade int, packed binary").toArrow().sort_by([("id", "ascending"), ("packed", "ascending")])
+    if not sample.num_rows:
         return None
-    sample = sample.sort_values(["id", "packed"])
-    vectors = [np.frombuffer(x, np.int32).astype(np.int64) for x in sample["packed"]]
-    return fit_ordinal(vectors, sample["grade"].to_numpy(np.int64), levels, bits)
+    vectors = [np.frombuffer(x.as_buffer(), np.int32) for x in sample.column("packed")]
+    return fit_ordinal(vectors, sample.column("grade").to_numpy().astype(np.int64), levels, bits)
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text", levels: int = 3, keep_probability: float = KEEP_PROBABILITY) -> DataFrame:

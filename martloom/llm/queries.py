@@ -52,7 +52,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.license_scan(table(spark, folder, "documents"))
+    found = licenses.license_scan(table(spark, folder, "documents"), templates=licenses.ALL_TEMPLATES, families=licenses.FAMILIES)
     return found.select(
         "doc_id",
         F.size("found").cast("long").alias("n_licenses"),

@@ -153,3 +153,23 @@ def test_license_query_on_a_table(spark):
         assert r.licenses == ",".join(sorted(truth)) and r.n_licenses == len(truth)
         found += len(truth)
     assert found
+
+
+def test_bodies_and_versions(spark):
+    """Whole license bodies are found, each under its own name, and a version is not taken for another."""
+    gnu = "This work is licensed under the GNU General Public License, version %s."
+    header = "This program is free software; you can redistribute it and/or modify it under the terms of the %s as published by the Free Software Foundation; either version %s of the License, or (at your option) any later version."
+    cases = {"gpl-2.0": gnu % 2, "gpl-3.0": gnu % 3, "gpl-2.0 ": header % ("GNU General Public License", 2), "lgpl-2.1": header % ("GNU Lesser General Public License", "2.1")}
+    cases |= {"agpl-3.0": header % ("GNU Affero General Public License", 3), "cc-by-4.0": "Licensed under CC BY 4.0.", "cc-by-sa-4.0": "http://creativecommons.org/licenses/by-sa/4.0/"}
+    cases |= {name[:-5] + "  ": text for name, text in licenses.TEXTS}
+    texts = list(cases.values()) + [dict(licenses.TEXTS)["bsd-2-clause-text"] + "\n" + "other words here " * 200 + dict(licenses.TEXTS)["bsd-3-clause-text"]]
+    found = licenses.license_scan(D.frame(spark, [(i, t, None, None, 0, 0, "") for i, t in enumerate(texts)]), templates=licenses.ALL_TEMPLATES, families=licenses.FAMILIES).collect()
+    names = {r.doc_id: {x.license for x in r.found} for r in found}
+    bodies = lambda i: {n for n in names[i] if n.endswith("-text")}
+    for i, case in enumerate(cases):
+        if case.endswith("  "):
+            assert bodies(i) == {case.strip() + "-text"}, (case, names[i])
+        else:
+            versions = {n.rsplit("-", 1)[0] for n in names[i]} - {"gpl"}
+            assert versions == {case.strip()}, (case, names[i])
+    assert bodies(len(cases)) == {"bsd-2-clause-text", "bsd-3-clause-text"}

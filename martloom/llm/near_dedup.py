@@ -1,8 +1,8 @@
 """Near-duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
 A signature has POSITIONS numbers of BITS bits; two texts of shingle similarity s differ in
-about (1 - s) of them. The positions are cut into CHUNKS chunks. Signatures that differ in at
-most CHUNKS * (ERRORS + 1) - 1 positions have a chunk with at most ERRORS differing
+about (1 - s) of them. The positions are cut into chunks, more for a lower similarity. Signatures that differ in at
+most chunks * (ERRORS + 1) - 1 positions have a chunk with at most ERRORS differing
 positions (pigeonhole), so every signature enters one bucket for each chunk and each choice
 of ERRORS positions left out of it, and all such pairs share a bucket.
 
@@ -31,17 +31,35 @@ from martloom.session import stage
 
 POSITIONS = 96
 BITS = 16
-CHUNKS = 16
+CHUNKS = {85: 16, 80: 20}  # by the least percent that they serve
 ERRORS = 1
-DISTANCE = CHUNKS * (ERRORS + 1) - 1  # 31: at similarity 0.85, 1 pair in 300 000 differs in more
 SIGNATURES = 1024  # signatures compared at once
 BLOCK = 128  # texts compared at once
 BLOCK_SHINGLES = 200_000  # and about so many shingles
 
 _SEEDS = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
-_GROUPS = np.array_split(np.arange(POSITIONS), CHUNKS)
-# for every bucket of a signature: the positions that its key reads
-_KEPT = [np.setdiff1d(group, out) for group in _GROUPS for out in combinations(group, ERRORS)]
+
+
+def chunks_of(percent: int) -> int:
+    """Chunks for a similarity: at its least one, few pairs differ in more than the distance (5.9e-6 at 85, 1.1e-06 at 80)."""
+    served = [least for least in CHUNKS if least <= percent]
+    if not served:
+        raise ValueError(f"percent below {min(CHUNKS)} needs longer signatures")
+    return CHUNKS[max(served)]
+
+
+def distance_of(chunks: int) -> int:
+    """Signatures that differ in no more positions share a bucket: 31 for 16 chunks, 39 for 20."""
+    return chunks * (ERRORS + 1) - 1
+
+
+def kept_of(chunks: int) -> list[np.ndarray]:
+    """For every bucket of a signature: the positions that its key reads."""
+    return [np.setdiff1d(group, out) for group in np.array_split(np.arange(POSITIONS), chunks) for out in combinations(group, ERRORS)]
+
+
+DISTANCE = distance_of(CHUNKS[85])
+_KEPT = kept_of(CHUNKS[85])
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -53,11 +71,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
-def bucket_keys(signatures: np.ndarray) -> np.ndarray:
+def bucket_keys(signatures: np.ndarray, positions: list[np.ndarray] = _KEPT) -> np.ndarray:
     """Bucket keys, one row for each signature."""
     wide = signatures.astype(np.uint64)
-    keys = np.empty((len(wide), len(_KEPT)), np.uint64)
-    for k, kept in enumerate(_KEPT):
+    keys = np.empty((len(wide), len(positions)), np.uint64)
+    for k, kept in enumerate(positions):
         key = np.full(len(wide), k + 1, np.uint64)
         for position in kept:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, position])
@@ -92,29 +110,30 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.mapInArrow(run, f"row long, id {kind}, k1 long, k2 int, n long, set_hash binary, sig binary")
 
 
-def index_rows(classes: DataFrame) -> DataFrame:
+def index_rows(classes: DataFrame, chunks: int) -> DataFrame:
     """key, c for every bucket of every class."""
+    positions = kept_of(chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
                 sigs = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-                keys = bucket_keys(sigs)
+                keys = bucket_keys(sigs, positions)
                 owner = np.repeat(part.column("c").to_numpy(zero_copy_only=False), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(owner)], ["key", "c"])
 
     return classes.select("c", "sig").mapInArrow(run, "key long, c long")
 
 
-def close_pairs(pairs: DataFrame) -> DataFrame:
-    """Of a, b, sig_a, sig_b the pairs within DISTANCE."""
+def close_pairs(pairs: DataFrame, distance: int) -> DataFrame:
+    """Of a, b, sig_a, sig_b the pairs within the distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = np.frombuffer(b"".join(batch.column("sig_a").to_pylist()), np.uint16).reshape(-1, POSITIONS)
             right = np.frombuffer(b"".join(batch.column("sig_b").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-            good = pa.array((left != right).sum(1) <= DISTANCE)
+            good = pa.array((left != right).sum(1) <= distance)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
@@ -185,7 +204,7 @@ def crossing(table: pa.Table) -> np.ndarray:
     return np.ones((len(mine), len(mine)), bool) if lo == hi else mine[:, None] != mine[None]
 
 
-def mixed_bucket_edges(rows: DataFrame) -> DataFrame:
+def mixed_bucket_edges(rows: DataFrame, distance: int) -> DataFrame:
     """Edges between clusters in buckets that have several: key, lo, hi, _mine, c, part, sig, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +221,7 @@ def mixed_bucket_edges(rows: DataFrame) -> DataFrame:
                 near = np.flatnonzero(good)
                 if not len(near):
                     continue
-                near = near[(sig[i + 1 + near] != sig[i]).sum(1) <= DISTANCE]
+                near = near[(sig[i + 1 + near] != sig[i]).sum(1) <= distance]
                 for j in near.tolist():
                     if parts.join(i, i + 1 + j):
                         a.append(int(c[i]))
@@ -271,15 +290,15 @@ def near_groups(
     """One row per document: its group of documents linked by near-equal shingle sets.
 
     Sets are the distinct shingles of 5 words (see ``shingle_set``). Two documents are linked
-    if 100 * intersection >= percent * union, confirmed on the full sets; percent must be 85 at
+    if 100 * intersection >= percent * union, confirmed on the full sets; percent must be 80 at
     least, for which the signatures are laid out. Documents without words have no links; their
     null or empty texts count 0 shingles. Repeated rows are linked with each other unless
     empty. An empty table gives no rows; other columns are not read; the ids must not be null
     for rows to be grouped by the smallest id, null ids come last. Columns: id_col, n_shingles,
     component_id, kept (the row is its group's first), and the row's key k1, k2.
     """
-    if percent < 85:
-        raise ValueError("percent below 85 needs longer signatures")
+    chunks = chunks_of(percent)
+    distance = distance_of(chunks)
     spark = docs.sparkSession
     base = stage(signatures(docs, id_col, text_col), "signatures")
     # texts of one set are one class, named by its smallest row number
@@ -290,19 +309,19 @@ def near_groups(
         .agg(F.min("row").alias("c"), F.min(order).alias("first"), F.count("*").alias("members"), F.first("sig").alias("sig")),
         "classes",
     )
-    keys = index_rows(classes)
+    keys = index_rows(classes, chunks)
     shared = keys.groupBy("key").agg(F.min("c").alias("least"), F.count("*").alias("size")).filter("size > 1")
     buckets = stage(keys.join(shared, "key"), "buckets")
     sig = classes.select("c", "sig")
     stars = buckets.filter("c <> least").select(F.col("least").alias("a"), F.col("c").alias("b")).distinct()
     pairs = stars.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-    tied = stage(close_pairs(pairs), "tied")
+    tied = stage(close_pairs(pairs, distance), "tied")
     part = components(tied)
     named = buckets.join(part.toDF("c", "root"), "c", "left").withColumn("part", F.coalesce("root", "c")).drop("root")
     mixed = named.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("key")
     rows = named.join(mixed, "key").select("key", "c", "part", F.ceil(F.col("size") / SIGNATURES).alias("blocks")).join(sig, "c")
     rows = blocked(rows, "key", "blocks").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    more = stage(mixed_bucket_edges(rows.select("key", "lo", "hi", "_mine", "c", "part", "sig")), "mixed-edges")
+    more = stage(mixed_bucket_edges(rows.select("key", "lo", "hi", "_mine", "c", "part", "sig"), distance), "mixed-edges")
     if not more.isEmpty():
         part = components(tied.union(more))
     free_shuffles(spark)

@@ -117,3 +117,24 @@ def test_perhaps_in_keeps_every_key(spark):
         got = {r.id for r in perhaps_in(base, keys, "k", bits).collect()}
         assert set(range(0, 20_000, 97)) <= got and len(got) < most
     assert perhaps_in(base, keys.limit(0), "k").count() == 0
+
+
+def test_near_groups_from_four_fifths(spark):
+    """With percent=80 a pair at 0.82 is linked and one at 0.78 is not; its buckets hold all pairs within the distance."""
+    import numpy as np
+
+    texts = []
+    for pair, own in enumerate((9, 12)):
+        same = ["p%dw%d" % (pair, i) for i in range(104 - own)]
+        texts += [" ".join(same + ["p%dx%dy%d" % (pair, side, i) for i in range(own)]) for side in (0, 1)]
+    rows = [(i, t, None, None, 0, 0, "") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(D.frame(spark, rows), percent=80).collect()}
+    assert got == {d: group for d, (_, group) in D.near(rows, 80).items()} == {0: 0, 1: 0, 2: 2, 3: 3}
+    rng = np.random.default_rng(8)
+    chunks = near_dedup.chunks_of(80)
+    for _ in range(200):
+        sig = rng.integers(0, 65536, near_dedup.POSITIONS).astype(np.uint16)
+        other = sig.copy()
+        other[rng.choice(near_dedup.POSITIONS, near_dedup.distance_of(chunks), replace=False)] ^= 1
+        keys = near_dedup.bucket_keys(np.array([sig, other]), near_dedup.kept_of(chunks))
+        assert (keys[0] == keys[1]).any()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, exact_dedup, licenses, merkle, mixing, near_dedup, pii, quality, repeat_dedup, token_files, warc
+from martloom.llm import decontaminate, exact_dedup, hard_negatives, licenses, merkle, mixing, near_dedup, pii, quality, repeat_dedup, token_files, warc
 from martloom.llm.common import table
 from martloom.session import new_path
 
@@ -85,6 +85,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
 OP3_SQL = r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -110,6 +114,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named
 """
 
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c AS (
+  SELECT vec_id, unnest(range(len(embedding))) AS i,
+         unnest(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS x
+  FROM v
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS cand_id, sum(a.x * b.x) AS score
+  FROM c AS a JOIN c AS b ON a.i = b.i
+  WHERE a.vec_id % 100 = 0
+  GROUP BY a.vec_id, b.vec_id
+), labelled AS (
+  SELECT s.*, la.label AS anchor_label, lb.label AS cand_label
+  FROM s JOIN v AS la ON la.vec_id = s.anchor_id JOIN v AS lb ON lb.vec_id = s.cand_id
+), pos AS (
+  SELECT anchor_id, cand_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, cand_id) AS k
+        FROM labelled WHERE cand_label = anchor_label AND cand_id <> anchor_id)
+  WHERE k <= 5
+), neg AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, l.cand_id AS negative_id, l.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY l.score DESC, l.cand_id) AS r
+  FROM pos AS p JOIN labelled AS l ON l.anchor_id = p.anchor_id
+  WHERE l.cand_label <> l.anchor_label
+    AND 30 * p.positive_score <= 100 * l.score AND 100 * l.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE r <= 10
+"""
+
 QUERIES = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_minhash_near_dedup": (op2_minhash_near_dedup, None),
@@ -123,4 +161,5 @@ QUERIES = {
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
     # levels of hashes over ordered pairs: tested against a direct computation
     "op12_merkle_manifest": (op12_merkle_manifest, None),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }

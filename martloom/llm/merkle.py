@@ -45,7 +45,7 @@ def H(*digests: Column) -> Column:
 
 
 def _indexed(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``nodes`` with ``idx``, the 0-based place of each row in its group by ``order``.
+    """``nodes`` with ``idx``, the 0-based place of each row in its group by ``order``, and ``n``, its group's size.
 
     Range-partitioned sort, a row number inside each partition and per group, and offsets from
     a table of counts per (partition, group); no group meets in one task.
@@ -55,57 +55,61 @@ def _indexed(nodes: DataFrame, group: str, order: list[str]) -> DataFrame:
     ranged = stage(ranged.withColumn("_n", F.row_number().over(within) - 1), "merkle-ranked")
     counts = ranged.groupBy(F.col("_part").alias("_p"), F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    offsets = counts.select(
+        "_p", "_g", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"), F.sum("_c").over(Window.partitionBy("_g")).alias("n")
+    )
     joined = ranged.join(offsets, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
-    return joined.select(*nodes.columns, (F.col("_off") + F.col("_n")).alias("idx"))
+    return joined.select(*nodes.columns, (F.col("_off") + F.col("_n")).alias("idx"), "n")
+
+
+def _width(level: int) -> Column:
+    """Nodes of a group at ``level``: ceil(n / 2**level)."""
+    return F.expr(f"(n + {(1 << level) - 1}) div {1 << level}")
 
 
 def tree(level0: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Levels of the trees of all groups, and their tops.
 
-    ``level0``: g (group, may be null), idx (0-based), digest. Returns (nodes, tops): nodes are
-    (g, level, idx, digest, left, right) for level >= 1 (left, right: the children's digests,
-    right null for a lone run), tops (g, level, digest) the one node of each group's top level.
+    ``level0``: g (group, may be null), idx (0-based), n (the group's leaves), digest. Returns
+    (nodes, tops): nodes are (g, level, idx, n, digest, left, right) for level >= 1 (left, right:
+    the children's digests, right null for a lone run), tops (g, level, digest) the one node of
+    each group's top level. A group's width at every level follows from n, so a level needs no
+    count; the number of levels follows from the largest n.
     """
-    current = stage(level0.select("g", F.lit(0).alias("level"), "idx", "digest"), "merkle-level")
-    sizes = current.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    tops, uppers = [], []
-    level = 0
-    while True:
-        # groups whose level holds one node are done: that node is their top
-        done = sizes.filter("n = 1").select(F.col("g").alias("_done"))
-        tops.append(current.join(done, F.col("g").eqNullSafe(F.col("_done")), "left_semi").select("g", "level", "digest"))
-        rest = current.join(done, F.col("g").eqNullSafe(F.col("_done")), "left_anti")
-        if rest.isEmpty():
-            break
-        level += 1
-        parents = rest.groupBy("g", F.floor(F.col("idx") / 2).alias("idx")).agg(
+    spark = level0.sparkSession
+    current = stage(level0.select("g", F.lit(0).alias("level"), "idx", "n", "digest"), "merkle-level")
+    largest = current.agg(F.max("n").alias("n")).first().n or 0
+    highest = (largest - 1).bit_length() if largest > 1 else 0
+    tops = [current.filter(_width(0) == 1).select("g", "level", "digest")]
+    uppers = []
+    for level in range(1, highest + 1):
+        rest = current.filter(_width(level - 1) > 1)
+        parents = rest.groupBy("g", "n", F.floor(F.col("idx") / 2).alias("idx")).agg(
             F.min_by("digest", "idx").alias("left"), F.max_by("digest", "idx").alias("right"), F.count(F.lit(1)).alias("c")
         )
         parents = parents.select(
             "g",
             F.lit(level).alias("level"),
             "idx",
+            "n",
             F.when(F.col("c") == 2, H(F.col("left"), F.col("right"))).otherwise(H(F.col("left"))).alias("digest"),
             "left",
             F.when(F.col("c") == 2, F.col("right")).alias("right"),
         )
-        parents = stage(parents, "merkle-level")
-        uppers.append(parents)
-        current = parents.select("g", "level", "idx", "digest")
-        sizes = current.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    schema = "g string, level int, idx long, digest string, left string, right string"
-    nodes = level0.sparkSession.createDataFrame([], schema)
+        current = stage(parents, "merkle-level")
+        uppers.append(current)
+        tops.append(current.filter(_width(level) == 1).select("g", "level", "digest"))
+    nodes = spark.createDataFrame([], "g string, level int, idx long, n long, digest string, left string, right string")
     for part in uppers:
-        nodes = nodes.unionByName(part.select(F.col("g").cast("string"), F.col("level").cast("int"), F.col("idx").cast("long"), "digest", "left", "right"))
-    top = tops[0]
+        nodes = nodes.unionByName(part.select(F.col("g").cast("string"), F.col("level").cast("int"), F.col("idx").cast("long"), "n", "digest", "left", "right"))
+    top = tops[0].select(F.col("g").cast("string"), F.col("level").cast("int"), "digest")
     for part in tops[1:]:
-        top = top.unionByName(part)
-    return nodes, top
+        top = top.unionByName(part.select(F.col("g").cast("string"), F.col("level").cast("int"), "digest"))
+    return nodes, stage(top, "merkle-tops")
 
 
 def paths(nodes: DataFrame, tops: DataFrame, above: DataFrame) -> DataFrame:
-    """(g, level, idx, path) for every node of the trees: its siblings up to its group's top.
+    """(g, idx, path) for every node of level 0: its siblings up to its group's top, and above.
 
     ``above`` gives each group's path above its top (g, path). A path is an array of
     (sibling, left), bottom up; ``left`` says the node stands left; a lone run has no sibling.
@@ -119,8 +123,7 @@ def paths(nodes: DataFrame, tops: DataFrame, above: DataFrame) -> DataFrame:
     )
     # the top node's index is 0; groups have their tops at different levels
     starts = stage(top.select("g", "level", F.lit(0).cast("long").alias("idx"), "path"), "merkle-path")
-    found = [starts]
-    known = starts.limit(0)
+    known = starts.filter("level = 0").limit(0)
     highest = [r.level for r in tops.agg(F.max("level").alias("level")).collect()][0] or 0
     for level in range(highest, 0, -1):
         here = known.unionByName(starts.filter(F.col("level") == level))
@@ -137,11 +140,7 @@ def paths(nodes: DataFrame, tops: DataFrame, above: DataFrame) -> DataFrame:
             F.concat(F.array(F.struct(F.col("p.left").alias("sibling"), F.lit(False).alias("left"))), F.col("k.path")).alias("path"),
         )
         known = stage(left.unionByName(right), "merkle-path")
-        found.append(known)
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
+    return known.unionByName(starts.filter("level = 0")).select("g", "idx", "path")
 
 
 def fold(start: Column, path: Column) -> Column:
@@ -176,17 +175,17 @@ def manifest(docs: DataFrame) -> DataFrame:
     leaves = base.select("*", leaf_of(own).alias("leaf"), leaf_of(tampered).alias("tampered_leaf"), own["lang"].cast("string").alias("g"))
     leaves = _indexed(leaves, "g", ["_doc_id", "leaf"])
     leaves = stage(leaves, "merkle-leaves")
-    nodes, tops = tree(leaves.select("g", "idx", F.col("leaf").alias("digest")))
+    nodes, tops = tree(leaves.select("g", "idx", "n", F.col("leaf").alias("digest")))
     # subroots ordered by lang, null first, as leaves of one tree
     subroots = tops.select(F.col("g").alias("lang"), "digest")
     ordered = _indexed(subroots.withColumn("_one", F.lit("")), "_one", ["lang"])
-    upper_nodes, upper_tops = tree(ordered.select(F.col("_one").alias("g"), "idx", "digest"))
+    upper_nodes, upper_tops = tree(ordered.select(F.col("_one").alias("g"), "idx", "n", "digest"))
     empty = subroots.sparkSession.createDataFrame([], "g string, path array<struct<sibling:string,left:boolean>>")
-    upper = paths(upper_nodes, upper_tops, empty).filter("level = 0")
+    upper = paths(upper_nodes, upper_tops, empty)
     # one value: the root
     root = [r.digest for r in upper_tops.collect()]
     above = ordered.join(upper, "idx").select(F.col("lang").alias("g"), "path")
-    lower = paths(nodes, tops, above).filter("level = 0").select("g", "idx", "path")
+    lower = paths(nodes, tops, above)
     subroot = subroots.withColumnRenamed("digest", "subroot")
     lower = lower.select(F.col("g").alias("_lg"), F.col("idx").alias("_li"), "path")
     joined = leaves.join(lower, F.col("g").eqNullSafe(F.col("_lg")) & (F.col("idx") == F.col("_li")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, exact_dedup, hard_negatives, licenses, merkle, mixing, near_dedup, pii, quality, repeat_dedup, token_files, warc
+from martloom.llm import decontaminate, exact_dedup, hard_negatives, jaccard_join, licenses, merkle, mixing, near_dedup, pii, quality, repeat_dedup, token_files, warc
 from martloom.llm.common import table
 from martloom.session import new_path
 
@@ -80,6 +80,10 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeat_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     found = merkle.manifest(table(spark, folder, "documents"))
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -159,6 +163,8 @@ QUERIES = {
     "op8_pii": (op8_pii, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_suffix_array_dedup": (op10_suffix_array_dedup, None),
+    # components of a similarity join: tested against all pairs
+    "op11_ngram_jaccard_join": (op11_ngram_jaccard_join, None),
     # levels of hashes over ordered pairs: tested against a direct computation
     "op12_merkle_manifest": (op12_merkle_manifest, None),
     "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),

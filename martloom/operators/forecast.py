@@ -37,7 +37,6 @@ MIN_FACT = 1e-8
 TREND_WIDTH = 2 + CHANGEPOINTS
 SEASON_WIDTH = 2 * (WEEKLY_ORDER + YEARLY_ORDER)
 BLOCK_DAYS = 3660
-NOISE_TOLERANCE = 1e-9
 
 
 def _day(ds: Column) -> Column:
@@ -173,63 +172,116 @@ def _series_setup(folded: DataFrame, params: DataFrame) -> DataFrame:
     return joined.withColumn("_scale", scale).drop("_absmax", "_days")
 
 
+def _triangle(stacked: np.ndarray, size: int) -> np.ndarray:
+    """The R of a QR of the rows, padded to ``size`` x ``size``; its sign is free."""
+    found = np.linalg.qr(stacked, mode="r") if len(stacked) else np.zeros((0, size))
+    out = np.zeros((size, size))
+    out[: min(size, found.shape[0])] = found[:size]
+    return out
+
+
 def gram_partials(frame: DataFrame, terms: Sequence[Column], penalty: Column, width: int) -> DataFrame:
-    """Partial sums of the normal equations: packed X'X, X'y, y'y and n.
+    """Mergeable partials of a least-squares problem: a triangular factor of [X | y], packed.
 
     Input: ``series_id, ds, _n, _y, _yy`` and what ``terms`` (the ``width`` columns of X) and
     ``penalty`` are made of. Rows of a series are brought together in blocks of days, so a
-    long one is summed by several tasks and an ordinary one sends a single partial row on.
-    The wide arrays are built behind that shuffle, which moves a few numbers a day.
+    long one is factored by several tasks and an ordinary one sends a single partial row on.
+    Each block sends R of the QR of sqrt(n) * [x, mean y] (its upper triangle), the scatter of
+    y within days (sum of squares about the day's mean) and n. Factors of blocks are stacked
+    and factored again, so no sum of squares is subtracted from another: the residual keeps
+    its digits even where the fit is nearly exact. The wide arrays are built behind that
+    shuffle, which moves a few numbers a day.
     """
     block = F.floor(_day(F.col("ds")) / BLOCK_DAYS)
     placed = frame.withColumn("_block", block).repartition("series_id", "_block")
     placed = placed.sortWithinPartitions("series_id", "_block").select(
-        "series_id", F.array(*terms).alias("_x"), "_n", "_y", "_yy", penalty.alias("_penalty")
+        "series_id", "_block", F.array(*terms).alias("_x"), "_n", "_y", "_yy", penalty.alias("_penalty")
     )
-    upper = np.triu_indices(width)
+    size = width + 1
+    upper = np.triu_indices(size)
 
     def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for series_id, part in batch.groupby("series_id", sort=False):
+            for (series_id, _), part in batch.groupby(["series_id", "_block"], sort=False):
                 x = np.stack(part["_x"].to_numpy())
                 n = part["_n"].to_numpy(dtype=float)
                 y = part["_y"].to_numpy(dtype=float)
-                weighted = x * n[:, None]
-                out.append(
-                    (
-                        series_id,
-                        (weighted.T @ x)[upper],
-                        weighted.T @ y,
-                        float(part["_yy"].sum()),
-                        float(n.sum()),
-                        part["_penalty"].iloc[0],
-                    )
-                )
-            yield pd.DataFrame(out, columns=["series_id", "xx", "xy", "yy", "n", "penalty"])
+                root = np.sqrt(n)[:, None]
+                factor = _triangle(np.hstack([x * root, y[:, None] * root]), size)
+                scatter = np.maximum(part["_yy"].to_numpy(dtype=float) - n * y * y, 0.0).sum()
+                out.append((series_id, factor[upper], float(scatter), float(n.sum()), part["_penalty"].iloc[0]))
+            yield pd.DataFrame(out, columns=["series_id", "r", "scatter", "n", "penalty"])
 
     return placed.mapInPandas(
         partials,
-        "series_id string, xx array<double>, xy array<double>, yy double, n double, "
-        "penalty array<double>",
+        "series_id string, r array<double>, scatter double, n double, penalty array<double>",
     )
 
 
+# Steps of the bisection of the noise: each halves a bracket of at most 60 octaves.
+NOISE_STEPS = 200
+NOISE_FLOOR = 1e-8
+NOISE_START = 0.01
+
+
+def ridge_noise(a: np.ndarray, b: np.ndarray, rest: float, n: float, penalty: np.ndarray) -> tuple[np.ndarray, float]:
+    """beta and noise of min ||a beta - b||^2 + noise * beta' diag(penalty) beta, with noise = RSS / n.
+
+    One singular value decomposition of a diag(penalty)^-1/2 turns the residual into a sum of
+    non-negative terms for any noise; the fixed point noise = max(RSS(noise) / n, floor) is then
+    a root of one scalar function, bracketed from the start value towards the side the fixed
+    point iteration would go (RSS grows with the noise and is bounded by y'y), and bisected in a
+    fixed number of steps. ``rest`` is the part of RSS that no beta reaches.
+    """
+    inv_root = 1.0 / np.sqrt(penalty)
+    u, sv, vt = np.linalg.svd(a * inv_root[None, :], full_matrices=False)
+    proj = u.T @ b
+    outside = max(float(b @ b - proj @ proj), 0.0) if u.shape[0] > u.shape[1] else 0.0
+    sq = sv * sv
+
+    def noise_of(noise: float) -> float:
+        shrink = noise / (sq + noise)
+        return max((float(np.sum((shrink * proj) ** 2)) + outside + rest) / n, NOISE_FLOOR)
+
+    lo = hi = NOISE_START
+    if noise_of(NOISE_START) > NOISE_START:
+        hi = max((float(proj @ proj) + outside + rest) / n, NOISE_START)
+    else:
+        lo = NOISE_FLOOR
+    for _ in range(NOISE_STEPS):
+        if hi <= lo * (1 + 1e-15):
+            break
+        mid = math.sqrt(lo * hi)
+        if noise_of(mid) > mid:
+            lo = mid
+        else:
+            hi = mid
+    noise = math.sqrt(lo * hi)
+    if lo == NOISE_FLOOR and noise_of(NOISE_FLOOR) <= NOISE_FLOOR:
+        noise = NOISE_FLOOR
+    beta = inv_root * (vt.T @ (sv / (sq + noise) * proj))
+    return beta, noise
+
+
 def solve_ridge(partials: DataFrame, width: int, regressors: int) -> DataFrame:
-    """``series_id, beta``: sum of a series' partials, then one small solve.
+    """``series_id, beta``: the factors of a series' blocks merged, then one small solve.
 
     The last ``regressors`` columns are standardised for the penalty unless they are 0/1.
-    The noise variance that weighs the penalty is re-estimated from the residual.
+    The noise variance that weighs the penalty is the fixed point of the residual (``ridge_noise``).
     """
-    upper = np.triu_indices(width)
+    size = width + 1
+    upper = np.triu_indices(size)
 
     def solve(parts: pd.DataFrame) -> pd.DataFrame:
-        gram = np.zeros((width, width))
-        gram[upper] = np.sum(np.stack(parts["xx"].to_numpy()), axis=0)
-        gram = gram + np.triu(gram, 1).T
-        moment = np.sum(np.stack(parts["xy"].to_numpy()), axis=0)
-        square, n = parts["yy"].sum(), parts["n"].sum()
+        stacked = np.zeros((len(parts) * size, size))
+        for k, packed in enumerate(parts["r"]):
+            stacked[k * size : (k + 1) * size][upper] = packed
+        r = _triangle(stacked, size)
+        r11, r12, r22 = r[:width, :width], r[:width, width], r[width, width]
+        n = parts["n"].sum()
         penalty = np.asarray(parts["penalty"].iloc[0])
+        gram = r11.T @ r11
         scaling = np.eye(width)
         for j in range(width - regressors, width):
             # the first column is 1, or the trend that multiplies the others
@@ -238,16 +290,8 @@ def solve_ridge(partials: DataFrame, width: int, regressors: int) -> DataFrame:
             if spread > 1e-12 and abs(second - mean) > 1e-12:
                 scaling[j, j] = 1.0 / math.sqrt(spread)
                 scaling[0, j] = -mean * scaling[j, j]
-        g, m = scaling.T @ gram @ scaling, scaling.T @ moment
-        # the residual grows with the noise that weighs the penalty and is bounded by y'y, so the
-        # rounds move one way and end
-        noise, before = 0.01, math.inf
-        while abs(noise - before) > NOISE_TOLERANCE * noise:
-            beta = np.linalg.solve(g + noise * np.diag(penalty), m)
-            before, noise = noise, max((square - 2 * beta @ m + beta @ g @ beta) / n, 1e-8)
-        return pd.DataFrame(
-            {"series_id": [parts["series_id"].iloc[0]], "beta": [scaling @ beta]}
-        )
+        beta, _ = ridge_noise(r11 @ scaling, r12, float(r22 * r22 + parts["scatter"].sum()), n, penalty)
+        return pd.DataFrame({"series_id": [parts["series_id"].iloc[0]], "beta": [scaling @ beta]})
 
     return partials.groupBy("series_id").applyInPandas(solve, "series_id string, beta array<double>")
 

@@ -347,3 +347,46 @@ def test_median_of_repeated_errors(spark):
     one = rows(FC.backtest(S.history_frame(base, p, AS_OF), p))[0]
     two = rows(FC.backtest(S.history_frame(base.unionByName(base), p, AS_OF), p))[0]
     assert two["n_test"] == 2 * one["n_test"] and two["mdape"] == pytest.approx(one["mdape"])
+
+
+def test_noise_of_near_exact_series_ends():
+    """Rounded lines, constants and tiny noise: the noise search ends and is the fixed point."""
+    rng = np.random.default_rng(5)
+    days = START.toordinal() + np.arange(400.0)
+    x = _design(days, days[0], 399, np.arange(400) % 11.0)
+    penalty = np.array([1 / 25] * 2 + [0.5 / 0.05**2] * 25 + [1 / 100] * 26 + [1 / 100])
+    cases = [np.round(1000 + 0.37 * np.arange(400) + 4 * np.sin(2 * np.pi * np.arange(400) / 7))]
+    cases += [np.round(level + slope * np.arange(400)) for level, slope in ((5, 0.01), (3000, 2.5), (10, 0.0))]
+    cases += [np.full(400, 7.0), 100 + 0.3 * np.arange(400) + rng.normal(0, 1e-4, 400)]
+    for y in cases:
+        y = y / np.abs(y).max()
+        r = np.linalg.qr(np.hstack([x, y[:, None]]), mode="r")
+        w = x.shape[1]
+        beta, noise = FC.ridge_noise(r[:w, :w], r[:w, w], float(r[w, w] ** 2), 400.0, penalty)
+        rss = float(np.sum((y - x @ beta) ** 2))
+        assert noise == pytest.approx(max(rss / 400, 1e-8), rel=1e-9, abs=1e-15)
+        direct = np.linalg.solve(x.T @ x + noise * np.diag(penalty), x.T @ y)
+        assert np.allclose(x @ beta, x @ direct, rtol=1e-7, atol=1e-9)
+
+
+def test_factor_partials_keep_the_residual():
+    """Stacked block factors give the residual of a direct solve on a 20-year series."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(7305, 6))
+    y = x @ rng.normal(size=6) + rng.normal(0, 1e-7, 7305)
+    blocks = [FC._triangle(np.hstack([x[k : k + 3660], y[k : k + 3660, None]]), 7) for k in range(0, 7305, 3660)]
+    r = FC._triangle(np.vstack(blocks), 7)
+    beta = np.linalg.lstsq(x, y, rcond=None)[0]
+    direct = float(np.sum((y - x @ beta) ** 2))
+    assert r[6, 6] ** 2 == pytest.approx(direct, rel=1e-6)
+    fitted = np.linalg.solve(r[:6, :6], r[:6, 6])
+    assert np.allclose(fitted, beta, rtol=1e-9)
+
+
+def test_additive_on_a_rounded_counter_ends(spark):
+    values = [round(1000 + 0.37 * i + 4 * math.sin(2 * math.pi * i / 7)) for i in range(400)]
+    rows_ = history(spark, "c", values)
+    p = params(spark, request("c", period="10"), stored=[("c", START, None, None, None, None, None, None)])
+    spine = S.future_spine(rows_, p)
+    got = [r["yhat"] for r in rows(FC.fit_predict(rows_, spine, "additive", p), "ds")]
+    assert len(got) == 410 and all(abs(g - v) < 3 for g, v in zip(got, values))

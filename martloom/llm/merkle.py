@@ -67,16 +67,15 @@ def _width(level: int) -> Column:
     return F.expr(f"(n + {(1 << level) - 1}) div {1 << level}")
 
 
-def tree(level0: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tree(level0: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Levels of the trees of all groups, and their tops.
 
     ``level0``: g (group, may be null), idx (0-based), n (the group's leaves), digest. Returns
-    (nodes, tops): nodes are (g, level, idx, n, digest, left, right) for level >= 1 (left, right:
+    (nodes, tops): nodes[L - 1] holds the nodes (g, level, idx, n, digest, left, right) of level L >= 1 (left, right:
     the children's digests, right null for a lone run), tops (g, level, digest) the one node of
     each group's top level. A group's width at every level follows from n, so a level needs no
     count; the number of levels follows from the largest n.
     """
-    spark = level0.sparkSession
     current = stage(level0.select("g", F.lit(0).alias("level"), "idx", "n", "digest"), "merkle-level")
     largest = current.agg(F.max("n").alias("n")).first().n or 0
     highest = (largest - 1).bit_length() if largest > 1 else 0
@@ -99,16 +98,13 @@ def tree(level0: DataFrame) -> tuple[DataFrame, DataFrame]:
         current = stage(parents, "merkle-level")
         uppers.append(current)
         tops.append(current.filter(_width(level) == 1).select("g", "level", "digest"))
-    nodes = spark.createDataFrame([], "g string, level int, idx long, n long, digest string, left string, right string")
-    for part in uppers:
-        nodes = nodes.unionByName(part.select(F.col("g").cast("string"), F.col("level").cast("int"), F.col("idx").cast("long"), "n", "digest", "left", "right"))
     top = tops[0].select(F.col("g").cast("string"), F.col("level").cast("int"), "digest")
     for part in tops[1:]:
         top = top.unionByName(part.select(F.col("g").cast("string"), F.col("level").cast("int"), "digest"))
-    return nodes, stage(top, "merkle-tops")
+    return uppers, stage(top, "merkle-tops")
 
 
-def paths(nodes: DataFrame, tops: DataFrame, above: DataFrame) -> DataFrame:
+def paths(nodes: list[DataFrame], tops: DataFrame, above: DataFrame) -> DataFrame:
     """(g, idx, path) for every node of level 0: its siblings up to its group's top, and above.
 
     ``above`` gives each group's path above its top (g, path). A path is an array of
@@ -127,7 +123,7 @@ def paths(nodes: DataFrame, tops: DataFrame, above: DataFrame) -> DataFrame:
     highest = [r.level for r in tops.agg(F.max("level").alias("level")).collect()][0] or 0
     for level in range(highest, 0, -1):
         here = known.unionByName(starts.filter(F.col("level") == level))
-        parents = nodes.filter(F.col("level") == level).alias("p").join(
+        parents = nodes[level - 1].alias("p").join(
             here.alias("k"),
             (F.col("p.g").eqNullSafe(F.col("k.g"))) & (F.col("p.idx") == F.col("k.idx")),
         )
@@ -172,7 +168,10 @@ def manifest(docs: DataFrame) -> DataFrame:
     )
     own = {name: F.col(f"_{name}") for name in FIELDS}
     tampered = dict(own, n_chars=tampered_n_chars(own["doc_id"], own["n_chars"]))
-    leaves = base.select("*", leaf_of(own).alias("leaf"), leaf_of(tampered).alias("tampered_leaf"), own["lang"].cast("string").alias("g"))
+    # the fields are only hashed: the leaves go on without them
+    leaves = base.select(
+        "_doc_id", leaf_of(own).alias("leaf"), leaf_of(tampered).alias("tampered_leaf"), own["lang"].cast("string").alias("g")
+    )
     leaves = _indexed(leaves, "g", ["_doc_id", "leaf"])
     leaves = stage(leaves, "merkle-leaves")
     nodes, tops = tree(leaves.select("g", "idx", "n", F.col("leaf").alias("digest")))

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from martloom.operators import series as S
 from martloom.operators.joins import lookup_join
@@ -404,6 +405,80 @@ def regressor_gaps(frame: DataFrame, params: DataFrame, regressors: Sequence[str
     )
 
 
+# Buckets a range of values is cut into per round, and the count at which a range's values are
+# ranked one by one.
+MEDIAN_BUCKETS = 256
+MEDIAN_EXACT = 64
+MEDIAN_ROUNDS = 200
+
+
+def weighted_median(values: DataFrame, key: str = "series_id", value: str = "_ape", weight: str = "_n") -> DataFrame:
+    """``key, median`` of weighted values, for many keys at once and without a key in one task.
+
+    The median is Spark's exact percentile 0.5: position p = (N - 1) / 2 over the weights, the
+    values at ranks floor(p) and ceil(p) weighed by their distance to p. Both ranks are found by
+    selection: a key's range of finite values is cut into ``MEDIAN_BUCKETS`` buckets, the weights
+    per bucket are counted (an aggregation with partial sums, a few rows per key), and the
+    range narrows to the bucket that holds the rank, round by round, until its values are equal
+    or at most ``MEDIAN_EXACT`` rows, which are ranked one by one. Infinity, then NaN, rank
+    above every finite value. Rows with a null value or weight do not count.
+    """
+    rows = values.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v"), F.col(weight).cast("long").alias("_w"))
+    rows = rows.where("_v IS NOT NULL AND _w IS NOT NULL AND _w > 0")
+    finite = F.col("_v") < F.lit(float("inf"))
+    totals = rows.groupBy("_k").agg(
+        F.sum("_w").alias("_all"),
+        F.sum(F.when(finite, F.col("_w")).otherwise(0)).alias("_fin"),
+        F.sum(F.when(F.col("_v") == float("inf"), F.col("_w")).otherwise(0)).alias("_inf"),
+        F.min(F.when(finite, F.col("_v"))).alias("_lo"),
+        F.max(F.when(finite, F.col("_v"))).alias("_hi"),
+    )
+    position = (F.col("_all") - 1) / 2
+    targets = totals.select(
+        "*", F.explode(F.array(F.floor(position), F.ceil(position))).alias("_rank")
+    ).dropDuplicates(["_k", "_rank"])
+    top = F.when(F.col("_rank") < F.col("_fin") + F.col("_inf"), F.lit(float("inf"))).otherwise(F.lit(float("nan")))
+    state = stage(
+        targets.select(
+            "_k", "_rank", F.col("_rank").alias("_r"), "_lo", "_hi", F.col("_fin").alias("_c"),
+            F.when(F.col("_rank") >= F.col("_fin"), top).alias("_value"),
+        ),
+        "median-state",
+    )
+    finite_rows = rows.where(finite)
+    for _ in range(MEDIAN_ROUNDS):
+        active = state.where("_value IS NULL")
+        if active.isEmpty():
+            break
+        inside = lookup_join(finite_rows, active.select("_k", "_rank", "_r", "_lo", "_hi", "_c"), ["_k"], "inner", F.col("_v"))
+        inside = inside.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        width = F.col("_hi") - F.col("_lo")
+        bucket = F.least(F.lit(MEDIAN_BUCKETS - 1.0), F.floor((F.col("_v") - F.col("_lo")) / width * MEDIAN_BUCKETS).cast("double"))
+        # few rows left: each value is its own bucket
+        group = F.when((F.col("_c") <= MEDIAN_EXACT) | (width <= 0), F.col("_v")).otherwise(bucket)
+        counted = inside.groupBy("_k", "_rank", "_r", group.alias("_g")).agg(
+            F.sum("_w").alias("_cnt"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+        )
+        upto = Window.partitionBy("_k", "_rank").orderBy("_g").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = counted.withColumn("_cum", F.sum("_cnt").over(upto))
+        chosen = counted.where((F.col("_cum") - F.col("_cnt") <= F.col("_r")) & (F.col("_r") < F.col("_cum"))).select(
+            "_k", "_rank", (F.col("_r") - (F.col("_cum") - F.col("_cnt"))).alias("_r"),
+            F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), F.col("_cnt").alias("_c"),
+            F.when(F.col("_min") == F.col("_max"), F.col("_min")).alias("_value"),
+        )
+        state = stage(state.where("_value IS NOT NULL").unionByName(chosen), "median-state")
+    ranks = state.groupBy("_k").agg(
+        F.min_by("_value", "_rank").alias("_low"), F.max_by("_value", "_rank").alias("_high"),
+        F.min("_rank").alias("_a"), F.max("_rank").alias("_b"),
+    )
+    joined = ranks.join(totals.select("_k", "_all"), "_k")
+    p = (F.col("_all") - 1) / 2
+    median = F.when(F.col("_a") == F.col("_b"), F.col("_low")).otherwise(
+        (F.col("_b") - p) * F.col("_low") + (p - F.col("_a")) * F.col("_high")
+    )
+    return joined.select(F.col("_k").alias(key), median.alias("median"))
+
+
 def backtest(
     frame: DataFrame,
     params: DataFrame,
@@ -433,12 +508,13 @@ def backtest(
     per_error = tried.groupBy(
         "series_id", F.coalesce(ape, F.lit(float("inf"))).alias("_ape")
     ).agg(F.count(F.lit(1)).alias("_n"), F.min(F.abs("y")).alias("_least"))
+    per_error = stage(per_error, "errors")
     errors = per_error.groupBy("series_id").agg(
         F.sum("_n").alias("n_test"),
         F.min("_least").alias("_least"),
         (F.sum(F.col("_ape") * F.col("_n")) / F.sum("_n")).alias("_mean"),
-        F.percentile("_ape", 0.5, F.col("_n")).alias("mdape"),
     )
+    errors = errors.join(weighted_median(per_error).withColumnRenamed("median", "mdape"), "series_id", "left")
     measured = errors.withColumn("mape", F.when(F.col("_least") >= MIN_FACT, F.col("_mean")))
     alive = frame.select("series_id").distinct().withColumn("_alive", F.lit(True))
     joined = lookup_join(lookup_join(asked, alive, ["series_id"]), measured, ["series_id"])

@@ -390,3 +390,22 @@ def test_additive_on_a_rounded_counter_ends(spark):
     spine = S.future_spine(rows_, p)
     got = [r["yhat"] for r in rows(FC.fit_predict(rows_, spine, "additive", p), "ds")]
     assert len(got) == 410 and all(abs(g - v) < 3 for g, v in zip(got, values))
+
+
+@pytest.mark.parametrize("exact", [64, 1])
+def test_weighted_median_equals_percentile(spark, monkeypatch, exact):
+    monkeypatch.setattr(FC, "MEDIAN_EXACT", exact)  # 1: every range is narrowed by buckets
+    rng = np.random.default_rng(7)
+    data = []
+    for k in range(12):
+        size = int(rng.integers(1, 400))
+        spread = [rng.exponential(1.0), rng.lognormal(0, 8), 1e-300, 3.0][k % 4]
+        for v in np.round(rng.exponential(spread, size), int(rng.integers(1, 12))):
+            data.append((f"s{k}", float(v), int(rng.integers(1, 4))))
+    data += [("inf", float("inf"), 2), ("inf", 1.0, 1), ("nan", float("nan"), 1), ("nan", 2.0, 3), ("one", 5.0, 7)]
+    frame = spark.createDataFrame(data, "series_id string, _ape double, _n long")
+    got = {r.series_id: r.median for r in FC.weighted_median(frame).collect()}
+    want = {r.series_id: r.m for r in frame.groupBy("series_id").agg(F.percentile("_ape", 0.5, F.col("_n")).alias("m")).collect()}
+    assert set(got) == set(want)
+    for name in want:
+        assert got[name] == want[name] or (math.isnan(got[name]) and math.isnan(want[name])) or got[name] == pytest.approx(want[name], rel=1e-12), name

@@ -337,9 +337,24 @@ def compared(rows: DataFrame) -> DataFrame:
     """Bytes to go by the maximal repeats of contexts sorted by h; groups stay together in an array."""
 
     def finish(parts: list[tuple]) -> pa.RecordBatch:
+        """The bytes to go of each context as its maximal runs: a few rows a context, whatever the group's size."""
         which, begin, length = repeats_of(parts)
-        doc, key = (np.array([p[k] for p in parts], np.int64)[which] for k in range(2))
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, key, begin, begin + length)], ["doc", "tkey", "start", "stop"])
+        start = np.array([p[2] for p in parts], np.int64)
+        # the layout of repeats_of: contexts one after another, one separator after each
+        at = np.cumsum([0, *(len(p[3]) + 1 for p in parts)])
+        low = at[which] + begin - start[which]
+        cover = np.zeros(at[-1] + 1, np.int64)
+        np.add.at(cover, low, 1)
+        np.add.at(cover, low + length, -1)
+        marked = np.concatenate(([0], (np.cumsum(cover)[:-1] > 0).astype(np.int8), [0]))
+        edges = np.flatnonzero(np.diff(marked))
+        run_low, run_high = edges[0::2], edges[1::2]
+        part = np.searchsorted(at, run_low, "right") - 1
+        first = start[part] + run_low - at[part]
+        doc, key = (np.array([p[k] for p in parts], np.int64)[part] for k in range(2))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in (doc, key, first, first + (run_high - run_low))], ["doc", "tkey", "start", "stop"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, last = [], 0, None

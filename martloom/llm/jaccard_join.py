@@ -155,9 +155,10 @@ def jaccard_components(
     One row per row of ``docs``. See the module for the rules.
     """
     spark = docs.sparkSession
-    per_doc = stage(sets(docs, size), "jaccard-sets")
+    # sets are made twice rather than stored per document: the arrays are kept once per distinct set
+    per_doc = stage(sets(docs, size).select("doc_id", "n", "sid"), "jaccard-sets")
     distinct = stage(
-        per_doc.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("shingles").alias("shingles")),
+        sets(docs, size).filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("shingles").alias("shingles")),
         "jaccard-distinct",
     )
     members = stage(distinct.select("sid", F.lit("r").alias("path"), F.lit(True).alias("core")), "jaccard-members")
@@ -187,7 +188,10 @@ def jaccard_components(
             frozen.update(big)
             continue
         split_paths = sorted(table)
-        todo = members.filter(F.col("path").isin(split_paths)).join(distinct.select("sid", "shingles"), "sid")
+        if depth == 0:
+            todo = distinct.select("sid", F.lit("r").alias("path"), F.lit(True).alias("core"), "shingles")
+        else:
+            todo = members.filter(F.col("path").isin(split_paths)).join(distinct.select("sid", "shingles"), "sid")
         placed = stage(
             todo.mapInPandas(_split(table, percent), "sid long, path string, core boolean, ball long, windows array<long>"),
             "jaccard-placed",
@@ -199,8 +203,8 @@ def jaccard_components(
         members = stage(kept.unionByName(moved), "jaccard-members")
         new_sizes = {r.path: r.c for r in members.groupBy("path").agg(F.count(F.lit(1)).alias("c")).collect()}
         for path in split_paths:
-            # a child that keeps nine tenths of its parent is not split again
-            frozen.update(p for p, c in new_sizes.items() if p.startswith(path + ".") and c * 10 >= sizes[path] * 9)
+            # a child that keeps four fifths of its parent is not split again
+            frozen.update(p for p, c in new_sizes.items() if p.startswith(path + ".") and c * 5 >= sizes[path] * 4)
         sizes = new_sizes
 
     # leaf join: a core meets the members of its region on shared prefix tokens

@@ -181,3 +181,20 @@ def test_clean_up_takes_only_the_application_s_folder(spark, tmp_path, monkeypat
     assert (tmp_path / spark.sparkContext.applicationId).exists()
     session.clean_up(spark)
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
+
+
+def test_changed_files_open_only_their_paths(spark, tmp_path):
+    for k in range(10_000):  # a large tree of other files, which is not read
+        (tmp_path / f"other{k % 100}").mkdir(exist_ok=True)
+        (tmp_path / f"other{k % 100}" / f"f{k}.sql").write_text("x")
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.sql").write_text("SELECT 1")
+    (tmp_path / "a" / "bad.sql").write_bytes(b"SELECT '\xff'")
+    changes = spark.createDataFrame(
+        [("a/one.sql", False), ("a/one.sql", False), ("a/bad.sql", False), ("a/gone.sql", True), ("a/missing.sql", False)],
+        "path string, deleted boolean",
+    )
+    got = {r.path: (r.deleted, r.content) for r in FI.read_changed_files(spark, str(tmp_path), changes).collect()}
+    assert got == {
+        "a/one.sql": (False, "SELECT 1"), "a/bad.sql": (False, "SELECT '�'"), "a/gone.sql": (True, None), "a/missing.sql": (False, None),
+    }

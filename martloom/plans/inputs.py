@@ -64,6 +64,14 @@ class Spark:
     def tags(self, value: str) -> str:
         return f"array({value})"
 
+    def split_words(self, column: str) -> str:
+        return f"split({column}, ' ')"
+
+    def share(self, words: str, k: int, parts: int) -> str:
+        """The k-th of ``parts`` equal shares of an array of words, joined by spaces."""
+        low, high = f"({k} * size({words})) div {parts}", f"({k + 1} * size({words})) div {parts}"
+        return f"array_join(slice({words}, 1 + {low}, {high} - {low}), ' ')"
+
 
 class Duck(Spark):
     """DuckDB spellings."""
@@ -113,6 +121,13 @@ class Duck(Spark):
     def tags(self, value: str) -> str:
         return f"[{value}]"
 
+    def split_words(self, column: str) -> str:
+        return f"string_split({column}, ' ')"
+
+    def share(self, words: str, k: int, parts: int) -> str:
+        low, high = f"({k} * len({words})) // {parts}", f"({k + 1} * len({words})) // {parts}"
+        return f"array_to_string({words}[1 + {low} : {high}], ' ')"
+
 
 def _theme_dictionary(q) -> str:
     return f"""
@@ -136,14 +151,18 @@ LATIN_LETTERS, CYRILLIC_LETTERS = "abcdefghijklmnopqrstuvwxyz", "абцдефг
 
 
 def _rich_parts(q) -> str:
-    """Seven pieces of plain words for every page, of two pages in three in Cyrillic letters."""
-    clean = q.swap(q.swap("lower(left(text, 700))", "[^a-z ]+", " "), " +", " ")
-    letters = f"CASE WHEN page_id % 3 = 0 THEN piece ELSE translate(piece, '{LATIN_LETTERS}', '{CYRILLIC_LETTERS}') END"
-    pieces = ", ".join(f"trim(substr({letters}, {1 + 60 * k}, 60)) AS t{k}" for k in range(7))
+    """Seven equal shares of the words of every page's whole text, of two pages in three in Cyrillic letters."""
+    clean = q.swap(q.swap("lower(text)", "[^a-z ]+", " "), " +", " ")
+
+    def letters(piece: str) -> str:
+        return f"CASE WHEN page_id % 3 = 0 THEN {piece} ELSE translate({piece}, '{LATIN_LETTERS}', '{CYRILLIC_LETTERS}') END"
+
+    pieces = ", ".join(f"{letters(q.share('w', k, 7))} AS t{k}" for k in range(7))
     return f"""
     SELECT page_id, url, {pieces}
-    FROM (SELECT page_id, url, CASE WHEN page_id % 13 = 5 THEN '' ELSE {clean} END AS piece
-          FROM {q.t('pages')} JOIN {q.t('documents')} ON doc_id = page_id) x"""
+    FROM (SELECT page_id, url, {q.split_words("piece")} AS w
+          FROM (SELECT page_id, url, CASE WHEN page_id % 13 = 5 THEN '' ELSE trim({clean}) END AS piece
+                FROM {q.t('pages')} JOIN {q.t('documents')} ON doc_id = page_id) x) y"""
 
 
 def _rich_pages(q) -> str:

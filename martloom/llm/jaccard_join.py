@@ -18,9 +18,11 @@ when d <= t (t = 1 - percent / 100). The join is exact:
   the region join. It still meets, by a join keyed on the pivot, every set within 2t of that
   pivot: only these can link to it. A cluster of thousands of near copies around a pivot is so
   linked in linear work.
-* **Leaf join.** Within a leaf region, core and member meet on a shared prefix token: the
-  ``n - ceil(percent * n / 100) + 1`` smallest shingle hashes of a set of n, which every pair of
-  similarity percent or more shares. Pairs are verified on the full sets.
+* **Leaf join.** Within a leaf region, core and member meet on a shared prefix token: the first
+  ``n - ceil(percent * n / 100) + 1`` shingles of a set of n in one global order, which every
+  pair of similarity percent or more shares. The order puts shingles that are common in prefixes
+  (of more than ``HOT`` sets, counted over all sets) last, so that a passage shared by many
+  documents does not make them all candidates. Pairs are verified on the full sets.
 
 Identical sets are folded first; they link (similarity 1). Texts without words have an empty set
 and link with nothing. Words are runs outside x20, x09-x0D, A-Z lower-cased; with fewer than
@@ -51,6 +53,9 @@ PIVOTS = 16
 PIVOT_MAX = 2000
 ROUND_BYTES = 16 << 20
 DEPTH = 6
+# Shingles in more hash-order prefixes than HOT go last in the order of prefixes; their map has HOT_BITS bits.
+HOT = 64
+HOT_BITS = 1 << 26
 EPS = 1e-9
 
 
@@ -132,6 +137,46 @@ def _prefix(percent: int):
     return F.slice(F.col("shingles"), 1, length.cast("int"))
 
 
+def _prefix_length(n: np.ndarray | int, percent: int):
+    return n - (percent * n + 99) // 100 + 1
+
+
+def _hot_map(distinct: DataFrame, percent: int, hot: int) -> np.ndarray:
+    """Bits (of HOT_BITS) set for every shingle in the hash-order prefixes of more than ``hot`` sets.
+
+    Counted over all sets; built on the executors as bitmaps of 32768 bits and collected whole,
+    at most HOT_BITS / 8 bytes whatever the number of shingles. A shingle that shares a bit with
+    a hot one counts as hot too: that only changes the order, and every order is exact.
+    """
+    first = distinct.select(F.explode(_prefix(percent)).alias("tok")).groupBy("tok").count().where(F.col("count") > hot)
+    place = F.pmod("tok", F.lit(HOT_BITS)) + 1
+    maps = first.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+    maps = maps.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    bits = np.zeros(HOT_BITS // 8, np.uint8)
+    for r in maps:
+        chunk = np.frombuffer(r.m, np.uint8)
+        at = (r.b - 1) * 4096
+        bits[at : at + len(chunk)] |= chunk[: max(0, min(len(chunk), len(bits) - at))]
+    return bits
+
+
+def _prefixes(distinct: DataFrame, bits: np.ndarray, percent: int) -> DataFrame:
+    """sid, n, prefix: the first shingles of each set, rare ones (not in the hot map) first, then by value."""
+
+    def each(batches):
+        for batch in batches:
+            out = []
+            for shingles in batch["shingles"]:
+                x = np.asarray(shingles, np.int64)
+                place = np.mod(x, HOT_BITS)
+                hot = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+                order = np.lexsort((x.view(np.uint64), hot))
+                out.append(x[order[: _prefix_length(len(x), percent)]])
+            yield pd.DataFrame({"sid": batch["sid"], "n": batch["n"], "prefix": out})
+
+    return distinct.select("sid", "n", "shingles").mapInPandas(each, "sid long, n long, prefix array<long>")
+
+
 def _verified(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sids whose full sets are within the threshold."""
     pairs = pairs.distinct()
@@ -209,7 +254,8 @@ def jaccard_components(
 
     # leaf join: a core meets the members of its region on shared prefix tokens
     shingles = distinct.select("sid", "n", "shingles")
-    tokens = members.join(shingles, "sid").select("sid", "path", "core", "n", F.explode(_prefix(percent)).alias("tok"))
+    prefixes = stage(_prefixes(distinct, _hot_map(distinct, percent, HOT), percent), "jaccard-prefixes")
+    tokens = members.join(prefixes, "sid").select("sid", "path", "core", "n", F.explode("prefix").alias("tok"))
     tokens = stage(tokens, "jaccard-tokens")
     cores = tokens.filter("core").select(F.col("sid").alias("a"), "path", "tok", F.col("n").alias("na"))
     others = tokens.select(F.col("sid").alias("b"), "path", "tok", F.col("n").alias("nb"))
@@ -226,9 +272,9 @@ def jaccard_components(
             window = window.unionByName(part)
         ball = stage(ball, "jaccard-balls")
         # a ball's members meet every set within 2t of its pivot, outside the ball, on prefix tokens
-        inner = ball.join(shingles, "sid").select(F.col("sid").alias("a"), F.col("ball").alias("pivot"), F.col("n").alias("na"), F.explode(_prefix(percent)).alias("tok"))
+        inner = ball.join(prefixes, "sid").select(F.col("sid").alias("a"), F.col("ball").alias("pivot"), F.col("n").alias("na"), F.explode("prefix").alias("tok"))
         outside = window.join(ball.select(F.col("sid"), F.col("ball").alias("pivot")), ["sid", "pivot"], "left_anti")
-        outer = outside.join(shingles, "sid").select(F.col("sid").alias("b"), "pivot", F.col("n").alias("nb"), F.explode(_prefix(percent)).alias("tok"))
+        outer = outside.join(prefixes, "sid").select(F.col("sid").alias("b"), "pivot", F.col("n").alias("nb"), F.explode("prefix").alias("tok"))
         near = inner.join(outer, ["pivot", "tok"]).filter((F.col("a") != F.col("b")) & _length_ok(F.col("na"), F.col("nb"), percent))
         found.append(_verified(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), shingles, percent))
         found.append(ball.select(F.col("sid").alias("a"), F.col("ball").alias("b")).filter("a <> b"))

@@ -1,6 +1,7 @@
 """Jaccard components of 3-word shingle sets against all pairs."""
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 import pytest
 
 import llm_data as D
@@ -68,3 +69,13 @@ def test_other_threshold_and_empty(spark):
     rows = D.hostile_documents()[:60]
     assert run(spark, rows, percent=80, leaf=8, pivots=3) == brute(rows, 80)
     assert run(spark, []) == []
+
+
+def test_hot_prefix_order(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT", 1)  # most shingles count as hot: the order changes, the result does not
+    rows = D.hostile_documents()
+    assert run(spark, rows, leaf=12, pivots=3) == brute(rows)
+    frame = D.frame(spark, rows)
+    distinct = J.sets(frame).filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    bits = J._hot_map(distinct, 90, 1)
+    assert bits.any()

@@ -214,11 +214,9 @@ def backtest_additive(spark, d):
 
 
 def regressor_gaps(spark, d):
-    """Series whose spine outruns a calendar that ends with the history."""
+    """Series whose spine meets a hole of a calendar with holes."""
     params, rows = _params(spark, d), _rows(spark, d)
-    last = _history(spark, d).agg(F.max("ds").cast("string").alias("_last"))
-    calendar = _calendar(spark, d).where(F.substring("ds", 1, 10) <= last.scalar())
-    spine = S.add_regressors(S.future_spine(rows, params), calendar, ["dow", "month_end"])
+    spine = S.add_regressors(S.future_spine(rows, params), I.read(spark, d, "gapped_calendar"), ["dow", "month_end"])
     return FC.regressor_gaps(spine, params, ["dow", "month_end"])
 
 
@@ -352,9 +350,9 @@ QUERIES = {
     "regressor_gaps": (
         regressor_gaps,
         _select(
-            _SPINE,
+            f"{_SPINE}, calendar AS ({I.INPUTS['calendar'][0](I.Duck())}), gapped_calendar AS ({I.INPUTS['gapped_calendar'][0](I.Duck())})",
             """SELECT DISTINCT series_id FROM spine JOIN params ON forecastMarker = series_id
-            WHERE ds > (SELECT max(ds) FROM history)
+            WHERE ds NOT IN (SELECT CAST(left(ds, 10) AS DATE) FROM gapped_calendar)
               AND len(list_intersect(string_split(regressors, ','), ['dow', 'month_end'])) > 0""",
         ),
     ),

@@ -331,6 +331,14 @@ def _calendar(q) -> str:
           FROM (SELECT min(ds) AS lo, max(ds) AS hi FROM history) e) c"""
 
 
+def _gapped_calendar(q) -> str:
+    """The calendar with holes: every 13th of a month, and every odd day after the history's last."""
+    day = f"CAST(left(ds, 10) AS DATE)"
+    return f"""
+    SELECT * FROM calendar
+    WHERE NOT (day({day}) = 13 OR ({day} > (SELECT max(ds) FROM history) AND day({day}) % 2 = 1))"""
+
+
 def _hyperparameters(q) -> str:
     return f"""
     SELECT p AS forecastMarker, DATE '2001-01-01' AS date, CAST(0.05 AS DOUBLE) AS changepoint_prior_scale,
@@ -392,6 +400,7 @@ INPUTS = {
     "aliases": (_aliases, ()),
     "history": (_history, ()),
     "calendar": (_calendar, ("history",)),
+    "gapped_calendar": (_gapped_calendar, ("calendar", "history")),
     "hyperparameters": (_hyperparameters, ()),
     "requests": (_requests, ("history",)),
     "shared_requests": (_shared_requests, ("history",)),

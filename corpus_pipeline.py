@@ -35,9 +35,13 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return decided(docs, exact_dedup.exact_groups(docs).filter("kept"), {})
 
 
+# A stage without a contract of its own links near copies from a similarity of 0.8.
+NEAR_PERCENT = 80
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked near copies, that with the smallest doc_id."""
-    return decided(docs, near_dedup.near_groups(docs).filter("kept"), {})
+    """One document of each group of near copies linked at 0.8 or more, that with the smallest doc_id."""
+    return decided(docs, near_dedup.near_groups(docs, percent=NEAR_PERCENT).filter("kept"), {})
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

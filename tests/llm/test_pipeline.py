@@ -48,7 +48,7 @@ def test_stages(spark):
             exact = D.exact(list(before.items()))
             assert set(now) == {d for d, (keep, *_) in exact.items() if keep == d}
         elif number == 2:
-            near = D.near(list(before.items()))
+            near = D.near(list(before.items()), percent=80)
             assert set(now) == {d for d, (_, group) in near.items() if group == d}
         elif number == 3:
             assert set(now) == without_leaks(before)
@@ -71,7 +71,7 @@ def test_hostile_rows_keep_their_columns(spark):
     kept = stage(exact, "test-exact")
     assert kept.count() == len({D.WHITE.sub("", r[1] or "") for r in rows})
     near = stage(corpus_pipeline.near_copies(spark, docs, FOLDER), "test-near")
-    groups = D.near([r for r in rows if r[0] is not None])
+    groups = D.near([r for r in rows if r[0] is not None], percent=80)
     wordless = sum(not D.shingles(r[1]) for r in rows)
     assert near.count() == len({g for n, g in groups.values() if n}) + 1 + wordless
     clean = corpus_pipeline.benchmark_leaks(spark, docs, FOLDER)

@@ -7,10 +7,11 @@ when d <= t (t = 1 - percent / 100). The join is exact:
   from its members (the smallest by a hash, a bounded number), and every member goes to the
   region of its nearest pivot, or to the region F of the far ones when no pivot is within 1 - t.
 * **Windows.** By the triangle inequality a member y also goes, as a boundary copy, to every
-  other region i with d(y, p_i) - d(y, p_own) <= 2t and d(y, p_i) < 1, and to F when its
-  nearest pivot is at least 1 - 2t away; F's members go to region i when they share anything
-  with p_i. A set is a *core* of the one region it owns at every level; every linked pair then
-  meets in the leaf region of each core.
+  other region i with d(y, p_i) - d(y, p_own) <= 2t, d(y, p_i) < 1 and d(y, p_i) <= r_i + t,
+  where r_i, the region's radius, is the largest distance of its cores to p_i; and to F when
+  its nearest pivot is at least 1 - 2t away. F's members go to region i when they share
+  anything with p_i and are within its radius and t. A set is a *core* of the one region it
+  owns at every level; every linked pair then meets in the leaf region of each core.
 * **Recursion.** Regions split again while they are larger than ``leaf`` and the split shrinks
   them; a region that does not shrink (sparse text: most sets are at distance 1 from every
   pivot) is a leaf.
@@ -85,8 +86,13 @@ def _jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return common, len(a) + len(b) - common
 
 
-def _split(pivots: dict[str, list[tuple[int, np.ndarray]]], percent: int):
-    """mapInPandas: each member of a region that is split -> its regions, core flag, ball and windows."""
+def _measure(pivots: dict[str, list[tuple[int, np.ndarray]]], percent: int):
+    """mapInPandas: each member of a region that is split -> its distances to the region's pivots.
+
+    Returns sid, path, core, own (index of the nearest pivot, -1 for the far region F), m (its
+    distance), d (distances to all pivots), ball (the pivot a core within t of its nearest pivot
+    links to) and windows (pivots within 2t: their balls' members may link to this set).
+    """
     t = 1 - percent / 100
 
     def each(batches):
@@ -96,41 +102,68 @@ def _split(pivots: dict[str, list[tuple[int, np.ndarray]]], percent: int):
                 here = pivots[path]
                 x = np.asarray(shingles, np.int64)
                 measured = [_jaccard(x, p) for _, p in here]
-                d = np.array([1 - c / u if u else 1.0 for c, u in measured])
+                d = [1 - c / u if u else 1.0 for c, u in measured]
                 own = int(np.argmin(d))
                 m = d[own]
                 far = m >= 1 - t - EPS
                 ball = None
-                if core and not far:
-                    c, u = measured[own]
-                    if 100 * c >= percent * u:
-                        ball = here[own][0]
-                regions = [(f"{path}.F" if far else f"{path}.{own}", bool(core))]
-                for i, (c, _) in enumerate(measured):
-                    if c == 0 or (not far and i == own):
-                        continue
-                    if far or d[i] - m <= 2 * t + EPS:
-                        regions.append((f"{path}.{i}", False))
-                if not far and m >= 1 - 2 * t - EPS:
-                    regions.append((f"{path}.F", False))
-                # every pivot within 2t: its ball's members may link to this set
+                if core and not far and 100 * measured[own][0] >= percent * measured[own][1]:
+                    ball = here[own][0]
                 windows = [here[i][0] for i, (c, u) in enumerate(measured) if u and 100 * c >= (2 * percent - 100) * u]
-                for region, is_core in regions:
-                    out.append((sid, region, is_core, ball if is_core else None, windows))
+                out.append((sid, path, bool(core), -1 if far else own, float(m), d, ball, windows))
             yield pd.DataFrame(
                 {
                     "sid": pd.array([r[0] for r in out], dtype="Int64"),
                     "path": [r[1] for r in out],
                     "core": [r[2] for r in out],
+                    "own": [r[3] for r in out],
+                    "m": [r[4] for r in out],
+                    "d": [r[5] for r in out],
                     # nullable integers, built from the ints themselves: floats would lose bits
-                    "ball": pd.array([r[3] for r in out], dtype="Int64"),
-                    "windows": [r[4] for r in out],
+                    "ball": pd.array([r[6] for r in out], dtype="Int64"),
+                    "windows": [r[7] for r in out],
                 }
             )
 
     return each
 
 
+MEASURED = "sid long, path string, core boolean, own int, m double, d array<double>, ball long, windows array<long>"
+
+
+def _place(radius: dict[tuple[str, int], float], percent: int):
+    """mapInPandas: measured members -> (sid, path, core) of the child regions they belong to.
+
+    A core goes to its own child; a ball's member goes nowhere (the ball join covers it). A copy
+    goes to child i only if a core staying in i could link with it: d(y, p_i) < 1, within 2t of
+    its own pivot's distance (or y far), and within t of i's radius, the farthest of i's staying
+    cores from p_i. Far sets go to F; a near one goes to F as a copy when its nearest pivot is
+    at least 1 - 2t away and F has staying cores.
+    """
+    t = 1 - percent / 100
+
+    def each(batches):
+        for batch in batches:
+            out = []
+            for sid, path, core, own, m, d, ball in zip(batch["sid"], batch["path"], batch["core"], batch["own"], batch["m"], batch["d"], batch["ball"]):
+                if ball is not None and not pd.isna(ball):
+                    continue
+                far = own == -1
+                out.append((sid, f"{path}.F" if far else f"{path}.{own}", bool(core)))
+                for i, di in enumerate(d):
+                    if i == own or di >= 1.0 or (path, i) not in radius:
+                        continue
+                    if (far or di - m <= 2 * t + EPS) and di <= radius[(path, i)] + t + EPS:
+                        out.append((sid, f"{path}.{i}", False))
+                if not far and m >= 1 - 2 * t - EPS and (path, -1) in radius:
+                    out.append((sid, f"{path}.F", False))
+            yield pd.DataFrame(
+                {"sid": pd.array([r[0] for r in out], dtype="Int64"), "path": [r[1] for r in out], "core": [r[2] for r in out]}
+            )
+
+    return each
+
+
 def _prefix(percent: int):
     n = F.col("n")
     length = n - F.expr(f"({percent} * n + 99) div 100") + 1
@@ -237,14 +270,14 @@ def jaccard_components(
             todo = distinct.select("sid", F.lit("r").alias("path"), F.lit(True).alias("core"), "shingles")
         else:
             todo = members.filter(F.col("path").isin(split_paths)).join(distinct.select("sid", "shingles"), "sid")
-        placed = stage(
-            todo.mapInPandas(_split(table, percent), "sid long, path string, core boolean, ball long, windows array<long>"),
-            "jaccard-placed",
-        )
-        balls.append(placed.filter("ball IS NOT NULL").select("sid", "ball"))
-        windows.append(placed.select("sid", F.explode("windows").alias("pivot")).distinct())
+        measured = stage(todo.mapInPandas(_measure(table, percent), MEASURED), "jaccard-measured")
+        balls.append(measured.filter("ball IS NOT NULL").select("sid", "ball"))
+        windows.append(measured.select("sid", F.explode("windows").alias("pivot")).distinct())
+        # radius of each child: the farthest of the cores that stay in it (the far region F: index -1)
+        staying = measured.where("core AND ball IS NULL").groupBy("path", "own").agg(F.max("m").alias("r")).collect()
+        radius = {(r.path, r.own): (1.0 if r.own == -1 else r.r) for r in staying}
+        moved = measured.mapInPandas(_place(radius, percent), "sid long, path string, core boolean")
         kept = members.filter(~F.col("path").isin(split_paths))
-        moved = placed.filter("ball IS NULL").select("sid", "path", "core")
         members = stage(kept.unionByName(moved), "jaccard-members")
         new_sizes = {r.path: r.c for r in members.groupBy("path").agg(F.count(F.lit(1)).alias("c")).collect()}
         for path in split_paths:

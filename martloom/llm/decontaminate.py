@@ -46,7 +46,8 @@ def build(items: list[tuple[object, bytes]], size: int):
             lengths[phrase] = len(window)
     automaton = ahocorasick.Automaton()
     for phrase, owners in windows.items():
-        automaton.add_word(phrase.decode("latin-1"), (lengths[phrase], sorted(owners)))
+        # items without id hit words, but are listed nowhere
+        automaton.add_word(phrase.decode("latin-1"), (lengths[phrase], sorted(o for o in owners if o is not None)))
     automaton.make_automaton()
     return automaton
 
@@ -121,9 +122,7 @@ def item_blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int
     total = items.agg(F.sum(F.octet_length(text_of(item_text)))).first()[0] or 0
     # the hash deals unevenly: aim at half of the bound
     blocks = 1 if total <= block_bytes else math.ceil(2 * total / block_bytes)
-    named = items.filter(F.col(item_id).isNotNull()).select(
-        F.col(item_id).cast("string").alias("item"), bytes_of(item_text).alias("data")
-    )
+    named = items.select(F.col(item_id).cast("string").alias("item"), bytes_of(item_text).alias("data"))
     block = F.pmod(F.xxhash64("item"), F.lit(blocks))
     return [named.filter(block == b) for b in range(blocks)]
 
@@ -143,8 +142,9 @@ def contamination(
 
     Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z lower-cased.
     A window is ``size`` consecutive words of an item; a shorter item is one window. Null
-    and wordless texts have no words and no hits; items without id or words are not looked
-    for; items of one id count once. Columns: id_col, n_words, n_hit, items (ids as strings,
+    and wordless texts have no words and no hits; items without words are not looked for;
+    items without id are looked for (their windows hit words and make a text contaminated)
+    but not listed; items of one id count once. Columns: id_col, n_words, n_hit, items (ids as strings,
     sorted), spans (code-point offsets of hit passages in the original text), contaminated,
     and those named in ``keep``.
 

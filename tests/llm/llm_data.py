@@ -118,12 +118,13 @@ def leaks(text, items, size=10):
     hit, found = set(), set()
     for item, body in items:
         v = ITEM_WORD.findall((body or "").translate(UPPER))
-        if item is None or not v:
+        if not v:
             continue
         for i in range(max(1, len(v) - size + 1)):
             window = v[i : i + size]
             for j in range(len(w) - len(window) + 1):
                 if w[j : j + len(window)] == window:
                     hit.update(range(j, j + len(window)))
-                    found.add(str(item))
+                    if item is not None:  # an item without id hits, but is not listed
+                        found.add(str(item))
     return len(w), len(hit), sorted(found)

@@ -392,7 +392,7 @@ def test_additive_on_a_rounded_counter_ends(spark):
     assert len(got) == 410 and all(abs(g - v) < 3 for g, v in zip(got, values))
 
 
-@pytest.mark.parametrize("exact", [64, 1])
+@pytest.mark.parametrize("exact", [64, 1, 10_000])
 def test_weighted_median_equals_percentile(spark, monkeypatch, exact):
     monkeypatch.setattr(FC, "MEDIAN_EXACT", exact)  # 1: every range is narrowed by buckets
     rng = np.random.default_rng(7)

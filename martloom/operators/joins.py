@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Bytes of stored, compressed columns; the hash table built from them is several times that.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 SALTS = 16
+# Layout by page: what a partition may come to, and how many times its stored bytes that is at most
+# in hash tables and sorts (a row per page and word or theme). So a partition reads 4 MB of stored pages.
+HELD_PER_PARTITION = 1024**3
+UNFOLDED = 256
 # A source without statistics counts as 2**63 - 1 bytes, and what is built on it as about so many.
 UNKNOWN = 2**60
 
@@ -33,6 +37,26 @@ def plan_bytes(frame: DataFrame) -> int | None:
         return None
 
 
+def held_bytes(frame: DataFrame) -> int:
+    """What the rows of all tables below a plan may unfold to, 0 where their size is not known."""
+    try:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        return size * UNFOLDED if size < UNKNOWN else 0
+    except AttributeError:  # a remote session gives no plan access
+        return 0
+
+
+def by_page(frame: DataFrame, held: int) -> DataFrame:
+    """Layout by ``page_id`` in a number of partitions that grows with what the tasks hold.
+
+    The number is fixed: adaptive execution would merge partitions by their compressed
+    size, and what a task holds of them (a row per page and token, or theme) is many times that.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(max(cores, -(-held // HELD_PER_PARTITION)), "page_id")
+
+
 def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether the bound of a plan's size is known and within ``limit``."""
     size = plan_bytes(frame)

@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import text as T
-from martloom.operators.joins import is_small, plan_bytes
-
-# Stored HTML per partition of segments: their text is a small part of it.
-STORED_PER_PARTITION = 1024**3
+from martloom.operators.joins import by_page as _by_page
+from martloom.operators.joins import held_bytes, is_small
 
 # Segments of a page from the most to the least telling, with priorities.
 SEGMENTS = (
@@ -63,17 +61,10 @@ def page_segments(pages: DataFrame, by_page: bool = False) -> DataFrame:
     )
     filled = [F.nullif(F.col(name), F.lit("")) for name, _ in SEGMENTS]
     segments = clean.withColumn("content", F.concat_ws(" ", *filled))
-    return _by_page(segments, plan_bytes(pages)) if by_page and not small else segments
-
-
-def _by_page(segments: DataFrame, stored: int | None) -> DataFrame:
-    """Layout by page; large input gets more partitions than the session's default, which
-    adaptive execution could only lower."""
-    default = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-(stored or 0) // STORED_PER_PARTITION)
-    if wanted > default:
-        return segments.repartition(wanted, "page_id")
-    return segments.repartition("page_id")
+    if not by_page or small:
+        return segments
+    held = held_bytes(pages)
+    return _by_page(segments, held) if held else segments.repartition("page_id")
 
 
 def page_gate(script: str) -> Column:

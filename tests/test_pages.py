@@ -104,3 +104,14 @@ def test_names_that_only_begin_like_a_tag(spark):
 def test_elements_without_an_end(spark):
     (got,) = rows(P.page_segments(pages(spark, (1, "u", "<h1>a<div>b</div>" + "<footer>c"))))
     assert got["h1"] == "abc" and got["main_content"] == "a b"
+
+
+def test_pages_are_laid_out_in_more_partitions_as_they_grow(spark, monkeypatch, tmp_path):
+    """A fixed number by stored size: partitions merged by their compressed size filled a task's memory."""
+    from martloom.operators import joins as J
+
+    pages(spark, *[(i, f"{i}.ru", PAGE) for i in range(200)]).coalesce(1).write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    monkeypatch.setattr(P, "is_small", lambda *_: False)
+    monkeypatch.setattr(J, "HELD_PER_PARTITION", J.held_bytes(stored) // 40)
+    assert P.page_segments(stored, by_page=True).rdd.getNumPartitions() in (40, 41)

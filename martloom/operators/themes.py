@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions import text as T
-from martloom.operators.joins import lookup_join
+from martloom.operators import joins
+from martloom.operators.joins import by_page, held_bytes, lookup_join
 from martloom.operators.pages import occurrence_aggregates, page_segments, page_token_stats
+from martloom.session import stage
 
 TOP_KEYWORDS = 70
 SHOWN_KEYWORDS = 50
@@ -152,22 +154,56 @@ def _subtheme_scores(
         F.coalesce("_k.lemma", _own_key()).alias("_key"),
     )
     themes = load_theme_dictionary(dictionary).withColumnRenamed("keyword", "_key")
-    matched = lookup_join(rows, themes, ["_key"], "left", F.col("page_id")).where(
-        "industry is not null or keywords is not null"
-    )
+    if joins.is_small(themes):
+        matched = lookup_join(rows, themes, ["_key"], "left", F.col("page_id"))
+        theme, names = ["industry", "subindustry"], None
+    else:
+        matched, names = _packed_matches(rows, themes, held_bytes(pages))
+        theme = ["_theme"]
+    matched = matched.where(F.col(theme[0]).isNotNull() | F.col("keywords").isNotNull())
     one = F.lit(1).cast("bigint")
     bits = [
         F.bit_or(F.when(F.col("_word") == w, F.call_function("shiftleft", one, F.col("_bit"))).otherwise(F.lit(0).cast("bigint")))
         for w in range((top + 62) // 63)
     ]
-    return matched.groupBy("page_id", "industry", "subindustry", *carried).agg(
+    scores = matched.groupBy("page_id", *theme, *carried).agg(
         F.sum(F.col("score") * F.col("weight")).alias("weighted_score"),
-        F.count("industry").alias("match_count"),
+        F.count(theme[0]).alias("match_count"),
         F.count(F.when(F.col("weight") >= STRONG_WEIGHT, True)).alias("strong_keywords"),
         *[column.alias(f"_bits_{w}") for w, column in enumerate(bits)],
     ).withColumn("matched_bits", F.array(*[f"_bits_{w}" for w in range(len(bits))])).drop(
         *[f"_bits_{w}" for w in range(len(bits))]
     )
+    if names is None:
+        return scores
+    return lookup_join(scores, names, ["_theme"], "left", F.col("page_id")).drop("_theme")
+
+
+def _packed_matches(rows: DataFrame, themes: DataFrame, held: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_theme`` and ``weight`` of every match, laid out by page, and the themes' names.
+
+    For a dictionary too large for a broadcast. A match is a number and a weight, and those of a
+    keyword travel as two arrays: the names of a theme are not shuffled once for each match, and
+    the matches unfold where their page is, so that they are folded without another shuffle.
+    """
+    themes = themes.where("industry is not null and _key is not null")
+    pairs = themes.select("industry", "subindustry").distinct()
+    # stored, so that a number stays the same in every branch and after a lost task
+    names = stage(pairs.withColumn("_theme", F.monotonically_increasing_id()), "themes")
+    numbers = names.withColumnRenamed("industry", "_industry").withColumnRenamed("subindustry", "_subindustry")
+    same = (F.col("industry") == F.col("_industry")) & F.col("subindustry").eqNullSafe(F.col("_subindustry"))
+    if joins.is_small(numbers):
+        numbers = F.broadcast(numbers)
+    listed = themes.join(numbers, same).groupBy("_key").agg(
+        F.collect_list(F.struct("_theme", "weight")).alias("_listed")
+    )
+    packed = listed.select(
+        "_key", F.col("_listed._theme").alias("_themes"), F.col("_listed.weight").alias("_weights")
+    )
+    met = by_page(lookup_join(rows, packed, ["_key"], "left", F.col("page_id"), limit=0).drop("_key"), held)
+    kept = [name for name in met.columns if name not in ("_themes", "_weights")]
+    unfolded = met.select(*kept, F.explode_outer(F.arrays_zip("_themes", "_weights")).alias("_match"))
+    return unfolded.select(*kept, F.col("_match._themes").alias("_theme"), F.col("_match._weights").alias("weight")), names
 
 
 def _own_key() -> Column:

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +224,22 @@ def test_many_keywords_are_all_listed(spark):
     assert row["match_count"] == 200 and row["matched"] == [w[1] for w in words]
     with pytest.raises(Exception, match="ranks above top=70"):
         TH.match_themes(keywords, themes).collect()
+
+
+def test_matches_of_a_large_dictionary_travel_packed(spark, monkeypatch):
+    """Same rows as by a broadcast, and no shuffle of one row per match with the themes' names."""
+    from martloom.operators import joins as J
+
+    keywords = spark.createDataFrame(
+        [(p, f"w{(p * k) % 7}x{k}", k, k) for p in range(20) for k in range(1, 9)] + [(99, "none", 1, 1), (None, "w0x7", 3, 1)],
+        "page_id bigint, lemma string, score int, rank int",
+    )
+    entries = [(f"I{t % 3}", f"s{t}" if t else None, f"w{m}x{k}", float(m + k)) for t in range(5) for m in range(7) for k in range(1, 9) if (t + m + k) % 3]
+    entries += [(None, "s1", "w0x1", 9.0), ("I0", "s1", None, 9.0), ("I0", "s9", "w0x7", None), ("I0", None, "w0x7", 1.0), ("I0", None, "w0x7", 0.5)]
+    themes = spark.createDataFrame(entries, DICTIONARY)
+    wanted = rows(TH.match_themes(keywords, themes))
+    assert any(r["subindustry"] is None for r in wanted) and any(r["page_id"] is None for r in wanted)
+    monkeypatch.setattr(J, "is_small", lambda *_: False)
+    found = TH.match_themes(keywords, themes)
+    assert rows(found) == wanted
+    assert "hashpartitioning(page_id, industry" not in re.sub(r"#\d+L?", "", found._jdf.queryExecution().executedPlan().toString())

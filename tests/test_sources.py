@@ -198,3 +198,15 @@ def test_changed_files_open_only_their_paths(spark, tmp_path):
     assert got == {
         "a/one.sql": (False, "SELECT 1"), "a/bad.sql": (False, "SELECT '�'"), "a/gone.sql": (True, None), "a/missing.sql": (False, None),
     }
+
+
+def test_inputs_build_on_stored_inputs(spark):
+    """What an input builds on is derived once and read back, with the rows of the whole SQL."""
+    from martloom.plans import inputs as I
+
+    folder = "/root/testdata/sf0.001"
+    for name, needed in (("raw_dictionary", "theme_dictionary"), ("table_schema", "named_orders"), ("catalog_columns", "catalog_tables")):
+        whole = spark.sql(f"WITH {I.ctes(name, dialect=I.Spark(folder))} SELECT * FROM {name}")
+        found = I.read(spark, folder, name)
+        assert (spark.sparkContext.applicationId, folder, needed) in I._STORED
+        assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()

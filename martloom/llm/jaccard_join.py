@@ -21,9 +21,15 @@ when d <= t (t = 1 - percent / 100). The join is exact:
   linked in linear work.
 * **Leaf join.** Within a leaf region, core and member meet on a shared prefix token: the first
   ``n - ceil(percent * n / 100) + 1`` shingles of a set of n in one global order, which every
-  pair of similarity percent or more shares. The order puts shingles that are common in prefixes
-  (of more than ``HOT`` sets, counted over all sets) last, so that a passage shared by many
-  documents does not make them all candidates. Pairs are verified on the full sets.
+  pair of similarity percent or more shares. The order puts rare shingles first and common ones
+  (in more than ``HOT`` sets, counted over all sets) last, so that a passage shared by many
+  documents does not make them all candidates. The members of a token first meet its smallest
+  core; then all pairs of a token that this leaves in different components. Pairs whose first
+  shingles already differ too much are left out, the others are verified on the full sets.
+
+Full sets are larger than the text and are neither stored nor shuffled: one pass over the texts
+keeps of each set its size, its key, its distances to the first pivots and its first shingles, and
+the few sets that a split, a prefix or a pair needs whole are made again from their texts.
 
 Identical sets are folded first; they link (similarity 1). Texts without words have an empty set
 and link with nothing. Words are runs outside x20, x09-x0D, A-Z lower-cased; with fewer than
@@ -35,14 +41,15 @@ are ignored. Empty table: no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from martloom.llm.common import text_of
+from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_in, row_key, text_of
 from martloom.llm.components import components
-from martloom.llm.shingles import WordHashes, shingle_set
+from martloom.llm.shingles import shingle_set
 from martloom.session import stage
 
 SHINGLE = 3
@@ -54,175 +61,354 @@ PIVOTS = 16
 PIVOT_MAX = 2000
 ROUND_BYTES = 16 << 20
 DEPTH = 6
-# Shingles in more hash-order prefixes than HOT go last in the order of prefixes; their map has HOT_BITS bits.
+# Shingles go the later in the order of prefixes the more of these counts of sets they exceed; the map of a count has HOT_BITS bits.
 HOT = 64
-HOT_BITS = 1 << 26
+RARE = (1, 8)
+# A split whose children hold more than GROWTH times the members is not made.
+GROWTH = 2
+HOT_BITS = 1 << 25
 EPS = 1e-9
+ROOT = "r"
+CHUNK = 1 << 20  # bytes of text whose sets a task holds at once
 
 
-def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n (set size), sid (a 64-bit key of the set, null when empty), shingles (sorted longs)."""
+class Hashes:
+    """Word hashes without a memo, which a large vocabulary makes slower than hashing, and large."""
 
-    def each(batches):
-        memo = WordHashes()
-        for batch in batches:
-            found = [shingle_set(t.encode("utf-8"), memo, size).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n": [len(s) for s in found],
-                    # nullable integers: a column of ints and None would become floats and lose bits
-                    "sid": pd.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in found], dtype="Int64"),
-                    "shingles": found,
-                }
-            )
+    __getitem__ = staticmethod(xxhash.xxh64_intdigest)
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return picked.mapInPandas(each, "doc_id long, n long, sid long, shingles array<long>")
 
+def _chunks(texts: pa.Array):
+    """Slices of texts of about CHUNK bytes, so that few sets are in memory at once."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size > CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
-def _jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common, len(a) + len(b) - common
 
+def _key(found: np.ndarray) -> int | None:
+    """A 64-bit key of a set, null when empty."""
+    return xxhash.xxh64_intdigest(found.tobytes()) - (1 << 63) if len(found) else None
 
-def _measure(pivots: dict[str, list[tuple[int, np.ndarray]]], percent: int):
-    """mapInPandas: each member of a region that is split -> its distances to the region's pivots.
 
-    Returns sid, path, core, own (index of the nearest pivot, -1 for the far region F), m (its
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)])
+    flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+
+
+def sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n (set size), sid (a 64-bit key of the set, null when empty), shingles (sorted longs)."""
+
+    def each(batches):
+        memo = Hashes()
+        for batch in batches:
+            at = 0
+            for texts in _chunks(batch.column("data")):
+                found = [shingle_set(t, memo, size) for t in texts]
+                ids = batch.column("doc_id").slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array([len(x) for x in found], pa.int64()), pa.array(map(_key, found), pa.int64()), _lists(found)],
+                    ["doc_id", "n", "sid", "shingles"],
+                )
+
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), bytes_of("text").alias("data"))
+    return picked.mapInArrow(each, "doc_id long, n long, sid long, shingles array<long>")
+
+
+class Pivots:
+    """The pivots of a region, laid out so that many sets are measured against all of them at once."""
+
+    def __init__(self, pivots: list[tuple[int, np.ndarray]]):
+        self.sids = [sid for sid, _ in pivots]
+        self.sizes = np.array([len(x) for _, x in pivots])
+        self.shingles = np.unique(np.concatenate([x for _, x in pivots]))
+        self.has = np.zeros((len(self.shingles), len(pivots)), bool)
+        for i, (_, x) in enumerate(pivots):
+            self.has[np.searchsorted(self.shingles, x), i] = True
+
+    def measure(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of intersection and union, a row a set, a column a pivot."""
+        sizes = np.array([len(x) for x in found])
+        flat = np.concatenate(found)
+        at = np.minimum(np.searchsorted(self.shingles, flat), len(self.shingles) - 1)
+        hit = np.flatnonzero(self.shingles[at] == flat)
+        row = np.repeat(np.arange(len(found)), sizes)[hit]
+        has = self.has[at[hit]]
+        common = np.stack([np.bincount(row[has[:, i]], minlength=len(found)) for i in range(len(self.sids))], 1)
+        return common, sizes[:, None] + self.sizes[None] - common
+
+
+def _measured(here: Pivots, path: str, sids: list[int], found: list[np.ndarray], core: list[bool], percent: int) -> list[tuple]:
+    """Members of a region that is split -> their distances to the region's pivots.
+
+    Returns sid, n, path, core, own (index of the nearest pivot, -1 for the far region F), m (its
     distance), d (distances to all pivots), ball (the pivot a core within t of its nearest pivot
     links to) and windows (pivots within 2t: their balls' members may link to this set).
     """
     t = 1 - percent / 100
+    common, union = here.measure(found)
+    d = 1 - common / union
+    own = np.argmin(d, 1)
+    at = np.arange(len(found))
+    m = d[at, own]
+    far = m >= 1 - t - EPS
+    links = ~far & (100 * common[at, own] >= percent * union[at, own])
+    near = 100 * common >= (2 * percent - 100) * union
+    return [
+        (sids[i], len(found[i]), path, core[i], -1 if far[i] else int(own[i]), float(m[i]), d[i].tolist(),
+         here.sids[own[i]] if core[i] and links[i] else None, [here.sids[j] for j in np.flatnonzero(near[i])])
+        for i in range(len(found))
+    ]
+
+
+def _children(path: str, core: bool, own: int, m: float, d: list[float], ball: int | None, radius: dict, t: float) -> list[tuple[str, bool]]:
+    """(path, core) of the child regions that a measured member belongs to.
+
+    A core goes to its own child; a ball's member goes nowhere (the ball join covers it). A copy
+    goes to child i only if a core staying in i could link with it: d(y, p_i) < 1, within 2t of
+    its own pivot's distance (or y far), and within t of i's radius, the farthest of i's staying
+    cores from p_i. Far sets go to F; a near one goes to F as a copy when its nearest pivot is
+    at least 1 - 2t away and F has staying cores.
+    """
+    if ball is not None:
+        return []
+    far = own == -1
+    out = [(f"{path}.F" if far else f"{path}.{own}", core)]
+    for i, di in enumerate(d):
+        if i == own or di >= 1.0 or (path, i) not in radius:
+            continue
+        if (far or di - m <= 2 * t + EPS) and di <= radius[(path, i)] + t + EPS:
+            out.append((f"{path}.{i}", False))
+    if not far and m >= 1 - 2 * t - EPS and (path, -1) in radius:
+        out.append((f"{path}.F", False))
+    return out
+
+
+def _walk(found: list[np.ndarray], sids: list[int], rounds: list[tuple[dict, dict]], percent: int) -> list[tuple]:
+    """Sets led through the rounds of splits so far: the measured rows of the last round.
+
+    A round is its regions' pivots and radii (none yet in the last one).
+    """
+    t = 1 - percent / 100
+    places = {ROOT: [(i, True) for i in range(len(found))]}
+    out = []
+    for depth, (table, radius) in enumerate(rounds):
+        for path in [p for p in places if p in table]:
+            members = places.pop(path)
+            rows = _measured(table[path], path, [sids[i] for i, _ in members], [found[i] for i, _ in members], [c for _, c in members], percent)
+            if depth == len(rounds) - 1:
+                out += rows
+                continue
+            for (i, _), (_, _, _, core, own, m, d, ball, _) in zip(members, rows):
+                for child, inside in _children(path, core, own, m, d, ball, radius, t):
+                    places.setdefault(child, []).append((i, inside))
+    return out
+
+
+MEASURED = "sid long, n long, path string, core boolean, own int, m double, d array<double>, ball long, windows array<long>"
+_MEASURED = pa.schema(
+    [("sid", pa.int64()), ("n", pa.int64()), ("path", pa.string()), ("core", pa.bool_()), ("own", pa.int32()), ("m", pa.float64())]
+    + [("d", pa.list_(pa.float64())), ("ball", pa.int64()), ("windows", pa.list_(pa.int64()))]
+)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _first_pass(docs: DataFrame, size: int, table: dict, percent: int) -> DataFrame:
+    """Each document's doc_id, k1 (its key, to find the text again), n, sid, first shingles and distances to the first pivots."""
 
     def each(batches):
+        memo = Hashes()
         for batch in batches:
-            out = []
-            for sid, path, core, shingles in zip(batch["sid"], batch["path"], batch["core"], batch["shingles"]):
-                here = pivots[path]
-                x = np.asarray(shingles, np.int64)
-                measured = [_jaccard(x, p) for _, p in here]
-                d = [1 - c / u if u else 1.0 for c, u in measured]
-                own = int(np.argmin(d))
-                m = d[own]
-                far = m >= 1 - t - EPS
-                ball = None
-                if core and not far and 100 * measured[own][0] >= percent * measured[own][1]:
-                    ball = here[own][0]
-                windows = [here[i][0] for i, (c, u) in enumerate(measured) if u and 100 * c >= (2 * percent - 100) * u]
-                out.append((sid, path, bool(core), -1 if far else own, float(m), d, ball, windows))
-            yield pd.DataFrame(
-                {
-                    "sid": pd.array([r[0] for r in out], dtype="Int64"),
-                    "path": [r[1] for r in out],
-                    "core": [r[2] for r in out],
-                    "own": [r[3] for r in out],
-                    "m": [r[4] for r in out],
-                    "d": [r[5] for r in out],
-                    # nullable integers, built from the ints themselves: floats would lose bits
-                    "ball": pd.array([r[6] for r in out], dtype="Int64"),
-                    "windows": [r[7] for r in out],
-                }
-            )
+            at = 0
+            for texts in _chunks(batch.column("data")):
+                found = [shingle_set(t, memo, size) for t in texts]
+                sids = [_key(x) for x in found]
+                some = [i for i, x in enumerate(found) if len(x)]
+                rows: list[tuple] = [(None, len(x), None, None, None, None, None, None, None) for x in found]
+                if table and some:
+                    for i, r in zip(some, _walk([found[i] for i in some], [sids[i] for i in some], [(table, {})], percent)):
+                        rows[i] = r
+                measured = _batch([r[4:] for r in rows], pa.schema(list(_MEASURED)[4:]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(at, len(texts)) for c in ("doc_id", "k1")]
+                    + [pa.array([len(x) for x in found], pa.int64()), pa.array(sids, pa.int64())]
+                    + [_lists([_head(x, percent) for x in found]), *measured.columns],
+                    ["doc_id", "k1", "n", "sid", "shingles", *measured.schema.names],
+                )
+                at += len(texts)
+
+    made = "doc_id long, k1 long, n long, sid long, shingles array<long>, " + MEASURED[MEASURED.index("own") :]
+    return _texts(docs).mapInArrow(each, made)
+
+
+def _next_pass(docs: DataFrame, members: DataFrame, size: int, rounds: list[tuple[dict, dict]], percent: int) -> DataFrame:
+    """The measured rows of the last round; ``members`` has the k1 of all sets in its regions."""
 
-    return each
+    def each(batches):
+        memo = Hashes()
+        for batch in batches:
+            for texts in _chunks(batch.column("data")):
+                found = [x for x in (shingle_set(t, memo, size) for t in texts) if len(x)]
+                yield _batch(_walk(found, [_key(x) for x in found], rounds, percent) if found else [], _MEASURED)
 
+    return perhaps_in(_texts(docs), members, "k1").mapInArrow(each, MEASURED).dropDuplicates(["sid", "path"])
 
-MEASURED = "sid long, path string, core boolean, own int, m double, d array<double>, ball long, windows array<long>"
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text")[0].alias("k1"), bytes_of("text").alias("data"))
 
-def _place(radius: dict[tuple[str, int], float], percent: int):
-    """mapInPandas: measured members -> (sid, path, core) of the child regions they belong to.
 
-    A core goes to its own child; a ball's member goes nowhere (the ball join covers it). A copy
-    goes to child i only if a core staying in i could link with it: d(y, p_i) < 1, within 2t of
-    its own pivot's distance (or y far), and within t of i's radius, the farthest of i's staying
-    cores from p_i. Far sets go to F; a near one goes to F as a copy when its nearest pivot is
-    at least 1 - 2t away and F has staying cores.
-    """
+def _whole(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """sid and shingles of the sets ``wanted`` (sid, k1), made again from their texts, one row each."""
+    texts = perhaps_in(_texts(docs), wanted, "k1").select("doc_id", F.col("data").alias("text"))
+    return sets(texts, size).select("sid", "shingles").join(wanted.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
+
+
+def _place(radius: dict[tuple[str, int], float], percent: int):
+    """mapInArrow: measured members -> (sid, n, path, core) of the child regions they belong to."""
     t = 1 - percent / 100
 
     def each(batches):
         for batch in batches:
             out = []
-            for sid, path, core, own, m, d, ball in zip(batch["sid"], batch["path"], batch["core"], batch["own"], batch["m"], batch["d"], batch["ball"]):
-                if ball is not None and not pd.isna(ball):
-                    continue
-                far = own == -1
-                out.append((sid, f"{path}.F" if far else f"{path}.{own}", bool(core)))
-                for i, di in enumerate(d):
-                    if i == own or di >= 1.0 or (path, i) not in radius:
-                        continue
-                    if (far or di - m <= 2 * t + EPS) and di <= radius[(path, i)] + t + EPS:
-                        out.append((sid, f"{path}.{i}", False))
-                if not far and m >= 1 - 2 * t - EPS and (path, -1) in radius:
-                    out.append((sid, f"{path}.F", False))
-            yield pd.DataFrame(
-                {"sid": pd.array([r[0] for r in out], dtype="Int64"), "path": [r[1] for r in out], "core": [r[2] for r in out]}
-            )
+            for r in batch.to_pylist():
+                for path, core in _children(r["path"], r["core"], r["own"], r["m"], r["d"], r["ball"], radius, t):
+                    out.append((r["sid"], r["n"], path, core))
+            yield _batch(out, pa.schema(list(_MEASURED)[:4]))
 
     return each
 
 
-def _prefix(percent: int):
-    n = F.col("n")
-    length = n - F.expr(f"({percent} * n + 99) div 100") + 1
-    return F.slice(F.col("shingles"), 1, length.cast("int"))
-
-
 def _prefix_length(n: np.ndarray | int, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def _hot_map(distinct: DataFrame, percent: int, hot: int) -> np.ndarray:
-    """Bits (of HOT_BITS) set for every shingle in the hash-order prefixes of more than ``hot`` sets.
+def _hot_maps(heads: DataFrame, limits: list[int]) -> list[np.ndarray]:
+    """For each limit: bits (of HOT_BITS) set for every shingle in the first ones of more than ``limit`` sets.
 
     Counted over all sets; built on the executors as bitmaps of 32768 bits and collected whole,
-    at most HOT_BITS / 8 bytes whatever the number of shingles. A shingle that shares a bit with
-    a hot one counts as hot too: that only changes the order, and every order is exact.
+    at most HOT_BITS / 8 bytes a limit whatever the number of shingles. A shingle that shares a bit
+    with a hot one counts as hot too: that only changes the order, and every order is exact.
     """
-    first = distinct.select(F.explode(_prefix(percent)).alias("tok")).groupBy("tok").count().where(F.col("count") > hot)
+    counted = heads.select(F.explode("shingles").alias("tok")).groupBy("tok").count().where(F.col("count") > min(limits))
     place = F.pmod("tok", F.lit(HOT_BITS)) + 1
-    maps = first.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
-    maps = maps.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    bits = np.zeros(HOT_BITS // 8, np.uint8)
+    over = F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: F.col("count") > x)
+    maps = counted.select(F.explode(over).alias("limit"), F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+    maps = maps.groupBy("limit", "b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    bits = {limit: np.zeros(HOT_BITS // 8, np.uint8) for limit in limits}
     for r in maps:
         chunk = np.frombuffer(r.m, np.uint8)
         at = (r.b - 1) * 4096
-        bits[at : at + len(chunk)] |= chunk[: max(0, min(len(chunk), len(bits) - at))]
-    return bits
+        bits[r.limit][at : at + len(chunk)] |= chunk[: max(0, min(len(chunk), HOT_BITS // 8 - at))]
+    return [bits[limit] for limit in limits]
+
+
+def _hot_map(sets: DataFrame, percent: int, hot: int) -> np.ndarray:
+    """The map of one limit, of the shingles kept of each set."""
+    length = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
+    return _hot_maps(sets.select(F.slice("shingles", 1, length.cast("int")).alias("shingles")), [hot])[0]
 
 
-def _prefixes(distinct: DataFrame, bits: np.ndarray, percent: int) -> DataFrame:
-    """sid, n, prefix: the first shingles of each set, rare ones (not in the hot map) first, then by value."""
+def _early(percent: int) -> int:
+    """Shingles below are early: twice the share of a set that its prefix is."""
+    return min(1 << 63, (2 * (100 - percent) << 64) // 100)
+
+
+def _head(found: np.ndarray, percent: int) -> np.ndarray:
+    """First shingles kept of a set: its early ones, and no fewer than its prefix has."""
+    early = int(np.searchsorted(found, np.uint64(_early(percent))))
+    return found[: max(early, _prefix_length(len(found), percent))]
+
+
+def _prefixes(classes: DataFrame, maps: list[np.ndarray], percent: int) -> DataFrame:
+    """sid, n, prefix: the first shingles of each set in one order of all shingles.
+
+    Early ones come first, those in fewer maps before the others, then late ones, and last those
+    in the last map; equals by value. The prefix is null where ``shingles`` holds only the first
+    ones of the set and too few of them are outside the last map.
+    """
+    early = np.uint64(_early(percent))
+
+    def inside(place: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
 
     def each(batches):
         for batch in batches:
+            column = batch.column("shingles")
+            flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
+            place = np.mod(flat, HOT_BITS)
+            rank = sum((inside(place, bits) for bits in maps[:-1]), np.zeros(len(flat), np.int8)).astype(np.int8)
+            rank[flat.view(np.uint64) >= early] = len(maps)
+            rank[inside(place, maps[-1]).astype(bool)] = len(maps) + 1
             out = []
-            for shingles in batch["shingles"]:
-                x = np.asarray(shingles, np.int64)
-                place = np.mod(x, HOT_BITS)
-                hot = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
-                order = np.lexsort((x.view(np.uint64), hot))
-                out.append(x[order[: _prefix_length(len(x), percent)]])
-            yield pd.DataFrame({"sid": batch["sid"], "n": batch["n"], "prefix": out})
+            for n, start, stop in zip(batch.column("n").to_pylist(), ends, ends[1:]):
+                mine, length = rank[start:stop], _prefix_length(n, percent)
+                if stop - start < n and np.count_nonzero(mine <= len(maps)) < length:
+                    out.append(None)
+                else:
+                    out.append(flat[start:stop][np.argsort(mine, kind="stable")[:length]])
+            yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("n"), pa.array(out, pa.list_(pa.int64()))], ["sid", "n", "prefix"])
+
+    return classes.select("sid", "n", "shingles").mapInArrow(each, "sid long, n long, prefix array<long>")
 
-    return distinct.select("sid", "n", "shingles").mapInPandas(each, "sid long, n long, prefix array<long>")
 
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sids without those whose first shingles rule out the threshold.
 
-def _verified(pairs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
+    Up to the smaller of the two last kept shingles both sets are known. Where the sets differ by
+    more than (na + nb) * (100 - percent) / (100 + percent) shingles there, they cannot link.
+    """
+
+    def each(batches):
+        for batch in batches:
+            sides = []
+            for side in "ab":
+                column = batch.column("h" + side)
+                sides.append((batch.column("n" + side).to_numpy(), column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()))
+            (na, fa, ea), (nb, fb, eb) = sides
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = fa[ea[i] : ea[i + 1]], fb[eb[i] : eb[i + 1]]
+                if len(x) < na[i]:
+                    y = y[: np.searchsorted(y, x[-1], "right")]
+                if len(y) and len(y) < nb[i]:
+                    x = x[: np.searchsorted(x, y[-1], "right")]
+                differ = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(differ * (100 + percent) <= (na[i] + nb[i]) * (100 - percent))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in "ab"], ["a", "b"])
+
+    length = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
+    heads = classes.select("sid", "n", F.slice("shingles", 1, length.cast("int")).alias("head"))
+    joined = pairs.join(heads.toDF("a", "na", "ha"), "a").join(heads.toDF("b", "nb", "hb"), "b")
+    return joined.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(each, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs (a, b) of sids whose full sets are within the threshold."""
-    pairs = pairs.distinct()
-    left = shingles.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
-    right = shingles.select(F.col("sid").alias("b"), F.col("shingles").alias("sb"))
-    joined = pairs.join(left, "a").join(right, "b")
+    sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    shingles = stage(_whole(docs, stage(classes.select("sid", "k1").join(sids, "sid"), "jaccard-wanted"), size), "jaccard-whole")
+    joined = pairs.join(shingles.toDF("a", "sa"), "a").join(shingles.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
     return joined.filter(100 * common >= percent * union).select("a", "b")
 
 
-def _length_ok(na, nb, percent: int):
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+def _fits(na: str, ia: str, nb: str, ib: str, percent: int) -> Column:
+    """Whether sets of these sizes can link if the shingles at these places of the prefixes are the first they share."""
+    na, ia, nb, ib = F.col(na), F.col(ia), F.col(nb), F.col(ib)
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((ia + ib) * (100 + percent) <= (na + nb) * (100 - percent))
 
 
 def jaccard_components(
@@ -233,95 +419,132 @@ def jaccard_components(
     One row per row of ``docs``. See the module for the rules.
     """
     spark = docs.sparkSession
-    # sets are made twice rather than stored per document: the arrays are kept once per distinct set
-    per_doc = stage(sets(docs, size).select("doc_id", "n", "sid"), "jaccard-sets")
-    distinct = stage(
-        sets(docs, size).filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("shingles").alias("shingles")),
-        "jaccard-distinct",
-    )
-    members = stage(distinct.select("sid", F.lit("r").alias("path"), F.lit(True).alias("core")), "jaccard-members")
+    rows = docs.count()
+    table: dict[str, Pivots] = {}
+    if rows > leaf:
+        # pivots of the root: sets of the texts smallest by a hash; about 8 * pivots texts are looked at
+        text = text_of("text")
+        drawn = docs.select(F.xxhash64(text).alias("doc_id"), text.alias("text")).filter(F.pmod("doc_id", F.lit(rows)) < 8 * pivots)
+        drawn = sets(drawn.groupBy("doc_id").agg(F.first("text").alias("text")), size).filter(f"n > 0 AND n <= {PIVOT_MAX}")
+        got = drawn.dropDuplicates(["sid"]).orderBy("doc_id", "sid").limit(pivots).collect()
+        if got:
+            table = {ROOT: Pivots([(r.sid, np.array(r.shingles, np.int64).view(np.uint64)) for r in got])}
+    base = stage(_first_pass(docs, size, table, percent), "jaccard-sets")
+    kept = ["k1", "n", "shingles", "own", "m", "d", "ball", "windows"]
+    folded = base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first(F.struct(*kept)).alias("_s"))
+    classes = stage(folded.select("sid", "rep", "copies", "_s.*"), "jaccard-classes")
+    free_shuffles(spark)
+
+    members = classes.select("sid", "n", F.lit(ROOT).alias("path"), F.lit(True).alias("core"))
     balls, windows = [], []
+    rounds: list[tuple[dict, dict]] = []
     frozen: set[str] = set()
-    sizes = {r.path: r.c for r in members.groupBy("path").agg(F.count(F.lit(1)).alias("c")).collect()}
+    sizes = {ROOT: classes.count()}
     for depth in range(DEPTH):
         big = sorted(p for p, c in sizes.items() if c > leaf and p not in frozen)
         if not big:
             break
-        # pivots: the smallest sets by a hash among each big region's free cores, as far as a round holds
-        # a hash below 8 * pivots of the region's size passes: about 8 * pivots candidates a region
-        bounds = spark.createDataFrame([(p, sizes[p]) for p in big], "path string, _size long")
-        cand = members.filter("core").join(F.broadcast(bounds), "path").join(distinct.filter(f"n <= {PIVOT_MAX}"), "sid")
-        cand = cand.withColumn("_h", F.xxhash64("sid", F.lit(depth))).filter(F.pmod("_h", F.col("_size")) < 8 * pivots)
-        ranked = cand.groupBy("path").agg(F.expr(f"slice(array_sort(collect_list(struct(_h, sid))), 1, {pivots})").alias("_p"))
-        chosen = ranked.select("path", F.explode("_p").alias("_p")).select("path", F.col("_p.sid").alias("sid"))
-        got = chosen.join(distinct, "sid").select("path", "sid", "shingles").collect()
-        table: dict[str, list[tuple[int, np.ndarray]]] = {}
-        used = 0
-        for r in sorted(got, key=lambda r: (r.path, r.sid)):
-            if used > ROUND_BYTES and r.path not in table:
-                continue
-            table.setdefault(r.path, []).append((r.sid, np.asarray(r.shingles, np.int64)))
-            used += 8 * len(r.shingles)
+        if depth:
+            table = _draw(docs, classes, members, {p: sizes[p] for p in big}, depth, pivots, size)
         if not table:
             frozen.update(big)
             continue
         split_paths = sorted(table)
-        if depth == 0:
-            todo = distinct.select("sid", F.lit("r").alias("path"), F.lit(True).alias("core"), "shingles")
+        if depth:
+            wanted = members.filter(F.col("path").isin(split_paths)).select("sid").distinct().join(classes.select("sid", "k1"), "sid")
+            measured = stage(_next_pass(docs, wanted, size, [*rounds, (table, {})], percent), "jaccard-measured")
         else:
-            todo = members.filter(F.col("path").isin(split_paths)).join(distinct.select("sid", "shingles"), "sid")
-        measured = stage(todo.mapInPandas(_measure(table, percent), MEASURED), "jaccard-measured")
-        balls.append(measured.filter("ball IS NOT NULL").select("sid", "ball"))
-        windows.append(measured.select("sid", F.explode("windows").alias("pivot")).distinct())
+            measured = classes.select("sid", "n", F.lit(ROOT).alias("path"), F.lit(True).alias("core"), "own", "m", "d", "ball", "windows")
         # radius of each child: the farthest of the cores that stay in it (the far region F: index -1)
         staying = measured.where("core AND ball IS NULL").groupBy("path", "own").agg(F.max("m").alias("r")).collect()
         radius = {(r.path, r.own): (1.0 if r.own == -1 else r.r) for r in staying}
-        moved = measured.mapInPandas(_place(radius, percent), "sid long, path string, core boolean")
-        kept = members.filter(~F.col("path").isin(split_paths))
-        members = stage(kept.unionByName(moved), "jaccard-members")
-        new_sizes = {r.path: r.c for r in members.groupBy("path").agg(F.count(F.lit(1)).alias("c")).collect()}
-        for path in split_paths:
+        moved = stage(measured.mapInArrow(_place(radius, percent), "sid long, n long, path string, core boolean"), "jaccard-moved")
+        grown = {r.path: r.c for r in moved.groupBy("path").agg(F.count(F.lit(1)).alias("c")).collect()}
+        inside = {path: {p: c for p, c in grown.items() if p.rpartition(".")[0] == path} for path in split_paths}
+        # a region whose children hold too many copies stays as it is
+        undone = [path for path in split_paths if sum(inside[path].values()) > GROWTH * sizes[path]]
+        frozen.update(undone)
+        for path in undone:
+            del table[path]
+        rounds.append((table, radius))
+        made = moved.filter(F.col("path").isin(sorted(p for path in table for p in inside[path])))
+        members = stage(members.filter(~F.col("path").isin(sorted(table))).unionByName(made), "jaccard-members")
+        balls.append(measured.filter("ball IS NOT NULL").select("sid", "ball"))
+        windows.append(measured.filter(F.col("path").isin(sorted(table))).select("sid", F.explode("windows").alias("pivot")).distinct())
+        for path in table:
             # a child that keeps four fifths of its parent is not split again
-            frozen.update(p for p, c in new_sizes.items() if p.startswith(path + ".") and c * 5 >= sizes[path] * 4)
-        sizes = new_sizes
-
-    # leaf join: a core meets the members of its region on shared prefix tokens
-    shingles = distinct.select("sid", "n", "shingles")
-    prefixes = stage(_prefixes(distinct, _hot_map(distinct, percent, HOT), percent), "jaccard-prefixes")
-    tokens = members.join(prefixes, "sid").select("sid", "path", "core", "n", F.explode("prefix").alias("tok"))
-    tokens = stage(tokens, "jaccard-tokens")
-    cores = tokens.filter("core").select(F.col("sid").alias("a"), "path", "tok", F.col("n").alias("na"))
-    others = tokens.select(F.col("sid").alias("b"), "path", "tok", F.col("n").alias("nb"))
-    pairs = cores.join(others, ["path", "tok"]).filter((F.col("a") != F.col("b")) & _length_ok(F.col("na"), F.col("nb"), percent))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = [_verified(pairs, shingles, percent)]
-
-    if balls:
-        ball = balls[0]
-        for part in balls[1:]:
-            ball = ball.unionByName(part)
-        window = windows[0]
-        for part in windows[1:]:
-            window = window.unionByName(part)
-        ball = stage(ball, "jaccard-balls")
-        # a ball's members meet every set within 2t of its pivot, outside the ball, on prefix tokens
-        inner = ball.join(prefixes, "sid").select(F.col("sid").alias("a"), F.col("ball").alias("pivot"), F.col("n").alias("na"), F.explode("prefix").alias("tok"))
-        outside = window.join(ball.select(F.col("sid"), F.col("ball").alias("pivot")), ["sid", "pivot"], "left_anti")
-        outer = outside.join(prefixes, "sid").select(F.col("sid").alias("b"), "pivot", F.col("n").alias("nb"), F.explode("prefix").alias("tok"))
-        near = inner.join(outer, ["pivot", "tok"]).filter((F.col("a") != F.col("b")) & _length_ok(F.col("na"), F.col("nb"), percent))
-        found.append(_verified(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), shingles, percent))
-        found.append(ball.select(F.col("sid").alias("a"), F.col("ball").alias("b")).filter("a <> b"))
-
-    edges = found[0]
-    for part in found[1:]:
-        edges = edges.unionByName(part)
-    roots = components(stage(edges, "jaccard-edges"))
-    rooted = distinct.select("sid", "rep").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_sid = rooted.join(least, "root").select("sid", "component_id")
-    out = per_doc.join(by_sid, "sid", "left")
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+            frozen.update(p for p, c in inside[path].items() if c * 5 >= sizes[path] * 4)
+            del sizes[path]
+            sizes |= inside[path]
+
+    # a core meets the members of its region, and a ball's members every set within 2t of its pivot
+    # outside the ball, on prefix tokens
+    places = members.select("sid", F.xxhash64("path").alias("place"), "core")
+    tied = None
+    for ball, window in zip(balls, windows):
+        outside = window.join(ball.toDF("sid", "pivot"), ["sid", "pivot"], "left_anti")
+        inner = ball.select("sid", F.xxhash64(F.lit("ball"), "ball").alias("place"), F.lit(True).alias("core"))
+        places = places.unionByName(inner).unionByName(outside.select("sid", F.xxhash64(F.lit("ball"), "pivot").alias("place"), F.lit(False).alias("core")))
+        link = ball.select(F.col("sid").alias("a"), F.col("ball").alias("b")).filter("a <> b")
+        tied = link if tied is None else tied.unionByName(link)
+    maps = _hot_maps(classes, sorted({x for x in RARE if x < HOT} | {HOT}))
+    prefixes = stage(_prefixes(classes, maps, percent), "jaccard-prefixes")
+    short = prefixes.filter("prefix IS NULL").select("sid", "n").join(classes.select("sid", "k1"), "sid")
+    if not short.isEmpty():
+        again = _whole(docs, stage(short, "jaccard-short"), size).withColumn("n", F.size("shingles").cast("long"))
+        prefixes = prefixes.filter("prefix IS NOT NULL").unionByName(stage(_prefixes(again, maps, percent), "jaccard-prefixes"))
+    free_shuffles(spark)
+    tokens = places.join(prefixes, "sid").select("sid", "n", "core", "place", F.posexplode("prefix").alias("pos", "tok"))
+    # one key for place and token: where two collide there are more candidates, never fewer
+    tokens = tokens.select(F.xxhash64("place", "tok").alias("key"), "sid", F.col("n").cast("int").alias("n"), "pos", "core")
+    key = Window.partitionBy("key")
+    first = F.min(F.when(F.col("core"), F.struct("sid", "n", "pos"))).over(key)
+    shared = tokens.withColumn("first", first).withColumn("size", F.count(F.lit(1)).over(key))
+    shared = stage(shared.filter("size > 1 AND first IS NOT NULL").select("key", "sid", "n", "pos", "core", "first"), "jaccard-shared")
+    free_shuffles(spark)
+    # the members of a token meet its smallest core; then all that this leaves in different components
+    stars = shared.filter((F.col("sid") != F.col("first.sid")) & _fits("n", "pos", "first.n", "first.pos", percent))
+    stars = stage(stars.select(F.least("sid", "first.sid").alias("a"), F.greatest("sid", "first.sid").alias("b")).distinct(), "jaccard-stars")
+    found = _verified(stage(_possible(stars, classes, percent), "jaccard-possible"), docs, classes, percent, size)
+    tied = stage(found if tied is None else found.unionByName(tied), "jaccard-edges")
+    part = components(tied).toDF("sid", "part")
+    parted = shared.drop("first").join(part, "sid", "left").withColumn("part", F.coalesce("part", "sid"))
+    mixed = parted.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("key")
+    parted = stage(parted.join(mixed, "key"), "jaccard-mixed")
+    cores = parted.filter("core").select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("part").alias("pa"))
+    others = parted.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("part").alias("pb"))
+    pairs = cores.join(others, "key").filter((F.col("pa") != F.col("pb")) & _fits("na", "ia", "nb", "ib", percent))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = stage(_possible(pairs.join(stars, ["a", "b"], "left_anti"), classes, percent), "jaccard-pairs")
+    free_shuffles(spark)
+    edges = tied
+    if not pairs.isEmpty():
+        edges = tied.unionByName(_verified(pairs, docs, classes, percent, size))
+
+    roots = components(stage(edges, "jaccard-edges")).withColumnRenamed("node", "sid")
+    linked = roots.join(classes.select("sid", "rep"), "sid")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = classes.select("sid", "rep", "copies").join(linked.join(least, "root").select("sid", "component_id"), "sid", "left")
+    named = stage(named.select("sid", "copies", F.coalesce("component_id", "rep").alias("component_id")), "jaccard-named")
+    told = join_by_size(base.filter("n > 0").select("doc_id", "n", "sid"), named, "sid", "copies", rows)
+    alone = base.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return told.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+
+
+def _draw(docs: DataFrame, classes: DataFrame, members: DataFrame, sizes: dict[str, int], depth: int, pivots: int, size: int) -> dict[str, Pivots]:
+    """Pivots of the regions to split: the smallest sets by a hash among their cores, as far as a round holds."""
+    # a hash below 8 * pivots of the region's size passes: about 8 * pivots candidates a region
+    bounds = members.sparkSession.createDataFrame(list(sizes.items()), "path string, _size long")
+    cand = members.filter(f"core AND n <= {PIVOT_MAX}").join(F.broadcast(bounds), "path")
+    cand = cand.withColumn("_h", F.xxhash64("sid", F.lit(depth))).filter(F.pmod("_h", F.col("_size")) < 8 * pivots)
+    ranked = cand.groupBy("path").agg(F.expr(f"slice(array_sort(collect_list(struct(_h, sid))), 1, {pivots})").alias("_p"))
+    chosen = stage(ranked.select("path", F.explode("_p.sid").alias("sid")).join(classes.select("sid", "k1"), "sid"), "jaccard-chosen")
+    got = chosen.join(_whole(docs, chosen, size), "sid").select("path", "sid", "shingles").collect()
+    table: dict[str, list[tuple[int, np.ndarray]]] = {}
+    used = 0
+    for r in sorted(got, key=lambda r: (r.path, r.sid)):
+        if used > ROUND_BYTES and r.path not in table:
+            continue
+        table.setdefault(r.path, []).append((r.sid, np.array(r.shingles, np.int64).view(np.uint64)))
+        used += 8 * len(r.shingles)
+    return {path: Pivots(found) for path, found in table.items()}

@@ -79,3 +79,61 @@ def test_hot_prefix_order(spark, monkeypatch):
     distinct = J.sets(frame).filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     bits = J._hot_map(distinct, 90, 1)
     assert bits.any()
+
+
+def test_full_sets_are_not_stored(spark, monkeypatch):
+    words = lambda i: [f"w{(i * 7919 + j * 31) % 100_003}" for j in range(300)]
+    rows = [(i, " ".join(words(i // 2) + ["x"] * (i % 2)), None, None, None, 0, "") for i in range(80)]
+    rows += [(100 + i, " ".join(f"u{i}_{j}" for j in range(300)), None, None, None, 0, "") for i in range(40)]
+    stored, stage = [], J.stage
+
+    def counted(frame, name):
+        out = stage(frame, name)
+        if "shingles" in out.columns:
+            stored.append(out.agg(F.sum(F.size("shingles"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    got = run(spark, rows[80:], leaf=30, pivots=3)
+    assert got == brute(rows[80:])
+    assert max(stored) < 0.5 * sum(n for _, n, _ in got)
+    assert run(spark, rows, leaf=30, pivots=3) == brute(rows)
+
+
+def test_near_copies_do_not_make_all_pairs(spark, monkeypatch):
+    base = [f"w{j}" for j in range(120)]
+    rows = []
+    for i in range(60):  # one word changed: any two differ in up to six of 118 shingles
+        text = list(base)
+        text[i * 2] = f"x{i}"
+        rows.append((i, " ".join(text), None, None, None, 0, ""))
+    pairs, verified = [], J._verified
+
+    def counted(found, *rest):
+        pairs.append(found.count())
+        return verified(found, *rest)
+
+    monkeypatch.setattr(J, "_verified", counted)
+    assert run(spark, rows) == brute(rows)
+    assert sum(pairs) < 60 * 59 / 4
+
+
+def test_first_shingles_rule_out(spark):
+    """Pairs left out by their first shingles are below the threshold; the order of values is unsigned."""
+    import numpy as np
+
+    made = np.random.default_rng(3)
+    sets, kept = {}, []
+    for i in range(40):
+        x = np.unique(made.integers(0, 1 << 64, 100, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[made.permutation(len(x))[i:]], made.integers(0, 1 << 64, i // 2, dtype=np.uint64)]))
+        sets[2 * i], sets[2 * i + 1] = x, y
+    rows = [(sid, len(x), J._head(x, 90).view(np.int64).tolist()) for sid, x in sets.items()]
+    classes = spark.createDataFrame(rows, "sid long, n long, shingles array<long>")
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    kept = {(r.a, r.b) for r in J._possible(spark.createDataFrame(pairs, "a long, b long"), classes, 90).collect()}
+    for a, b in pairs:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * common >= 90 * (len(sets[a]) + len(sets[b]) - common):
+            assert (a, b) in kept
+    assert len(kept) < len(pairs) / 10

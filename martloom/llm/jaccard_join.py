@@ -24,8 +24,12 @@ when d <= t (t = 1 - percent / 100). The join is exact:
   pair of similarity percent or more shares. The order puts rare shingles first and common ones
   (in more than ``HOT`` sets, counted over all sets) last, so that a passage shared by many
   documents does not make them all candidates. The members of a token first meet its smallest
-  core; then all pairs of a token that this leaves in different components. Pairs whose first
-  shingles already differ too much are left out, the others are verified on the full sets.
+  core; pairs whose first shingles already differ too much are left out, the others are verified
+  on the full sets.
+* **Blocks.** What a token then still has in different components is grouped: sets that share
+  such tokens, directly or through others of about their size. A group is compared set against
+  set in blocks within the tasks, so that its pairs are never rows, and a task returns only links
+  between parts that it has not yet joined.
 
 Full sets are larger than the text and are neither stored nor shuffled: one pass over the texts
 keeps of each set its size, its key, its distances to the first pivots and its first shingles, and
@@ -40,6 +44,9 @@ are ignored. Empty table: no rows.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -49,8 +56,9 @@ from pyspark.sql.window import Window
 
 from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_in, row_key, text_of
 from martloom.llm.components import components
+from martloom.llm.near_dedup import Parts, blocked, crossing, runs_of
 from martloom.llm.shingles import shingle_set
-from martloom.session import stage
+from martloom.session import arrow_batches, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -70,6 +78,9 @@ HOT_BITS = 1 << 25
 EPS = 1e-9
 ROOT = "r"
 CHUNK = 1 << 20  # bytes of text whose sets a task holds at once
+BATCH = 4 << 20  # bytes of rows that Spark and a Python task hand each other at once
+BLOCK = 128  # sets of a group compared at once with as many others
+BLOCK_SHINGLES = 200_000  # and about so many shingles
 
 
 class Hashes:
@@ -405,6 +416,81 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: in
     return joined.filter(100 * common >= percent * union).select("a", "b")
 
 
+def _grouped(mixed: DataFrame, percent: int) -> DataFrame:
+    """group, c, own, part, blocks: the sets (c) of each group whose pairs may still link.
+
+    ``mixed`` (key, sid, n, core, part) has the members of tokens in several components. A set
+    is in the size class of its n, as its own, and in the next one as a copy: sets that can link
+    have one class in common, where one of them at least is its own. Groups are the components of
+    sets that share a token within a class.
+    """
+    width = max(math.log(100 / percent), 1e-3) * (1 + EPS)
+    places = F.explode(F.array(*[F.struct((F.floor(F.log("n") / width) + up).alias("class"), F.lit(up == 0).alias("own")) for up in (0, 1)]))
+    rows = mixed.select("key", "core", F.col("sid").alias("c"), F.col("n").cast("long").alias("n"), "part", places.alias("_p")).select("*", "_p.*")
+    rows = rows.select(F.xxhash64("key", "class").alias("key"), F.xxhash64("c", "class").alias("node"), "c", "n", "core", "own", "part")
+    keys = rows.groupBy("key").agg(F.min("node").alias("least"), F.min("part").alias("p0"), F.max("part").alias("p1"), F.max("core").alias("met"), F.max("own").alias("any"))
+    rows = rows.join(keys.filter("met AND any AND p0 <> p1").select("key", "least"), "key")
+    rows = stage(rows.select("node", "c", "n", "own", "part", "least").distinct(), "jaccard-nodes")
+    group = components(rows, "node", "least").toDF("node", "group")
+    members = rows.drop("least").distinct().join(group, "node").drop("node")
+    wide = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
+    spans = members.groupBy("group").agg(wide, F.min("part").alias("p0"), F.max("part").alias("p1"), F.max("own").alias("any"))
+    return members.drop("n").join(spans.filter("any AND p0 <> p1").select("group", "blocks"), "group")
+
+
+def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links (a, b) on full sets within the groups of ``_grouped``, compared block against block.
+
+    Of the links of a block pair those are returned that join parts not joined by others.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Hashes()
+        for table in runs_of(batches, ["group", "lo", "hi"]):
+            table = table.sort_by("_mine")
+            sets, at, seen = [], [], set()
+            for i, (sid, data) in enumerate(zip(table.column("c").to_pylist(), table.column("data"))):
+                if sid not in seen:  # repeated rows, and rows whose key only collides, drop out
+                    found = shingle_set(data.as_py(), memo, size)
+                    if _key(found) == sid:
+                        seen.add(sid)
+                        sets.append(found)
+                        at.append(i)
+            table = table.take(pa.array(at, pa.int64()))
+            part, own = table.column("part").to_numpy(), table.column("own").to_numpy()
+            if table.num_rows < 2 or not own.any() or (part == part[0]).all():
+                continue
+            c = table.column("c").to_numpy()
+            n = np.array([len(x) for x in sets])
+            ends = np.cumsum(n)
+            distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+            # two copies meet as own sets in the size class before
+            compare = crossing(table) & (own[:, None] | own[None]) & (part[:, None] != part[None])
+            compare &= 100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None])
+            parts, mark = Parts(part), np.zeros(len(distinct), np.int32)
+            a, b = [], []
+            for i in range(len(c) - 1):
+                if not compare[i, i + 1 :].any():
+                    continue
+                mine = flat[ends[i] - n[i] : ends[i]]
+                mark[mine] = 1
+                common = np.add.reduceat(mark[flat[ends[i] :]], ends[i:-1] - ends[i])
+                mark[mine] = 0
+                linked = compare[i, i + 1 :] & (100 * common >= percent * (n[i] + n[i + 1 :] - common))
+                for j in (np.flatnonzero(linked) + i + 1).tolist():
+                    if parts.join(i, j):
+                        a.append(int(c[i]))
+                        b.append(int(c[j]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    members = stage(groups.join(classes.select(F.col("sid").alias("c"), "k1"), "c"), "jaccard-groups")
+    texts = perhaps_in(_texts(docs).select("k1", "data"), members, "k1")
+    rows = blocked(texts.join(members, "k1"), "group", "blocks")
+    rows = rows.repartition("group", "lo", "hi").sortWithinPartitions("group", "lo", "hi")
+    return stage(rows.select("group", "lo", "hi", "_mine", "c", "own", "part", "data").mapInArrow(run, "a long, b long"), "jaccard-links")
+
+
 def _fits(na: str, ia: str, nb: str, ib: str, percent: int) -> Column:
     """Whether sets of these sizes can link if the shingles at these places of the prefixes are the first they share."""
     na, ia, nb, ib = F.col(na), F.col(ia), F.col(nb), F.col(ib)
@@ -418,6 +504,12 @@ def jaccard_components(
 
     One row per row of ``docs``. See the module for the rules.
     """
+    # rows hold a text or a long list: batches of 10000, Spark's measure, take hundreds of MB on either side
+    with arrow_batches(docs.sparkSession, BATCH):
+        return _components(docs, percent, size, leaf, pivots)
+
+
+def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.count()
     table: dict[str, Pivots] = {}
@@ -502,7 +594,7 @@ def jaccard_components(
     shared = tokens.withColumn("first", first).withColumn("size", F.count(F.lit(1)).over(key))
     shared = stage(shared.filter("size > 1 AND first IS NOT NULL").select("key", "sid", "n", "pos", "core", "first"), "jaccard-shared")
     free_shuffles(spark)
-    # the members of a token meet its smallest core; then all that this leaves in different components
+    # the members of a token meet its smallest core; then, in blocks, all that this leaves in different components
     stars = shared.filter((F.col("sid") != F.col("first.sid")) & _fits("n", "pos", "first.n", "first.pos", percent))
     stars = stage(stars.select(F.least("sid", "first.sid").alias("a"), F.greatest("sid", "first.sid").alias("b")).distinct(), "jaccard-stars")
     found = _verified(stage(_possible(stars, classes, percent), "jaccard-possible"), docs, classes, percent, size)
@@ -511,15 +603,11 @@ def jaccard_components(
     parted = shared.drop("first").join(part, "sid", "left").withColumn("part", F.coalesce("part", "sid"))
     mixed = parted.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("key")
     parted = stage(parted.join(mixed, "key"), "jaccard-mixed")
-    cores = parted.filter("core").select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("part").alias("pa"))
-    others = parted.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("part").alias("pb"))
-    pairs = cores.join(others, "key").filter((F.col("pa") != F.col("pb")) & _fits("na", "ia", "nb", "ib", percent))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = stage(_possible(pairs.join(stars, ["a", "b"], "left_anti"), classes, percent), "jaccard-pairs")
     free_shuffles(spark)
     edges = tied
-    if not pairs.isEmpty():
-        edges = tied.unionByName(_verified(pairs, docs, classes, percent, size))
+    if not parted.isEmpty():
+        edges = tied.unionByName(_block_links(_grouped(parted, percent), docs, classes, percent, size))
+        free_shuffles(spark)
 
     roots = components(stage(edges, "jaccard-edges")).withColumnRenamed("node", "sid")
     linked = roots.join(classes.select("sid", "rep"), "sid")

@@ -118,6 +118,64 @@ def test_near_copies_do_not_make_all_pairs(spark, monkeypatch):
     assert sum(pairs) < 60 * 59 / 4
 
 
+def candidates(count):
+    """Texts of which any two share most of their prefixes; they link only next to each other."""
+    rows = []
+    for i in range(count):  # two words changed for each step: eight steps differ in every tenth shingle
+        text = [f"w{j}" for j in range(200)]
+        for k in range(i % 24):
+            text[8 * k : 8 * k + 1] = [f"x{i // 24}_{k}"]
+        rows.append((i, " ".join([*text, f"e{i}"]), None, None, None, 0, ""))
+    return rows
+
+
+@pytest.mark.parametrize("block", [128, 7])
+def test_pairs_of_near_copies_are_no_rows(spark, monkeypatch, block):
+    """A large group that the first components leave apart is compared in blocks."""
+    rows = candidates(240)
+    monkeypatch.setattr(J, "BLOCK", block, raising=False)
+    stored, stage = {}, J.stage
+
+    def counted(frame, name):
+        out = stage(frame, name)
+        stored[name] = max(stored.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    assert run(spark, rows) == brute(rows)
+    # all pairs left by the first components would be many times the rows
+    assert max(stored.get(name, 0) for name in ("jaccard-pairs", "jaccard-groups", "jaccard-links")) <= 2 * len(rows), stored
+    assert stored["jaccard-groups"] > 128
+
+
+def test_rows_go_to_python_in_small_batches(spark, monkeypatch):
+    """A task holds few texts at once, whatever Spark's batches are; the session's setting is put back."""
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(400)), None, None, None, 0, "") for i in range(60)]
+    docs = D.frame(spark, rows).coalesce(1)
+    seen = []
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["b"])
+
+    stage = J.stage
+
+    def noted(frame, name):
+        if name == "jaccard-sets":
+            seen.extend(r.b for r in J._texts(docs).select("data").mapInArrow(sizes, "b long").collect())
+        return stage(frame, name)
+
+    monkeypatch.setattr(J, "stage", noted)
+    monkeypatch.setattr(J, "BATCH", 20_000, raising=False)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    assert run(spark, rows) == brute(rows)
+    assert max(seen) < 30_000
+    assert spark.conf.get(name) == before
+
+
 def test_first_shingles_rule_out(spark):
     """Pairs left out by their first shingles are below the threshold; the order of values is unsigned."""
     import numpy as np

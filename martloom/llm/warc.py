@@ -30,6 +30,7 @@ LEAST = 100  # bytes of a payload that others may refer to
 SHARD_BYTES = 32 << 20  # payload bytes of a shard
 SHARDS = 50_000  # at most: beyond SHARD_BYTES * SHARDS the shards grow
 ROLL_BYTES = 16 << 20  # compressed bytes after which a file ends
+SLICE = 8 << 10  # compressed bytes that a reader unpacks at once
 DATE = "2000-01-01T00:00:00Z"  # of all records: the pages have none, and the output is to be the same each time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "shard int, seq int, temp string, name string, bytes long, records long, sha256 string"
@@ -227,14 +228,18 @@ def renamer(folder: str):
 
 
 def members(data: bytes) -> Iterator[bytes]:
-    """The gzip members of a file."""
-    while data:
-        unpack = zlib.decompressobj(31)
-        out = unpack.decompress(data) + unpack.flush()
+    """The gzip members of a file, fed in slices: what was fed past the end of a member is copied each time."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpack, out = zlib.decompressobj(31), []
+        while at < len(view) and not unpack.eof:
+            piece = view[at : at + SLICE]
+            out.append(unpack.decompress(piece))
+            at += len(piece) - len(unpack.unused_data)
+        out.append(unpack.flush())
         if not unpack.eof:
             raise ValueError("a gzip member is cut off")
-        yield out
-        data = unpack.unused_data
+        yield b"".join(out)
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:

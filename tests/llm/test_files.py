@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import pathlib
 import random
+import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -68,6 +69,42 @@ def test_warc_damage_is_noticed(spark, tmp_path):
         warc.read_warc(spark, out).collect()
 
 
+def test_warc_members_across_slices():
+    rnd = random.Random(4)
+    blocks = [rnd.randbytes(n) for n in (0, 1, warc.SLICE, 5 * warc.SLICE, 3)] + [b"z" * 3_000_000]
+    # records that end right at, before and after the end of a slice
+    blocks += [rnd.randbytes(n) for n in range(warc.SLICE - 140, warc.SLICE - 60)]
+    records = [warc.record([("X-Page", i)], block) for i, block in enumerate(blocks)]
+    assert {len(r) for r in records} >= {warc.SLICE - 1, warc.SLICE, warc.SLICE + 1}
+    for packed in (b"".join(records), *records):
+        got = [warc.parse(raw)[1] for raw in warc.members(packed)]
+        assert got == (blocks if len(got) > 1 else [blocks[records.index(packed)]])
+    whole = records[3] + records[4]
+    for cut in (1, 9, 18, len(records[3]) - 1, len(records[3]) + 1, len(whole) - 1):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.members(whole[:cut]))
+
+
+def test_warc_members_do_not_copy_the_rest_of_the_file(monkeypatch):
+    fed, real = [], zlib.decompressobj
+
+    class Counting:
+        def __init__(self, *args):
+            self.inner = real(*args)
+
+        def decompress(self, data):
+            fed.append(len(data))
+            return self.inner.decompress(data)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    data = b"".join(warc.record([("X-Page", i)], b"small") for i in range(5_000))
+    assert sum(1 for _ in warc.members(data)) == 5_000
+    assert sum(fed) <= len(data) + 5_000 * (16 << 10)
+
+
 def test_warc_empty(spark, tmp_path):
     out = str(tmp_path / "w")
     assert warc.write_warc(pages_frame(spark, []), out).count() == 0

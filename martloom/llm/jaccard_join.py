@@ -26,14 +26,18 @@ when d <= t (t = 1 - percent / 100). The join is exact:
   documents does not make them all candidates. The members of a token first meet its smallest
   core; pairs whose first shingles already differ too much are left out, the others are verified
   on the full sets.
-* **Blocks.** What a token then still has in different components is grouped: sets that share
-  such tokens, directly or through others of about their size. A group is compared set against
-  set in blocks within the tasks, so that its pairs are never rows, and a task returns only links
-  between parts that it has not yet joined.
+* **Open sets.** Sets whose tokens then still lie in different components get prefixes anew, with
+  counts over these sets only and a choice from more of their shingles; the members of a token
+  meet the core with the fewest shingles of its own.
+* **Blocks.** What a token has in different components after that is grouped: sets that share
+  such tokens, directly or through others, at places that their sizes allow. A group is compared
+  set against set in blocks within the tasks, so that its pairs are never rows, and a task returns
+  only links between parts that it has not yet joined.
 
 Full sets are larger than the text and are neither stored nor shuffled: one pass over the texts
 keeps of each set its size, its key, its distances to the first pivots and its first shingles, and
-the few sets that a split, a prefix or a pair needs whole are made again from their texts.
+the few sets that a split, a prefix or a pair needs whole are made again from their texts. Stored
+tables that nothing reads any more are deleted on the way.
 
 Identical sets are folded first; they link (similarity 1). Texts without words have an empty set
 and link with nothing. Words are runs outside x20, x09-x0D, A-Z lower-cased; with fewer than
@@ -58,7 +62,7 @@ from martloom.llm.common import bytes_of, free_shuffles, join_by_size, perhaps_i
 from martloom.llm.components import components
 from martloom.llm.near_dedup import Parts, blocked, crossing, runs_of
 from martloom.llm.shingles import shingle_set
-from martloom.session import arrow_batches, stage
+from martloom.session import arrow_batches, discard, stage
 
 SHINGLE = 3
 PERCENT = 90
@@ -75,6 +79,11 @@ RARE = (1, 8)
 # A split whose children hold more than GROWTH times the members is not made.
 GROWTH = 2
 HOT_BITS = 1 << 25
+# The map of the lowest limit has a bit for SPREAD shingles, within these numbers of bits.
+SPREAD = 4
+MOST_BITS = 1 << 28
+# Size classes within which the sizes of two linked sets can lie.
+CLASSES = 4
 EPS = 1e-9
 ROOT = "r"
 CHUNK = 1 << 20  # bytes of text whose sets a task holds at once
@@ -305,24 +314,36 @@ def _prefix_length(n: np.ndarray | int, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def _hot_maps(heads: DataFrame, limits: list[int]) -> list[np.ndarray]:
-    """For each limit: bits (of HOT_BITS) set for every shingle in the first ones of more than ``limit`` sets.
+def _hot_maps(heads: DataFrame, limits: list[int], bits: int = 0) -> list[np.ndarray]:
+    """For each limit: bits set for every shingle in the first ones of more than ``limit`` sets.
 
-    Counted over all sets; built on the executors as bitmaps of 32768 bits and collected whole,
-    at most HOT_BITS / 8 bytes a limit whatever the number of shingles. A shingle that shares a bit
-    with a hot one counts as hot too: that only changes the order, and every order is exact.
+    The lowest limit has ``bits`` bits (HOT_BITS at least), the others HOT_BITS. Counted over all
+    sets; built on the executors as bitmaps of 32768 bits and collected whole, so that their size does
+    not depend on the number of shingles. A shingle that shares a bit with a hot one counts as hot
+    too: that only changes the order, and every order is exact.
     """
+    widths = {limit: HOT_BITS for limit in limits} | {min(limits): max(bits, HOT_BITS)}
     counted = heads.select(F.explode("shingles").alias("tok")).groupBy("tok").count().where(F.col("count") > min(limits))
-    place = F.pmod("tok", F.lit(HOT_BITS)) + 1
-    over = F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: F.col("count") > x)
-    maps = counted.select(F.explode(over).alias("limit"), F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+    over = F.array(*[F.struct(F.lit(x).alias("limit"), (F.pmod("tok", F.lit(width)) + 1).alias("at")) for x, width in widths.items()])
+    places = counted.select(F.explode(F.filter(over, lambda x: F.col("count") > x["limit"])).alias("_o")).select("_o.*")
+    maps = places.select("limit", F.bitmap_bucket_number("at").alias("b"), F.bitmap_bit_position("at").alias("p"))
     maps = maps.groupBy("limit", "b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    bits = {limit: np.zeros(HOT_BITS // 8, np.uint8) for limit in limits}
+    found = {limit: np.zeros(width // 8, np.uint8) for limit, width in widths.items()}
     for r in maps:
         chunk = np.frombuffer(r.m, np.uint8)
         at = (r.b - 1) * 4096
-        bits[r.limit][at : at + len(chunk)] |= chunk[: max(0, min(len(chunk), HOT_BITS // 8 - at))]
-    return [bits[limit] for limit in limits]
+        found[r.limit][at : at + len(chunk)] |= chunk[: max(0, min(len(chunk), len(found[r.limit]) - at))]
+    return [found[limit] for limit in limits]
+
+
+def _bits(shingles: int) -> int:
+    """Bits of the lowest limit's map for so many counted shingles: the more, the fewer take a bit of another one."""
+    return min(MOST_BITS, max(HOT_BITS, 1 << (shingles // SPREAD).bit_length()))
+
+
+def _inside(flat: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = np.mod(flat, len(bits) * 8)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
 
 
 def _hot_map(sets: DataFrame, percent: int, hot: int) -> np.ndarray:
@@ -351,17 +372,13 @@ def _prefixes(classes: DataFrame, maps: list[np.ndarray], percent: int) -> DataF
     """
     early = np.uint64(_early(percent))
 
-    def inside(place: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
-
     def each(batches):
         for batch in batches:
             column = batch.column("shingles")
             flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
-            place = np.mod(flat, HOT_BITS)
-            rank = sum((inside(place, bits) for bits in maps[:-1]), np.zeros(len(flat), np.int8)).astype(np.int8)
+            rank = sum((_inside(flat, bits) for bits in maps[:-1]), np.zeros(len(flat), np.int8)).astype(np.int8)
             rank[flat.view(np.uint64) >= early] = len(maps)
-            rank[inside(place, maps[-1]).astype(bool)] = len(maps) + 1
+            rank[_inside(flat, maps[-1]).astype(bool)] = len(maps) + 1
             out = []
             for n, start, stop in zip(batch.column("n").to_pylist(), ends, ends[1:]):
                 mine, length = rank[start:stop], _prefix_length(n, percent)
@@ -406,6 +423,17 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(each, "a long, b long")
 
 
+def _hubs(tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): the members of a token of ``_open_tokens`` with its core that has the fewest shingles of its own.
+
+    Such a core is what the others were made from, or near it.
+    """
+    lead = tokens.groupBy("sid").agg(F.min("pos").alias("lead"))
+    hub = F.min(F.when(F.col("core"), F.struct("lead", "sid", "n", "pos"))).over(Window.partitionBy("key"))
+    met = tokens.join(lead, "sid").withColumn("hub", hub).filter((F.col("sid") != F.col("hub.sid")) & _fits("n", "pos", "hub.n", "hub.pos", percent))
+    return met.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs (a, b) of sids whose full sets are within the threshold."""
     sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
@@ -413,29 +441,86 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: in
     joined = pairs.join(shingles.toDF("a", "sa"), "a").join(shingles.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return joined.filter(100 * common >= percent * union).select("a", "b")
+    linked = stage(joined.filter(100 * common >= percent * union).select("a", "b"), "jaccard-linked")
+    discard(shingles)
+    return linked
 
 
-def _grouped(mixed: DataFrame, percent: int) -> DataFrame:
-    """group, c, own, part, blocks: the sets (c) of each group whose pairs may still link.
+def _open_tokens(mixed: DataFrame, places: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
+    """key, sid, n, pos, core, part: tokens in several components, of prefixes made anew for the sets of ``mixed``.
+
+    The prefixes of all sets choose from early shingles, counted over all sets. Those of the sets left
+    choose from all their shingles, counted over these sets only; where they are more than half of
+    all, from so many that half of all shingles are counted. So an edited copy whose changes
+    are its own has these first, and is no candidate of the copies of what it was made from.
+    """
+    few = stage(mixed.select("sid", "part").distinct().join(classes.select("sid", "n", "k1"), "sid"), "jaccard-open")
+    left, full = (frame.agg(F.sum("n")).first()[0] for frame in (few, classes))
+    early = min((1 << 64) - 1, (1 << 63) * full // left)
+
+    def firsts(batches):
+        memo = Hashes()
+        for batch in batches:
+            for texts in _chunks(batch.column("data")):
+                found = [shingle_set(t, memo, size) for t in texts]
+                yield pa.RecordBatch.from_arrays([_lists([x[: np.searchsorted(x, np.uint64(early))] for x in found])], ["shingles"])
+
+    texts = perhaps_in(_texts(docs).select("k1", "data"), few, "k1").select("data")
+    counted = texts.mapInArrow(firsts, "shingles array<long>")
+    maps = _hot_maps(counted, sorted({x for x in RARE if x < HOT} | {HOT}), _bits(left * (early >> 32) >> 32))
+
+    def each(batches):
+        memo = Hashes()
+        for batch in batches:
+            for texts in _chunks(batch.column("data")):
+                sids, out = [], []
+                for found in (shingle_set(t, memo, size) for t in texts):
+                    length = _prefix_length(len(found), percent)
+                    within = int(np.searchsorted(found, np.uint64(early)))
+                    mine = found[: max(within, length)]
+                    rank = sum((_inside(mine.view(np.int64), bits) for bits in maps), np.zeros(len(mine), np.int8))
+                    rank[within:] = len(maps) + 1
+                    sids.append(_key(found))
+                    out.append(mine[np.argsort(rank, kind="stable")[:length]])
+                yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), _lists(out)], ["sid", "prefix"])
+
+    prefixes = few.drop("k1").join(texts.mapInArrow(each, "sid long, prefix array<long>").dropDuplicates(["sid"]), "sid")
+    tokens = places.join(prefixes, "sid").select("sid", "n", "part", "core", "place", F.posexplode("prefix").alias("pos", "tok"))
+    tokens = tokens.select(F.xxhash64("place", "tok").alias("key"), "sid", "n", "pos", "core", "part")
+    key = Window.partitionBy("key")
+    spans = {"p0": F.min("part").over(key), "p1": F.max("part").over(key), "met": F.max("core").over(key)}
+    return stage(tokens.withColumns(spans).filter("met AND p0 <> p1").drop(*spans), "jaccard-tokens")
+
 
-    ``mixed`` (key, sid, n, core, part) has the members of tokens in several components. A set
-    is in the size class of its n, as its own, and in the next one as a copy: sets that can link
-    have one class in common, where one of them at least is its own. Groups are the components of
-    sets that share a token within a class.
+def _grouped(mixed: DataFrame, percent: int) -> DataFrame:
+    """group, c, side, part, blocks: the sets (c) of each group whose pairs may still link.
+
+    ``mixed`` (key, sid, n, pos, core, part) has the members of tokens in several components. Sets that can
+    link are at most CLASSES size classes apart. A set is in its own class with the others there (side 0)
+    and, for each distance of classes, as the larger one of a pair in its own class (side 1), and as the
+    smaller one in the larger one's (side 2). The first shingle that two linked sets share is at
+    most as far back in either as the smallest partner of that class allows. Groups are the
+    components of sets that share a token within a class and distance.
     """
-    width = max(math.log(100 / percent), 1e-3) * (1 + EPS)
-    places = F.explode(F.array(*[F.struct((F.floor(F.log("n") / width) + up).alias("class"), F.lit(up == 0).alias("own")) for up in (0, 1)]))
-    rows = mixed.select("key", "core", F.col("sid").alias("c"), F.col("n").cast("long").alias("n"), "part", places.alias("_p")).select("*", "_p.*")
-    rows = rows.select(F.xxhash64("key", "class").alias("key"), F.xxhash64("c", "class").alias("node"), "c", "n", "core", "own", "part")
-    keys = rows.groupBy("key").agg(F.min("node").alias("least"), F.min("part").alias("p0"), F.max("part").alias("p1"), F.max("core").alias("met"), F.max("own").alias("any"))
-    rows = rows.join(keys.filter("met AND any AND p0 <> p1").select("key", "least"), "key")
-    rows = stage(rows.select("node", "c", "n", "own", "part", "least").distinct(), "jaccard-nodes")
+    width = max(math.log(100 / percent), 1e-3) * (1 + EPS) / CLASSES
+    mine = F.floor(F.log("n") / width)
+    ways = [(0, 0), *[(up, side) for up in range(1, CLASSES + 1) for side in (1, 2)]]
+    places = [F.struct((mine + (up if side == 2 else 0)).alias("class"), F.lit(up).alias("up"), F.lit(side).alias("side")) for up, side in ways]
+    rows = mixed.select("key", "core", F.col("sid").alias("c"), F.col("n").cast("long").alias("n"), "pos", "part", F.explode(F.array(*places)).alias("_p"))
+    rows = rows.select("*", "_p.*").drop("_p")
+    partner = F.greatest(F.exp((F.col("class") - F.when(F.col("side") == 1, F.col("up")).otherwise(0)) * width) * (1 - EPS), F.col("n") * percent / 100)
+    rows = rows.filter(F.col("pos") <= F.col("n") - percent * (F.col("n") + partner) / (100 + percent) + 1e-6)
+    rows = rows.select(F.xxhash64("key", "class", "up").alias("key"), F.xxhash64("c", "class", "up").alias("node"), "c", "n", "core", "side", "part")
+    spans = [F.min("part").alias("p0"), F.max("part").alias("p1"), F.min("side").alias("s0"), F.max("side").alias("s1")]
+    both = "p0 <> p1 AND (s1 = 0 OR s0 <> s1)"
+    keys = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("core").alias("met"), *spans)
+    rows = rows.join(keys.filter(f"met AND {both}").select("key", "least"), "key")
+    rows = stage(rows.select("node", "c", "n", "side", "part", "least").distinct(), "jaccard-nodes")
     group = components(rows, "node", "least").toDF("node", "group")
     members = rows.drop("least").distinct().join(group, "node").drop("node")
     wide = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
-    spans = members.groupBy("group").agg(wide, F.min("part").alias("p0"), F.max("part").alias("p1"), F.max("own").alias("any"))
-    return members.drop("n").join(spans.filter("any AND p0 <> p1").select("group", "blocks"), "group")
+    spans = members.groupBy("group").agg(wide, *spans)
+    return members.drop("n").join(spans.filter(both).select("group", "blocks"), "group")
 
 
 def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
@@ -457,15 +542,15 @@ def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame, percent
                         sets.append(found)
                         at.append(i)
             table = table.take(pa.array(at, pa.int64()))
-            part, own = table.column("part").to_numpy(), table.column("own").to_numpy()
-            if table.num_rows < 2 or not own.any() or (part == part[0]).all():
+            part, side = table.column("part").to_numpy(), table.column("side").to_numpy()
+            if table.num_rows < 2 or (part == part[0]).all():
                 continue
             c = table.column("c").to_numpy()
             n = np.array([len(x) for x in sets])
             ends = np.cumsum(n)
             distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
-            # two copies meet as own sets in the size class before
-            compare = crossing(table) & (own[:, None] | own[None]) & (part[:, None] != part[None])
+            # two larger or two smaller ones meet in their own class
+            compare = crossing(table) & ((side == 0) | (side[:, None] != side[None])) & (part[:, None] != part[None])
             compare &= 100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None])
             parts, mark = Parts(part), np.zeros(len(distinct), np.int32)
             a, b = [], []
@@ -488,7 +573,7 @@ def _block_links(groups: DataFrame, docs: DataFrame, classes: DataFrame, percent
     texts = perhaps_in(_texts(docs).select("k1", "data"), members, "k1")
     rows = blocked(texts.join(members, "k1"), "group", "blocks")
     rows = rows.repartition("group", "lo", "hi").sortWithinPartitions("group", "lo", "hi")
-    return stage(rows.select("group", "lo", "hi", "_mine", "c", "own", "part", "data").mapInArrow(run, "a long, b long"), "jaccard-links")
+    return stage(rows.select("group", "lo", "hi", "_mine", "c", "side", "part", "data").mapInArrow(run, "a long, b long"), "jaccard-links")
 
 
 def _fits(na: str, ia: str, nb: str, ib: str, percent: int) -> Column:
@@ -525,6 +610,8 @@ def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int
     kept = ["k1", "n", "shingles", "own", "m", "d", "ball", "windows"]
     folded = base.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first(F.struct(*kept)).alias("_s"))
     classes = stage(folded.select("sid", "rep", "copies", "_s.*"), "jaccard-classes")
+    known = stage(base.select("doc_id", "n", "sid"), "jaccard-known")
+    discard(base)
     free_shuffles(spark)
 
     members = classes.select("sid", "n", F.lit(ROOT).alias("path"), F.lit(True).alias("core"))
@@ -579,7 +666,8 @@ def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int
         places = places.unionByName(inner).unionByName(outside.select("sid", F.xxhash64(F.lit("ball"), "pivot").alias("place"), F.lit(False).alias("core")))
         link = ball.select(F.col("sid").alias("a"), F.col("ball").alias("b")).filter("a <> b")
         tied = link if tied is None else tied.unionByName(link)
-    maps = _hot_maps(classes, sorted({x for x in RARE if x < HOT} | {HOT}))
+    shingles = classes.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    maps = _hot_maps(classes, sorted({x for x in RARE if x < HOT} | {HOT}), _bits(shingles))
     prefixes = stage(_prefixes(classes, maps, percent), "jaccard-prefixes")
     short = prefixes.filter("prefix IS NULL").select("sid", "n").join(classes.select("sid", "k1"), "sid")
     if not short.isEmpty():
@@ -593,12 +681,14 @@ def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int
     first = F.min(F.when(F.col("core"), F.struct("sid", "n", "pos"))).over(key)
     shared = tokens.withColumn("first", first).withColumn("size", F.count(F.lit(1)).over(key))
     shared = stage(shared.filter("size > 1 AND first IS NOT NULL").select("key", "sid", "n", "pos", "core", "first"), "jaccard-shared")
+    discard(prefixes)
     free_shuffles(spark)
     # the members of a token meet its smallest core; then, in blocks, all that this leaves in different components
     stars = shared.filter((F.col("sid") != F.col("first.sid")) & _fits("n", "pos", "first.n", "first.pos", percent))
     stars = stage(stars.select(F.least("sid", "first.sid").alias("a"), F.greatest("sid", "first.sid").alias("b")).distinct(), "jaccard-stars")
     found = _verified(stage(_possible(stars, classes, percent), "jaccard-possible"), docs, classes, percent, size)
     tied = stage(found if tied is None else found.unionByName(tied), "jaccard-edges")
+    free_shuffles(spark)
     part = components(tied).toDF("sid", "part")
     parted = shared.drop("first").join(part, "sid", "left").withColumn("part", F.coalesce("part", "sid"))
     mixed = parted.groupBy("key").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("key")
@@ -606,6 +696,12 @@ def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int
     free_shuffles(spark)
     edges = tied
     if not parted.isEmpty():
+        parted = _open_tokens(parted, places, docs, classes, percent, size)
+        free_shuffles(spark)
+        hubs = stage(_hubs(parted, percent), "jaccard-stars")
+        tied = stage(tied.unionByName(_verified(stage(_possible(hubs, classes, percent), "jaccard-possible"), docs, classes, percent, size)), "jaccard-edges")
+        part = components(tied).toDF("sid", "part")
+        parted = parted.drop("part").join(part, "sid", "left").withColumn("part", F.coalesce("part", "sid"))
         edges = tied.unionByName(_block_links(_grouped(parted, percent), docs, classes, percent, size))
         free_shuffles(spark)
 
@@ -614,8 +710,8 @@ def _components(docs: DataFrame, percent: int, size: int, leaf: int, pivots: int
     least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = classes.select("sid", "rep", "copies").join(linked.join(least, "root").select("sid", "component_id"), "sid", "left")
     named = stage(named.select("sid", "copies", F.coalesce("component_id", "rep").alias("component_id")), "jaccard-named")
-    told = join_by_size(base.filter("n > 0").select("doc_id", "n", "sid"), named, "sid", "copies", rows)
-    alone = base.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    told = join_by_size(known.filter("n > 0"), named, "sid", "copies", rows)
+    alone = known.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return told.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 

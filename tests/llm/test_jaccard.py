@@ -195,3 +195,67 @@ def test_first_shingles_rule_out(spark):
         if 100 * common >= 90 * (len(sets[a]) + len(sets[b]) - common):
             assert (a, b) in kept
     assert len(kept) < len(pairs) / 10
+
+
+def test_edited_copies_are_no_candidates(spark, monkeypatch):
+    """Copies with more changes of their own than a link allows are not compared with each other."""
+    rows = []
+    for i in range(150):
+        text = [f"w{j}" for j in range(200)]
+        for k in range(15 if i < 140 else 2):
+            text[(13 * k + 7 * i) % 200] = f"x{i}_{k}"
+        rows.append((i, " ".join(text), None, None, None, 0, ""))
+    rows += [(200 + i, " ".join(f"u{i}_{j}" for j in range(200)), None, None, None, 0, "") for i in range(200)]
+    stored, stage = {}, J.stage
+
+    def counted(frame, name):
+        out = stage(frame, name)
+        stored[name] = max(stored.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    assert run(spark, rows) == brute(rows)
+    assert stored.get("jaccard-groups", 0) <= 20, stored
+
+
+@pytest.mark.parametrize("percent", [80, 90, 97])
+def test_sizes_across_classes(spark, percent):
+    """Links between sets of every difference in size that the threshold allows."""
+    rows = []
+    for i in range(60):  # nested texts of two kinds, some with a change of their own
+        text = [f"{'ab'[i % 2]}{j}" for j in range(20 + 2 * i)]
+        if i % 5 == 0:
+            text[i % len(text)] = f"x{i}"
+        rows.append((i, " ".join(text), None, None, None, 0, ""))
+    assert run(spark, rows, percent=percent) == brute(rows, percent)
+
+
+def test_tables_go_when_read(spark, monkeypatch):
+    """First shingles are stored once, and full sets only until their pairs are verified."""
+    import os
+
+    rows = D.hostile_documents()
+    files, stage = {}, J.stage
+
+    def noted(frame, name):
+        out = stage(frame, name)
+        files.setdefault(name, []).extend(f.removeprefix("file://") for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(J, "stage", noted)
+    got = J.jaccard_components(D.frame(spark, rows), leaf=12, pivots=3)
+    for name in ("jaccard-sets", "jaccard-whole", "jaccard-prefixes"):
+        assert files[name] and not any(map(os.path.exists, files[name])), name
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_discard_keeps_other_files(spark, tmp_path):
+    from martloom.session import discard, stage
+
+    spark.range(5).write.parquet(str(tmp_path / "in.parquet"))
+    given = spark.read.parquet(str(tmp_path / "in.parquet"))
+    mine, other = stage(given, "mine"), stage(given, "other")
+    discard(mine.unionByName(given))
+    assert given.count() == other.count() == 5
+    with pytest.raises(Exception):
+        mine.count()
